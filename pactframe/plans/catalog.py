@@ -157,15 +157,15 @@ def concat_contents(spark, sf):
     joined = pick.concat_contents(_classified(spark, sf))
     return joined.select(
         "affair_id", "part", "n_cg", "n_cp",
-        F.length("cg_content").alias("cg_chars"), F.md5("cg_content").alias("cg_md5"),
-        F.length("cp_content").alias("cp_chars"), F.md5("cp_content").alias("cp_md5"),
+        F.length("cg_content").cast("long").alias("cg_chars"), F.md5("cg_content").alias("cg_md5"),
+        F.length("cp_content").cast("long").alias("cp_chars"), F.md5("cp_content").alias("cp_md5"),
     )
 
 
 def _shown(requests: DataFrame) -> DataFrame:
     said = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"]))
     chat = F.array_join(said, "\n")
-    return requests.select("request_id", "affair_id", "doc_class", F.length(chat).alias("chars"), F.md5(chat).alias("chat_md5"))
+    return requests.select("request_id", "affair_id", "doc_class", F.length(chat).cast("long").alias("chars"), F.md5(chat).alias("chat_md5"))
 
 
 @query
