@@ -9,77 +9,72 @@ from pactframe.functions.text import blank_to_null, fold_accents, squeeze, strip
 from pactframe.functions.values import parse_date
 
 # --- fixed values: wordings that carry a meaning ----------------------------
+# On folded text (lower case, no accents):
 ONE_TIME = (
-    r"(?iu)\b(?:concession|licen[cs]e|droit d['’]usage|OTC|mise en (?:œuvre|oeuvre)|set-?up|milestone|on order|"
-    r"after design phase|at delivery|end of UAT|production start-?up|kick-?off|hypercare)\b"
-)
-INCLUDED = r"(?iu)\b(?:inclus|incluse|gratuit|gratuite|compris|comprise)\b"
-VOLUME = (
-    r"(?iu)\b(?:volumes?|unités? d['’](?:œuvre|oeuvre)|paliers?|S[12]|dégressif|utilisateurs?|supplémentaires?)\b"
+    r"\b(?:concession|licen[cs]es?|droits? d'usage|otc|mise en oe?uvre|set-?up|milestone|on order|"
+    r"after design phase|at delivery|end of uat|production start-?up|kick-?off|hypercare)\b"
 )
+INCLUDED = r"\b(?:inclus|gratuit|compris)e?s?\b"
+ZERO_PRICE = r"(?<![a-z\d.,])0(?:[.,]0+)?\s*€"
+VOLUME = r"\b(?:volumes?|unites? d'oe?uvre|paliers?|s[12]|degressif|utilisateurs?|supplementaires?)\b"
 OVERCONSUMPTION = (
-    r"(?iu)dépassement|complément de consommation|surconsommation|au-delà de l['’]engagement|"
-    r"utilisateur supplémentaire|seat additionnel|palier|unité d['’](?:œuvre|oeuvre)|\bS[12]\b|dégressif"
+    r"depassement|complement de consommation|surconsommation|au-dela de l'engagement|utilisateur supplementaire|"
+    r"seat additionnel|palier|unite d'oe?uvre|\bs[12]\b|degressif"
 )
-RECAP = r"(?iu)^\s*[|*\-]*\s*(?:sous-total|total|récapitulatif|recap)"
-RECAP_EXCEPTION = r"(?iu)montant forfaitaire mensuel total"
-CADENCE_WORDS = [
-    (r"(?iu)trimestriel|par trimestre|/\s*trimestre", "Trimestrielle"),
-    (r"(?iu)semestriel|par semestre|/\s*semestre", "Semestrielle"),
-    (r"(?iu)mensuel|par mois|/\s*mois", "Mensuelle"),
-    (r"(?iu)annuel|par an\b|/\s*an\b", "Annuelle"),
-]
-AMOUNT = r"(?<![\p{L}\d.,])[-−]?(?:\d{1,3}(?:[ .  ]\d{3})+|\d+)(?:[.,]\d+)?"
+RECAP = r"^[\s|*-]*(?:sous-total|total|recap)"
+RECAP_EXCEPTION = "montant forfaitaire mensuel total"
+CADENCE = r"(?:par |/ ?)(trimestre|semestre|mois|an\b)|(trimestriel|semestriel|mensuel|annuel)"
+CADENCE_STEMS = {"trimestr": "Trimestrielle", "semestr": "Semestrielle", "m": "Mensuelle", "an": "Annuelle"}
+SLA = r"\bsla\b|niveaux? de services?"
+SLA_LEVEL = r"\b(standard|premium)\b"
+TACIT = r"reconduction tacite|tacite reconduction|renouvellement automatique|automatic (?:reconduction|renewal)"
+NOT_TACIT = r"(?:sans|pas de|aucune|exclut (?:toute|la)) (?:reconduction tacite|tacite reconduction|renouvellement automatique)"
+# On the text as printed:
+AMOUNT = r"(?=[-−\d])(?<![\p{L}\d.,])[-−]?(?:\d{1,3}(?:[ .  ]\d{3})+|\d+)(?:[.,]\d+)?"
 CURRENCY_WORD = r"€|EUR|\$|USD|£|GBP|CHF|CAD|AUD|¥|JPY"
-PRICED = rf"(?u){AMOUNT}\s*(?:(?:{CURRENCY_WORD})(?:\s*(?:HT|TTC)\b)?|(?:HT|TTC)\b)"
+PRICED = rf"({AMOUNT})\s*(?:({CURRENCY_WORD})(?:\s*(HT|TTC)\b)?|(HT|TTC)\b)"
 SYMBOLS = {"€": "EUR", "$": "USD", "£": "GBP", "¥": "JPY"}
-SLA = r"(?iu)\bSLA\b|niveaux? de services?"
-SLA_LEVEL = r"(?iu)\b(standard|premium)\b"
-TACIT = r"(?iu)reconduction tacite|tacite reconduction|renouvellement automatique|automatic (?:reconduction|renewal)"
-NOT_TACIT = r"(?iu)(?:sans|pas de|aucune|exclut (?:toute|la)) (?:reconduction tacite|tacite reconduction|renouvellement automatique)"
-CAP = r"(?iu)(plafonné\p{L}*\s+à\s+\d+(?:[.,]\d+)?\s*%)"
+CAP = r"(?i)(plafonné\p{L}*\s+à\s+\d+(?:[.,]\d+)?\s*%)"
 # --- end of fixed values ----------------------------------------------------
 
 
-def amount_value(text: Column) -> Column:
-    """Number at the head of a priced span: thousands separators out, decimal comma to point."""
-    raw = F.regexp_extract(text, rf"(?u)({AMOUNT})", 1)
-    bare = F.translate(F.translate(raw, "   ", ""), "−", "-")
-    no_dots = F.regexp_replace(bare, r"\.(?=\d{3}(?:\D|$))", "")
+def amount_value(raw: Column) -> Column:
+    """Number as printed: thousands separators out, decimal comma to point."""
+    bare = F.translate(raw, "   −", "")
+    bare = F.when(F.startswith(raw, F.lit("−")), F.concat(F.lit("-"), bare)).otherwise(bare)
+    no_dots = F.when(F.contains(bare, F.lit(".")), F.regexp_replace(bare, r"\.(?=\d{3}(?:\D|$))", "")).otherwise(bare)
     return F.translate(no_dots, ",", ".").try_cast("double")
 
 
-def currency_of(text: Column) -> Column:
-    word = F.regexp_extract(text, rf"({CURRENCY_WORD})", 1)
+def currency_of(word: Column) -> Column:
+    """ISO code of a printed currency; NULL for none."""
     out = F.when(word == "", F.lit(None))
     for symbol, iso in SYMBOLS.items():
         out = out.when(word == symbol, F.lit(iso))
     return out.otherwise(word)
 
 
-def tax_basis_of(text: Column) -> Column:
-    return blank_to_null(F.regexp_extract(text, r"\b(HT|TTC)\b", 1))
-
-
-def cadence_of(text: Column) -> Column:
-    out = F.when(F.lit(False), F.lit(""))
-    for pattern, period in CADENCE_WORDS:
-        out = out.when(text.rlike(pattern), F.lit(period))
-    return out.otherwise(F.lit("unknown"))
+def cadence_of(folded: Column) -> Column:
+    """First cadence a folded text names, else `unknown`."""
+    word = F.concat(F.regexp_extract(folded, CADENCE, 1), F.regexp_extract(folded, CADENCE, 2))
+    out = F.when(word == "", F.lit("unknown"))
+    for stem, period in CADENCE_STEMS.items():
+        out = out.when(F.startswith(word, F.lit(stem)), F.lit(period))
+    return out
 
 
-def is_recap(text: Column) -> Column:
+def is_recap(folded: Column) -> Column:
     """Total or recap wording, unless it is the price of a product family."""
-    return text.rlike(RECAP) & ~text.rlike(RECAP_EXCEPTION)
+    return folded.rlike(RECAP) & ~F.contains(folded, F.lit(RECAP_EXCEPTION))
 
 
-def line_flags(text: Column) -> Column:
-    zero = text.rlike(r"(?u)(?<![\p{L}\d.,])0(?:[.,]0+)?\s*€")
+def line_flags(folded: Column) -> Column:
+    zero = F.contains(folded, F.lit("€")) & folded.rlike(ZERO_PRICE)
     return F.struct(
-        text.rlike(ONE_TIME).alias("is_one_time"),
-        (text.rlike(INCLUDED) | zero).alias("is_included"),
-        text.rlike(VOLUME).alias("is_volume"),
-        text.rlike(OVERCONSUMPTION).alias("is_overconsumption"),
+        folded.rlike(ONE_TIME).alias("is_one_time"),
+        (folded.rlike(INCLUDED) | zero).alias("is_included"),
+        folded.rlike(VOLUME).alias("is_volume"),
+        folded.rlike(OVERCONSUMPTION).alias("is_overconsumption"),
     )
 
 
@@ -99,7 +94,7 @@ def volume_period(name: Column) -> Column:
     )
 
 
-DURATION = r"(?iu)^\s*(\d+(?:[.,]\d+)?)\s*(?:mois|months?)?\s*(.*)$"
+DURATION = r"^\s*(\d+(?:[.,]\d+)?)\s*(?:mois|Mois|MOIS|months?)?\s*((?s).*)$"
 
 
 def split_duration(text: Column, tacit: Column) -> Column:
@@ -116,35 +111,37 @@ def split_duration(text: Column, tacit: Column) -> Column:
 
 def service_start(text: Column, signature_av: Column, signature_cp: Column) -> Column:
     """The signature date when the text says so, else the date the text prints, else NULL."""
-    at_signature = text.rlike(r"(?iu)à la signature")
+    at_signature = F.contains(fold_accents(text), F.lit("a la signature"))
     return F.when(at_signature, F.coalesce(parse_date(signature_av), parse_date(signature_cp))).otherwise(
         parse_date(text)
     )
 
 
-UNIT_PRICE = r"(?iu)(\d+(?:[.,]\d+)?)\s*(?:€|EUR)"
+UNIT_PRICE = r"(\d+(?:[.,]\d+)?)\s*(?:€|EUR)"
 
 
 def overconsumption(text: Column) -> Column:
     """Unit price for excess use as text when printed, else the rule wording; NULL without such wording."""
+    folded = fold_accents(text)
     price = blank_to_null(F.translate(F.regexp_extract(text, UNIT_PRICE, 1), ",", "."))
-    about = text.rlike(OVERCONSUMPTION)
-    cadence = F.nullif(cadence_of(text), F.lit("unknown"))
+    about = folded.rlike(OVERCONSUMPTION)
+    cadence = F.nullif(cadence_of(folded), F.lit("unknown"))
     return F.struct(
         F.when(about, F.coalesce(price, F.left(squeeze(text), F.lit(160)))).alias("price"),
         F.when(about, price.try_cast("double")).alias("unit_price"),
         F.when(about, cadence).alias("periodicity"),
-        F.when(about & text.rlike(r"(?iu)terme échu|\béchu\b"), F.lit("Échu"))
-        .when(about & text.rlike(r"(?iu)à échoir"), F.lit("À échoir"))
+        F.when(about & folded.rlike(r"\bechue?s?\b"), F.lit("Échu"))
+        .when(about & F.contains(folded, F.lit("a echoir")), F.lit("À échoir"))
         .alias("term_mode"),
     )
 
 
-CHECKED = r"(?u)☒\s*(\p{L}+)"
+CHECKED = r"☒\s*(\p{L}+)"
 # Folded wording on the form -> enum member.
 METHOD_WORDS = {
     "virement": "virement", "prelevement": "prelevement", "cheque": "cheque", "portal": "portal", "portail": "portal",
 }
+DELAY = r"([AÀ] \d+ jours(?: fin de mois| date de facture)?)"
 
 
 def payment_methods(text: Column) -> Column:
@@ -162,16 +159,24 @@ def payment_methods(text: Column) -> Column:
 
 def payment_terms(text: Column) -> Column:
     """The delay wording, such as `A 45 jours date de facture`."""
-    return blank_to_null(F.regexp_extract(text, r"(?iu)([AÀ] \d+ jours(?: fin de mois| date de facture)?)", 1))
+    return blank_to_null(F.regexp_extract(text, DELAY, 1))
+
+
+FORMULA = r"(PN?\s*=\s*[^,;\n]+)"
+PERCENT = r"(\d+(?:[.,]\d+)?)\s*%"
+COMPUTED = r"\b((?:annuelle|semestrielle|trimestrielle|mensuelle)ment)\b"
+APPLIED = r"(?i)\b(le 1er \p{L}+)"
+APPLIED_FROM = r"\ba (?:partir|compter) de (\d{4})"
 
 
 def reval_terms(text: Column) -> Column:
     """Revaluation method, rate when fixed, formula with its cap, and the timing wordings."""
-    rate = F.translate(F.regexp_extract(text, r"(?u)(\d+(?:[.,]\d+)?)\s*%", 1), ",", ".").try_cast("double")
-    formula = blank_to_null(F.regexp_extract(text, r"(?u)(PN?\s*=\s*[^,;\n]+)", 1))
+    folded = fold_accents(text)
+    rate = F.translate(F.regexp_extract(text, PERCENT, 1), ",", ".").try_cast("double")
+    formula = blank_to_null(F.regexp_extract(text, FORMULA, 1))
     cap = blank_to_null(F.regexp_extract(text, CAP, 1))
-    about = text.rlike(r"(?iu)revalori|révis|index|syntec") | formula.isNotNull()
-    indexed = formula.isNotNull() | text.rlike(r"(?iu)syntec|indice")
+    indexed = formula.isNotNull() | folded.rlike("syntec|indice")
+    about = folded.rlike("revalori|revis|index|syntec") | formula.isNotNull()
     fixed = ~indexed & rate.isNotNull()
     return F.struct(
         F.when(about & indexed, F.lit("index_formula"))
@@ -180,7 +185,7 @@ def reval_terms(text: Column) -> Column:
         .alias("reval_method"),
         F.when(about & fixed, rate).alias("reval_rate_per"),
         F.when(about & indexed, F.concat_ws(", ", strip(formula), cap)).alias("reval_formula"),
-        F.when(about, blank_to_null(F.lower(F.regexp_extract(text, r"(?iu)\b(annuellement|semestriellement|trimestriellement|mensuellement)\b", 1)))).alias("reval_compute_when"),
-        F.when(about, blank_to_null(F.regexp_extract(text, r"(?iu)\b(le 1er \p{L}+)", 1))).alias("reval_apply_when"),
-        F.when(about, blank_to_null(F.regexp_extract(text, r"(?iu)à (?:partir|compter) de (\d{4})", 1))).alias("reval_apply_from"),
+        F.when(about, blank_to_null(F.regexp_extract(folded, COMPUTED, 1))).alias("reval_compute_when"),
+        F.when(about, blank_to_null(F.regexp_extract(text, APPLIED, 1))).alias("reval_apply_when"),
+        F.when(about, blank_to_null(F.regexp_extract(folded, APPLIED_FROM, 1))).alias("reval_apply_from"),
     )

@@ -78,8 +78,8 @@ def affairs_list(text: Column) -> Column:
 
 
 def fold_accents(col: Column) -> Column:
-    """Lower case without the French accents."""
-    return F.translate(F.lower(col), "àâäéèêëîïôöùûüç", "aaaeeeeiioouuuc")
+    """Lower case without the French accents, so that wordings can be tested as plain ASCII."""
+    return F.translate(F.lower(col), "àâäéèêëîïôöùûüçœ’", "aaaeeeeiioouuuco'")
 
 
 def clean_evidence(col: Column, max_len: int = 80) -> Column:

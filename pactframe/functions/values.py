@@ -16,7 +16,9 @@ MONTH_STEMS = {
     "jan": 1, "fev": 2, "feb": 2, "mar": 3, "avr": 4, "apr": 4, "mai": 5, "may": 5, "juin": 6, "jun": 6,
     "juil": 7, "jul": 7, "aou": 8, "aug": 8, "sep": 9, "oct": 10, "nov": 11, "dec": 12,
 }
-NAMED_DATE = r"^(\d{1,2})(?:er)?\s+(\p{L}+)\.?\s+(\d{4})$"
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
+DAY_FIRST = r"^\d{2}/\d{2}/\d{4}$"
+NAMED_DATE = r"^(\d{1,2})(?:er)? +([a-z]+)\.? +(\d{4})$"
 NUMBER = r"(?i)^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?)$"
 
 
@@ -25,18 +27,21 @@ def _literal_map(values: dict) -> Column:
 
 
 def parse_date(col: Column) -> Column:
-    """ISO, day-first, or day + month name (French or English); anything else is NULL."""
+    """ISO, day-first, or day + month name (French or English); anything else is NULL.
+
+    The shape is tested first, so text that is no date costs no failed parse.
+    """
     text = strip(col)
-    word = fold_accents(F.regexp_extract(text, NAMED_DATE, 2))
+    low = fold_accents(text)
+    word = F.regexp_extract(low, NAMED_DATE, 2)
     stem = F.when(word.startswith("jui"), F.left(word, F.lit(4))).otherwise(F.left(word, F.lit(3)))
     month = F.try_element_at(_literal_map(MONTH_STEMS), stem)
-    named = F.concat_ws(
-        "-", F.regexp_extract(text, NAMED_DATE, 3), month.cast("string"), F.regexp_extract(text, NAMED_DATE, 1)
-    )
-    return F.coalesce(
-        F.try_to_date(text, "yyyy-MM-dd"),
-        F.try_to_date(text, "dd/MM/yyyy"),
-        F.when(month.isNotNull(), F.try_to_date(named, "yyyy-M-d")),
+    year, day = F.regexp_extract(low, NAMED_DATE, 3), F.regexp_extract(low, NAMED_DATE, 1)
+    turned = F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2))
+    return (
+        F.when(text.rlike(ISO_DATE), text.try_cast("date"))
+        .when(text.rlike(DAY_FIRST), turned.try_cast("date"))
+        .when(low.rlike(NAMED_DATE) & month.isNotNull(), F.concat_ws("-", year, month.cast("string"), day).try_cast("date"))
     )
 
 

@@ -53,10 +53,11 @@ def match_by_description(cp: DataFrame, av: DataFrame, max_ratio: float = 0.3) -
     probes = probes.selectExpr("*", f"{allowed} as d").filter("abs(l - m) <= d")
     probes = probes.selectExpr("*", "explode(sequence(0, d)) as i")
     probes = probes.selectExpr("*", "(i * l) div (d + 1) as at", "((i + 1) * l) div (d + 1) - (i * l) div (d + 1) as size")
-    probes = probes.filter("size <= m").selectExpr(
+    # of the segments left whole, one has at most i edits before it and d - i after it
+    low, high = "greatest(0, at - i, at + m - l - (d - i))", "least(m - size, at + i, at + m - l + (d - i))"
+    probes = probes.selectExpr("*", f"cast({low} as int) as low", f"cast({high} as int) as high").filter("low <= high").selectExpr(
         "affair_id", "av_desc", "l as seg_l", "d as seg_d", "i as seg_i",
-        "explode(array_distinct(transform(sequence(cast(greatest(0, least(at - d, m - size)) as int), cast(greatest(0, least(at + d, m - size)) as int)),"
-        " p -> substring(av_desc, p + 1, cast(size as int))))) as piece",
+        "explode(array_distinct(transform(sequence(low, high), p -> substring(av_desc, p + 1, cast(size as int))))) as piece",
     )
     keys = ["affair_id", "seg_l", "seg_d", "seg_i", "piece"]
     candidates = probes.join(left, keys).select("affair_id", "av_desc", "cp_desc").distinct()

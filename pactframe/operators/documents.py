@@ -147,7 +147,7 @@ def with_parts(classified: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame:
 
 def _joined_text(flag: str) -> Column:
     texts = F.collect_list(F.when(F.col(flag), F.struct("id", F.coalesce("content", F.lit("")).alias("content"))))
-    return F.array_join(F.transform(F.array_sort(texts), lambda d: d["content"]), "\n")
+    return F.array_join(F.sort_array(texts).getField("content"), "\n")
 
 
 def concat_contents(classified: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame:

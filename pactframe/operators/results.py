@@ -27,8 +27,8 @@ def pack_results(products: DataFrame, columns: list[str] | None = None, max_rows
     body = F.struct(*[_packed(products.schema[c]) for c in columns])
     part = F.floor((F.col("seq") - 1) / max_rows).cast("int")
     rows = products.select(F.col("affair_id").cast("string").alias("id"), part.alias("part"), F.struct("seq", body.alias("row")).alias("entry"))
-    packed = rows.groupBy("id", "part").agg(F.array_sort(F.collect_list("entry")).alias("entries"))
-    return packed.select("id", "part", F.transform("entries", lambda e: e["row"]).alias("rows"))
+    packed = rows.groupBy("id", "part").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
+    return packed.select("id", "part", F.col("entries.row").alias("rows"))
 
 
 def unpack_results(results: DataFrame, max_rows: int = MAX_PACKED) -> DataFrame:

@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pactframe.functions.contract import NOT_TACIT, TACIT, payment_methods, payment_terms, reval_terms
-from pactframe.functions.text import blank_to_null, squeeze
+from pactframe.functions.text import blank_to_null, fold_accents, squeeze
 from pactframe.functions.values import parse_date
 from pactframe.schemas import CURRENCIES
 
 # --- fixed values: where a document states a term ---------------------------
 CONTRACT_NUMBER = r"(?<![\d-])(\d+-\d+)(?![\d-])"
-CURRENCY = r"(?iu)devise de facturation\s*:?\s*(" + "|".join(CURRENCIES) + r")\b"
-SIGNED = r"(?iu)(?:date de signature|signé le|sign[ée]e? le)\s*:?\s*(\d{1,2}/\d{2}/\d{4}|\d{4}-\d{2}-\d{2}|\d{1,2} \p{L}+ \d{4})"
-ORDER_FORM = r"(?iu)bon de commande\s+(\d{6} \d{6}|[\w-]*\d[\w-]*)"
-BILLING_START = r"(?iu)début de facturation\s*:?\s*([^\n]+)"
+CURRENCY = r"[Dd]evise de facturation\s*:?\s*(" + "|".join(CURRENCIES) + r")\b"
+SIGNED = r"(?:[Dd]ate de signature|[Ss]igné(?:e)? le)\s*:?\s*(\d{1,2}/\d{2}/\d{4}|\d{4}-\d{2}-\d{2}|\d{1,2} \p{L}+ \d{4})"
+ORDER_FORM_WORDS = "bon de commande"
+ORDER_FORM = r"(?i)bon de commande\s+(\d{6} \d{6}|[\w-]*\d[\w-]*)"
+BILLING_START = r"[Dd]ébut de facturation\s*:?\s*([^\n]+)"
 NEW_STYLE_YEAR = 2023
 # --- end of fixed values ----------------------------------------------------
 
@@ -27,15 +28,16 @@ def contract_terms(docs: DataFrame) -> DataFrame:
     the CP can override the CG (`resolve_terms`).
     """
     text = F.col("content")
+    folded = fold_accents(text)
     keys = [c for c in docs.columns if c != "content"]
     signed = parse_date(F.regexp_extract(text, SIGNED, 1))
     return docs.select(
         *keys,
         blank_to_null(F.regexp_extract(text, CONTRACT_NUMBER, 1)).alias("numero_de_contrat"),
-        F.upper(blank_to_null(F.regexp_extract(text, CURRENCY, 1))).alias("devise_de_facturation"),
-        F.when(text.rlike(NOT_TACIT), F.lit(False)).when(text.rlike(TACIT), F.lit(True)).alias("reconduction_tacite"),
+        blank_to_null(F.regexp_extract(text, CURRENCY, 1)).alias("devise_de_facturation"),
+        F.when(folded.rlike(NOT_TACIT), F.lit(False)).when(folded.rlike(TACIT), F.lit(True)).alias("reconduction_tacite"),
         blank_to_null(F.regexp_extract(text, r"\b(HT|TTC)\b", 1)).alias("tax_basis"),
-        text.rlike(r"(?iu)bon de commande").alias("bon_de_commande"),
+        F.contains(folded, F.lit(ORDER_FORM_WORDS)).alias("bon_de_commande"),
         blank_to_null(F.regexp_extract(text, ORDER_FORM, 1)).alias("bon_de_commande_code"),
         blank_to_null(squeeze(F.regexp_extract(text, BILLING_START, 1))).alias("debut_facturation"),
         signed.alias("signature_date"),

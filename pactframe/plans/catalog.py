@@ -409,7 +409,7 @@ def parse_numbers(spark, sf):
 @query
 def line_flags(spark, sf):
     lines = read.text_lines(views.lines(spark, sf))
-    return lines.select("id", "line_no", contract.line_flags(F.col("line")).alias("f")).select("id", "line_no", "f.*")
+    return lines.select("id", "line_no", contract.line_flags(text.fold_accents(F.col("line"))).alias("f")).select("id", "line_no", "f.*")
 
 
 @query
