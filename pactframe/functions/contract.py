@@ -5,26 +5,53 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pactframe.functions.text import blank_to_null, fold_accents, squeeze, strip
+from pactframe.functions.text import blank_to_null, first_match, fold_accents, literal_map, squeeze, strip
 from pactframe.functions.values import parse_date
+from pactframe.schemas import CURRENCIES
 
 # --- fixed values: wordings that carry a meaning ----------------------------
-# On folded text (lower case, no accents):
+# On the text in lower case:
 ONE_TIME = (
-    r"\b(?:concession|licen[cs]es?|droits? d'usage|otc|mise en oe?uvre|set-?up|milestone|on order|"
+    r"\b(?:concession|licen[cs]es?|droits? d['’]usage|otc|mise en (?:œ|oe)uvre|set-?up|milestone|on order|"
     r"after design phase|at delivery|end of uat|production start-?up|kick-?off|hypercare)\b"
 )
 INCLUDED = r"\b(?:inclus|gratuit|compris)e?s?\b"
-ZERO_PRICE = r"(?<![a-z\d.,])0(?:[.,]0+)?\s*€"
-VOLUME = r"\b(?:volumes?|unites? d'oe?uvre|paliers?|s[12]|degressif|utilisateurs?|supplementaires?)\b"
+ZERO_PRICE = r"(?<![\p{L}\d.,])0(?:[.,]0+)?\s*€"
+VOLUME = r"\b(?:volumes?|unit[ée]s? d['’](?:œ|oe)uvre|paliers?|s[12]|d[ée]gressif|utilisateurs?|suppl[ée]mentaires?)\b"
 OVERCONSUMPTION = (
-    r"depassement|complement de consommation|surconsommation|au-dela de l'engagement|utilisateur supplementaire|"
-    r"seat additionnel|palier|unite d'oe?uvre|\bs[12]\b|degressif"
+    r"d[ée]passement|compl[ée]ment de consommation|surconsommation|au-del[àa] de l['’]engagement|"
+    r"utilisateur suppl[ée]mentaire|seat additionnel|palier|unit[ée] d['’](?:œ|oe)uvre|\bs[12]\b|d[ée]gressif"
 )
-RECAP = r"^[\s|*-]*(?:sous-total|total|recap)"
+RECAP = r"^[\s|*-]*(?:sous-total|total|r[ée]cap)"
 RECAP_EXCEPTION = "montant forfaitaire mensuel total"
-CADENCE = r"(?:par |/ ?)(trimestre|semestre|mois|an\b)|(trimestriel|semestriel|mensuel|annuel)"
-CADENCE_STEMS = {"trimestr": "Trimestrielle", "semestr": "Semestrielle", "m": "Mensuelle", "an": "Annuelle"}
+CADENCE = r"(trimestriel|semestriel|mensuel|annuel|(?:par |/ |/)(?:trimestre|semestre|mois|an\b))"
+CADENCE_NOUNS = {"mois": "Mensuelle", "trimestre": "Trimestrielle", "semestre": "Semestrielle", "an": "Annuelle"}
+CADENCE_WORDS = {
+    "mensuel": "Mensuelle", "trimestriel": "Trimestrielle", "semestriel": "Semestrielle", "annuel": "Annuelle",
+    **{lead + noun: period for noun, period in CADENCE_NOUNS.items() for lead in ("par ", "/ ", "/")},
+}
+SLA = r"\bsla\b|niveaux? de services?"
+SLA_LEVEL = r"\b(standard|premium)\b"
+TACIT = r"reconduction tacite|tacite reconduction|renouvellement automatique|automatic (?:reconduction|renewal)"
+NOT_TACIT = r"(?:sans|pas de|aucune|exclut (?:toute|la)) (?:reconduction tacite|tacite reconduction|renouvellement automatique)"
+AT_SIGNATURE = r"[àa] la signature"
+IN_ARREARS = r"(?<!\p{L})[ée]chue?s?(?!\p{L})"
+IN_ADVANCE = r"[àa] [ée]choir"
+# On the text as printed:
+AMOUNT = r"(?=[-−\d])(?<![\p{L}\d.,])[-−]?(?:\d{1,3}(?:[ .  ]\d{3})+|\d+)(?:[.,]\d+)?"
+CURRENCY_WORD = r"€|EUR|\$|USD|£|GBP|CHF|CAD|AUD|¥|JPY"
+GAP = r"[ \t  ]*"  # an amount and its currency stand on one line
+PRICED = rf"({AMOUNT}){GAP}(?:({CURRENCY_WORD})(?:{GAP}(HT|TTC)\b)?|(HT|TTC)\b)"
+CURRENCY_CODES = {"€": "EUR", "$": "USD", "£": "GBP", "¥": "JPY", **{c: c for c in CURRENCIES}}
+THOUSANDS_DOT = r"(?<=[1-9][\d.]{0,9})\.(?=\d{3}(?:\D|$))"
+CAP = r"^[\s|*-]*(?:sous-total|total|recap)"
+RECAP_EXCEPTION = "montant forfaitaire mensuel total"
+CADENCE = r"(trimestriel|semestriel|mensuel|annuel|(?:par |/ |/)(?:trimestre|semestre|mois|an\b))"
+CADENCE_NOUNS = {"mois": "Mensuelle", "trimestre": "Trimestrielle", "semestre": "Semestrielle", "an": "Annuelle"}
+CADENCE_WORDS = {
+    "mensuel": "Mensuelle", "trimestriel": "Trimestrielle", "semestriel": "Semestrielle", "annuel": "Annuelle",
+    **{lead + noun: period for noun, period in CADENCE_NOUNS.items() for lead in ("par ", "/ ", "/")},
+}
 SLA = r"\bsla\b|niveaux? de services?"
 SLA_LEVEL = r"\b(standard|premium)\b"
 TACIT = r"reconduction tacite|tacite reconduction|renouvellement automatique|automatic (?:reconduction|renewal)"
@@ -40,41 +67,32 @@ CAP = r"(?i)(plafonné\p{L}*\s+à\s+\d+(?:[.,]\d+)?\s*%)"
 
 def amount_value(raw: Column) -> Column:
     """Number as printed: thousands separators out, decimal comma to point."""
-    bare = F.translate(raw, "   −", "")
-    bare = F.when(F.startswith(raw, F.lit("−")), F.concat(F.lit("-"), bare)).otherwise(bare)
-    no_dots = F.when(F.contains(bare, F.lit(".")), F.regexp_replace(bare, r"\.(?=\d{3}(?:\D|$))", "")).otherwise(bare)
-    return F.translate(no_dots, ",", ".").try_cast("double")
+    return F.translate(F.regexp_replace(raw, THOUSANDS_DOT, ""), "−,  " + " ", "-.").try_cast("double")
 
 
 def currency_of(word: Column) -> Column:
     """ISO code of a printed currency; NULL for none."""
-    out = F.when(word == "", F.lit(None))
-    for symbol, iso in SYMBOLS.items():
-        out = out.when(word == symbol, F.lit(iso))
-    return out.otherwise(word)
+    return F.try_element_at(literal_map(CURRENCY_CODES), word)
 
 
-def cadence_of(folded: Column) -> Column:
-    """First cadence a folded text names, else `unknown`."""
-    word = F.concat(F.regexp_extract(folded, CADENCE, 1), F.regexp_extract(folded, CADENCE, 2))
-    out = F.when(word == "", F.lit("unknown"))
-    for stem, period in CADENCE_STEMS.items():
-        out = out.when(F.startswith(word, F.lit(stem)), F.lit(period))
-    return out
+def cadence_of(low: Column) -> Column:
+    """First cadence a lower-case text names, else `unknown`."""
+    named = F.try_element_at(literal_map(CADENCE_WORDS), F.regexp_extract(low, CADENCE, 1))
+    return F.coalesce(named, F.lit("unknown"))
 
 
-def is_recap(folded: Column) -> Column:
+def is_recap(low: Column) -> Column:
     """Total or recap wording, unless it is the price of a product family."""
-    return folded.rlike(RECAP) & ~F.contains(folded, F.lit(RECAP_EXCEPTION))
+    return low.rlike(RECAP) & ~F.contains(low, F.lit(RECAP_EXCEPTION))
 
 
-def line_flags(folded: Column) -> Column:
-    zero = F.contains(folded, F.lit("€")) & folded.rlike(ZERO_PRICE)
+def line_flags(low: Column) -> Column:
+    zero = F.contains(low, F.lit("€")) & low.rlike(ZERO_PRICE)
     return F.struct(
-        folded.rlike(ONE_TIME).alias("is_one_time"),
-        (folded.rlike(INCLUDED) | zero).alias("is_included"),
-        folded.rlike(VOLUME).alias("is_volume"),
-        folded.rlike(OVERCONSUMPTION).alias("is_overconsumption"),
+        low.rlike(ONE_TIME).alias("is_one_time"),
+        (low.rlike(INCLUDED) | zero).alias("is_included"),
+        low.rlike(VOLUME).alias("is_volume"),
+        low.rlike(OVERCONSUMPTION).alias("is_overconsumption"),
     )
 
 
@@ -88,9 +106,9 @@ VOLUME_NAME = r"^Abonnement volume (.+) — (\d{4}) (S[12])$"
 def volume_period(name: Column) -> Column:
     """Family, year and half-year of a volume product name; NULL fields for other names."""
     return F.struct(
-        blank_to_null(F.regexp_extract(name, VOLUME_NAME, 1)).alias("family"),
+        first_match(name, VOLUME_NAME, 1).alias("family"),
         F.regexp_extract(name, VOLUME_NAME, 2).try_cast("int").alias("year"),
-        blank_to_null(F.regexp_extract(name, VOLUME_NAME, 3)).alias("half"),
+        first_match(name, VOLUME_NAME, 3).alias("half"),
     )
 
 
@@ -99,7 +117,7 @@ DURATION = r"^\s*(\d+(?:[.,]\d+)?)\s*(?:mois|Mois|MOIS|months?)?\s*((?s).*)$"
 
 def split_duration(text: Column, tacit: Column) -> Column:
     """Months and the remainder; with tacit renewal the duration is `indeterminé`."""
-    months = blank_to_null(F.regexp_extract(text, DURATION, 1))
+    months = first_match(text, DURATION)
     rest = F.when(months.isNotNull(), F.regexp_extract(text, DURATION, 2)).otherwise(text)
     holds = F.coalesce(tacit, F.lit(False))
     return F.struct(
@@ -111,7 +129,7 @@ def split_duration(text: Column, tacit: Column) -> Column:
 
 def service_start(text: Column, signature_av: Column, signature_cp: Column) -> Column:
     """The signature date when the text says so, else the date the text prints, else NULL."""
-    at_signature = F.contains(fold_accents(text), F.lit("a la signature"))
+    at_signature = F.lower(text).rlike(AT_SIGNATURE)
     return F.when(at_signature, F.coalesce(parse_date(signature_av), parse_date(signature_cp))).otherwise(
         parse_date(text)
     )
@@ -120,24 +138,25 @@ def service_start(text: Column, signature_av: Column, signature_cp: Column) -> C
 UNIT_PRICE = r"(\d+(?:[.,]\d+)?)\s*(?:€|EUR)"
 
 
-def overconsumption(text: Column) -> Column:
+def overconsumption(text: Column, low: Column | None = None) -> Column:
     """Unit price for excess use as text when printed, else the rule wording; NULL without such wording."""
-    folded = fold_accents(text)
-    price = blank_to_null(F.translate(F.regexp_extract(text, UNIT_PRICE, 1), ",", "."))
-    about = folded.rlike(OVERCONSUMPTION)
-    cadence = F.nullif(cadence_of(folded), F.lit("unknown"))
-    return F.struct(
-        F.when(about, F.coalesce(price, F.left(squeeze(text), F.lit(160)))).alias("price"),
-        F.when(about, price.try_cast("double")).alias("unit_price"),
-        F.when(about, cadence).alias("periodicity"),
-        F.when(about & folded.rlike(r"\bechue?s?\b"), F.lit("Échu"))
-        .when(about & F.contains(folded, F.lit("a echoir")), F.lit("À échoir"))
-        .alias("term_mode"),
+    low = F.lower(text) if low is None else low
+    price = F.translate(first_match(text, UNIT_PRICE), ",", ".")
+    return F.when(
+        low.rlike(OVERCONSUMPTION),
+        F.struct(
+            F.coalesce(price, F.left(squeeze(text), F.lit(160))).alias("price"),
+            price.try_cast("double").alias("unit_price"),
+            F.nullif(cadence_of(low), F.lit("unknown")).alias("periodicity"),
+            F.when(low.rlike(IN_ARREARS), F.lit("Échu"))
+            .when(low.rlike(IN_ADVANCE), F.lit("À échoir"))
+            .alias("term_mode"),
+        ),
     )
 
 
 CHECKED = r"☒\s*(\p{L}+)"
-# Folded wording on the form -> enum member.
+# Plain wording on the form -> enum member.
 METHOD_WORDS = {
     "virement": "virement", "prelevement": "prelevement", "cheque": "cheque", "portal": "portal", "portail": "portal",
 }
@@ -147,45 +166,41 @@ DELAY = r"([AÀ] \d+ jours(?: fin de mois| date de facture)?)"
 def payment_methods(text: Column) -> Column:
     """Checked boxes as enum members in form order; unknown ones are `other`."""
 
+    known = literal_map(METHOD_WORDS)
+
     def member(word: Column) -> Column:
-        folded = fold_accents(word)
-        out = F.when(F.lit(False), F.lit(""))
-        for stem, name in METHOD_WORDS.items():
-            out = out.when(F.startswith(folded, F.lit(stem)), F.lit(name))
-        return out.otherwise(F.lit("other"))
+        return F.coalesce(F.try_element_at(known, fold_accents(word)), F.lit("other"))
 
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(CHECKED), F.lit(1)), member))
 
 
 def payment_terms(text: Column) -> Column:
     """The delay wording, such as `A 45 jours date de facture`."""
-    return blank_to_null(F.regexp_extract(text, DELAY, 1))
+    return first_match(text, DELAY)
 
 
 FORMULA = r"(PN?\s*=\s*[^,;\n]+)"
 PERCENT = r"(\d+(?:[.,]\d+)?)\s*%"
 COMPUTED = r"\b((?:annuelle|semestrielle|trimestrielle|mensuelle)ment)\b"
 APPLIED = r"(?i)\b(le 1er \p{L}+)"
-APPLIED_FROM = r"\ba (?:partir|compter) de (\d{4})"
+APPLIED_FROM = r"(?<!\p{L})[àa] (?:partir|compter) de (\d{4})"
 
 
-def reval_terms(text: Column) -> Column:
+def reval_terms(text: Column, low: Column | None = None) -> Column:
     """Revaluation method, rate when fixed, formula with its cap, and the timing wordings."""
-    folded = fold_accents(text)
-    rate = F.translate(F.regexp_extract(text, PERCENT, 1), ",", ".").try_cast("double")
-    formula = blank_to_null(F.regexp_extract(text, FORMULA, 1))
-    cap = blank_to_null(F.regexp_extract(text, CAP, 1))
-    indexed = formula.isNotNull() | folded.rlike("syntec|indice")
-    about = folded.rlike("revalori|revis|index|syntec") | formula.isNotNull()
-    fixed = ~indexed & rate.isNotNull()
-    return F.struct(
-        F.when(about & indexed, F.lit("index_formula"))
-        .when(about & fixed, F.lit("fixed_rate"))
-        .when(about, F.lit("textual"))
-        .alias("reval_method"),
-        F.when(about & fixed, rate).alias("reval_rate_per"),
-        F.when(about & indexed, F.concat_ws(", ", strip(formula), cap)).alias("reval_formula"),
-        F.when(about, blank_to_null(F.regexp_extract(folded, COMPUTED, 1))).alias("reval_compute_when"),
-        F.when(about, blank_to_null(F.regexp_extract(text, APPLIED, 1))).alias("reval_apply_when"),
-        F.when(about, blank_to_null(F.regexp_extract(folded, APPLIED_FROM, 1))).alias("reval_apply_from"),
+    low = F.lower(text) if low is None else low
+    formula = first_match(text, FORMULA)
+    indexed = F.contains(low, F.lit("syntec")) | F.contains(low, F.lit("indice")) | formula.isNotNull()
+    about = low.rlike("revalori|r[ée]vis|index|syntec") | formula.isNotNull()
+    rate = F.translate(first_match(text, PERCENT), ",", ".").try_cast("double")
+    return F.when(
+        about,
+        F.struct(
+            F.when(indexed, F.lit("index_formula")).when(rate.isNotNull(), F.lit("fixed_rate")).otherwise(F.lit("textual")).alias("reval_method"),
+            F.when(~indexed, rate).alias("reval_rate_per"),
+            F.when(indexed, F.concat_ws(", ", strip(formula), first_match(text, CAP))).alias("reval_formula"),
+            first_match(low, COMPUTED).alias("reval_compute_when"),
+            first_match(text, APPLIED).alias("reval_apply_when"),
+            first_match(low, APPLIED_FROM).alias("reval_apply_from"),
+        ),
     )

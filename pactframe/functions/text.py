@@ -78,8 +78,17 @@ def affairs_list(text: Column) -> Column:
 
 
 def fold_accents(col: Column) -> Column:
-    """Lower case without the French accents, so that wordings can be tested as plain ASCII."""
-    return F.translate(F.lower(col), "àâäéèêëîïôöùûüçœ’", "aaaeeeeiioouuuco'")
+    """Lower case without the French accents. For words; long texts are tested in plain lower case."""
+    return F.translate(F.lower(col), "àâäéèêëîïôöùûüç", "aaaeeeeiioouuuc")
+
+
+def literal_map(values: dict) -> Column:
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+
+
+def first_match(col: Column, pattern: str, group: int = 1) -> Column:
+    """The group of the first match, NULL without one; evaluates its input once."""
+    return F.try_element_at(F.regexp_extract_all(col, F.lit(pattern), F.lit(group)), F.lit(1))
 
 
 def clean_evidence(col: Column, max_len: int = 80) -> Column:

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pactframe.functions.text import fold_accents, strip
+from pactframe.functions.text import fold_accents, literal_map, strip
 from pactframe.schemas import PERIODS
 
 # First letters of the month names read in contracts, accents folded.
@@ -22,10 +20,6 @@ NAMED_DATE = r"^(\d{1,2})(?:er)? +([a-z]+)\.? +(\d{4})$"
 NUMBER = r"(?i)^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?)$"
 
 
-def _literal_map(values: dict) -> Column:
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
-
-
 def parse_date(col: Column) -> Column:
     """ISO, day-first, or day + month name (French or English); anything else is NULL.
 
@@ -35,7 +29,7 @@ def parse_date(col: Column) -> Column:
     low = fold_accents(text)
     word = F.regexp_extract(low, NAMED_DATE, 2)
     stem = F.when(word.startswith("jui"), F.left(word, F.lit(4))).otherwise(F.left(word, F.lit(3)))
-    month = F.try_element_at(_literal_map(MONTH_STEMS), stem)
+    month = F.try_element_at(literal_map(MONTH_STEMS), stem)
     year, day = F.regexp_extract(low, NAMED_DATE, 3), F.regexp_extract(low, NAMED_DATE, 1)
     turned = F.concat_ws("-", F.substring(text, 7, 4), F.substring(text, 4, 2), F.substring(text, 1, 2))
     return (
@@ -53,7 +47,7 @@ def parse_number(col: Column) -> Column:
 
 def months_of(period: Column) -> Column:
     """Months in a named period; NULL for unknown ones."""
-    return reduce(lambda acc, kv: acc.when(period == kv[0], F.lit(kv[1])), PERIODS.items(), F.when(F.lit(False), F.lit(0)))
+    return F.try_element_at(literal_map(PERIODS), period)
 
 
 def missing_to_null(col: Column) -> Column:

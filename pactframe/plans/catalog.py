@@ -408,8 +408,8 @@ def parse_numbers(spark, sf):
 
 @query
 def line_flags(spark, sf):
-    lines = read.text_lines(views.lines(spark, sf))
-    return lines.select("id", "line_no", contract.line_flags(text.fold_accents(F.col("line"))).alias("f")).select("id", "line_no", "f.*")
+    lines = read.text_lines(views.lines(spark, sf), low=True)
+    return lines.select("id", "line_no", contract.line_flags(F.col("low")).alias("f")).select("id", "line_no", "f.*")
 
 
 @query
@@ -419,7 +419,7 @@ def priced_lines(spark, sf):
 
 @query
 def drop_recaps(spark, sf):
-    return read.drop_recaps(read.text_lines(views.lines(spark, sf))).select("affair_id", "id", "line_no", F.md5("line").alias("line_md5"))
+    return read.drop_recaps(read.text_lines(views.lines(spark, sf), low=True)).select("affair_id", "id", "line_no", F.md5("line").alias("line_md5"))
 
 
 @query
@@ -460,8 +460,10 @@ def overconsumption(spark, sf):
         " when 1 then concat('unité d’œuvre surcotée de ', cast(l_quantity as int), '% vs palier, facturée par semestre, terme échu')"
         " when 2 then 'Hébergement 10 € par an' else null end"
     )
-    return views.table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity", contract.overconsumption(wording).alias("o")
+    said = views.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", wording.alias("said"))
+    said = said.withColumn("low", F.lower("said"))
+    return said.select(
+        "l_orderkey", "l_linenumber", "l_quantity", contract.overconsumption(F.col("said"), F.col("low")).alias("o")
     ).select("l_orderkey", "l_linenumber", "l_quantity", "o.*")
 
 
@@ -494,7 +496,8 @@ def contract_terms(spark, sf):
 
 @query
 def reval_terms(spark, sf):
-    return views.contract_texts(spark, sf).select("id", contract.reval_terms(F.col("content")).alias("r")).select("id", "r.*")
+    texts = views.contract_texts(spark, sf).withColumn("low", F.lower("content"))
+    return texts.select("id", contract.reval_terms(F.col("content"), F.col("low")).alias("r")).select("id", "r.*")
 
 
 @query

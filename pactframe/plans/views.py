@@ -13,6 +13,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """An input of fewer pieces than cores is dealt out first; a large one is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def paths(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").withColumn(
         "path",
@@ -140,7 +146,7 @@ def responses(spark: SparkSession, sf: str) -> DataFrame:
     )
     cut = F.expr("event_id % 97 = 0")
     text = F.expr(full)
-    return table(spark, sf, "events").select(
+    return spread(table(spark, sf, "events").drop("ts")).select(
         F.col("event_id").cast("string").alias("request_id"),
         F.col("user_id").cast("string").alias("affair_id"),
         F.when(cut, F.left(text, F.length(text) - 5)).otherwise(text).alias("arguments"),
@@ -161,7 +167,9 @@ def _money(cents: str) -> str:
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """A text of one to three lines per order line: priced lines, recaps, service levels, discounts."""
-    rows = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    used = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"]
+    rows = spread(table(spark, sf, "lineitem").select(*used))
+    rows = rows.join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     rows = rows.withColumns(
         {"cents": F.expr("cast(round(l_extendedprice * 100) as bigint)"), "units": F.expr("cast(l_quantity as bigint) * 100")}
     )
@@ -203,7 +211,7 @@ def contract_texts(spark: SparkSession, sf: str) -> DataFrame:
         " when 1 then concat('Indexation : PN = PN-1 × (SN/SN-1), plafonnée à ', 1 + o_custkey % 5, '%')"
         " when 2 then 'Révision selon accord des parties' end",
     ]
-    return table(spark, sf, "orders").select(
+    return spread(table(spark, sf, "orders").drop("o_totalprice")).select(
         F.col("o_orderkey").cast("string").alias("id"),
         F.expr("concat_ws('\n', " + ", ".join(parts) + ")").alias("content"),
     )
