@@ -38,36 +38,19 @@ AT_SIGNATURE = r"[àa] la signature"
 IN_ARREARS = r"(?<!\p{L})[ée]chue?s?(?!\p{L})"
 IN_ADVANCE = r"[àa] [ée]choir"
 # On the text as printed:
-AMOUNT = r"(?=[-−\d])(?<![\p{L}\d.,])[-−]?(?:\d{1,3}(?:[ .  ]\d{3})+|\d+)(?:[.,]\d+)?"
+AMOUNT = r"(?=[-−\d])(?<![\p{L}\d.,])[-−]?(?:\d{1,3}(?:[ .\u00a0\u202f]\d{3})+|\d+)(?:[.,]\d+)?"
 CURRENCY_WORD = r"€|EUR|\$|USD|£|GBP|CHF|CAD|AUD|¥|JPY"
-GAP = r"[ \t  ]*"  # an amount and its currency stand on one line
+GAP = r"[ \t\u00a0\u202f]*"  # an amount and its currency stand on one line
 PRICED = rf"({AMOUNT}){GAP}(?:({CURRENCY_WORD})(?:{GAP}(HT|TTC)\b)?|(HT|TTC)\b)"
 CURRENCY_CODES = {"€": "EUR", "$": "USD", "£": "GBP", "¥": "JPY", **{c: c for c in CURRENCIES}}
 THOUSANDS_DOT = r"(?<=[1-9][\d.]{0,9})\.(?=\d{3}(?:\D|$))"
-CAP = r"^[\s|*-]*(?:sous-total|total|recap)"
-RECAP_EXCEPTION = "montant forfaitaire mensuel total"
-CADENCE = r"(trimestriel|semestriel|mensuel|annuel|(?:par |/ |/)(?:trimestre|semestre|mois|an\b))"
-CADENCE_NOUNS = {"mois": "Mensuelle", "trimestre": "Trimestrielle", "semestre": "Semestrielle", "an": "Annuelle"}
-CADENCE_WORDS = {
-    "mensuel": "Mensuelle", "trimestriel": "Trimestrielle", "semestriel": "Semestrielle", "annuel": "Annuelle",
-    **{lead + noun: period for noun, period in CADENCE_NOUNS.items() for lead in ("par ", "/ ", "/")},
-}
-SLA = r"\bsla\b|niveaux? de services?"
-SLA_LEVEL = r"\b(standard|premium)\b"
-TACIT = r"reconduction tacite|tacite reconduction|renouvellement automatique|automatic (?:reconduction|renewal)"
-NOT_TACIT = r"(?:sans|pas de|aucune|exclut (?:toute|la)) (?:reconduction tacite|tacite reconduction|renouvellement automatique)"
-# On the text as printed:
-AMOUNT = r"(?=[-−\d])(?<![\p{L}\d.,])[-−]?(?:\d{1,3}(?:[ .  ]\d{3})+|\d+)(?:[.,]\d+)?"
-CURRENCY_WORD = r"€|EUR|\$|USD|£|GBP|CHF|CAD|AUD|¥|JPY"
-PRICED = rf"({AMOUNT})\s*(?:({CURRENCY_WORD})(?:\s*(HT|TTC)\b)?|(HT|TTC)\b)"
-SYMBOLS = {"€": "EUR", "$": "USD", "£": "GBP", "¥": "JPY"}
 CAP = r"(?i)(plafonné\p{L}*\s+à\s+\d+(?:[.,]\d+)?\s*%)"
 # --- end of fixed values ----------------------------------------------------
 
 
 def amount_value(raw: Column) -> Column:
     """Number as printed: thousands separators out, decimal comma to point."""
-    return F.translate(F.regexp_replace(raw, THOUSANDS_DOT, ""), "−,  " + " ", "-.").try_cast("double")
+    return F.translate(F.regexp_replace(raw, THOUSANDS_DOT, ""), "\u2212, \u00a0\u202f", "-.").try_cast("double")
 
 
 def currency_of(word: Column) -> Column:

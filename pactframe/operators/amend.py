@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pactframe.functions.text import squeeze
 from pactframe.operators.skew import HEAVY_ROWS, lag_in_group
+from pactframe.session import cut
 
 
 def resolve_terms(cg: DataFrame, cp: DataFrame, columns: list[str], key: str = "affair_id") -> DataFrame:
@@ -49,7 +50,12 @@ def match_by_description(cp: DataFrame, av: DataFrame, max_ratio: float = 0.3) -
             'piece', substring(cp_desc, cast((i * l) div (d + 1) + 1 as int), cast(((i + 1) * l) div (d + 1) - (i * l) div (d + 1) as int))))))"""
     left = known.withColumn("l", F.length("cp_desc")).selectExpr("affair_id", "cp_desc", f"inline({segments})")
     left = left.withColumnsRenamed({"l": "seg_l", "d": "seg_d", "i": "seg_i"})
-    probes = open_.withColumn("m", F.length("av_desc")).selectExpr("affair_id", "av_desc", "m", f"explode({_partner_lengths('m', max_ratio)}) as l")
+    # only the CP lengths that occur in the affair are worth probing; there are few, as names are short
+    lengths = known.groupBy("affair_id").agg(F.collect_set(F.length("cp_desc")).alias("lengths"))
+    probes = open_.join(lengths, "affair_id").selectExpr(
+        "affair_id", "av_desc", "length(av_desc) as m",
+        f"explode(array_intersect({_partner_lengths('length(av_desc)', max_ratio)}, lengths)) as l",
+    )
     probes = probes.selectExpr("*", f"{allowed} as d").filter("abs(l - m) <= d")
     probes = probes.selectExpr("*", "explode(sequence(0, d)) as i")
     probes = probes.selectExpr("*", "(i * l) div (d + 1) as at", "((i + 1) * l) div (d + 1) - (i * l) div (d + 1) as size")
@@ -98,7 +104,8 @@ def with_product_key(products: DataFrame, max_ratio: float = 0.3) -> DataFrame:
     """Adds `product_key`: the code, else the CP description the row's own one is closest to, else its own."""
     desc = normal_description(F.col("product_name"))
     uncoded = products.filter(F.col("product_code").isNull())
-    matched = match_by_description(uncoded.filter(~F.col("is_av")), uncoded.filter("is_av"), max_ratio)
+    # a row per distinct description, read by every later pass: written once
+    matched = cut(match_by_description(uncoded.filter(~F.col("is_av")), uncoded.filter("is_av"), max_ratio))
     lookup = F.col("product_code").isNull() & F.col("is_av")
     named = products.filter(~lookup).withColumn("product_key", F.coalesce("product_code", desc))
     keyed = products.filter(lookup).withColumn("av_desc", desc).join(matched.drop("distance"), ["affair_id", "av_desc"], "left")

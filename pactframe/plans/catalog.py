@@ -281,8 +281,7 @@ def avenant_coverage(spark, sf):
 
 @query
 def amendment_delta(spark, sf):
-    keyed = amend.with_product_key(views.products(spark, sf))
-    return amend.amendment_delta(merge.sequence_products(keyed))
+    return amend.amendment_delta(amend.with_product_key(merge.sequence_products(views.products(spark, sf))))
 
 
 @query
