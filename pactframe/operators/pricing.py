@@ -30,8 +30,9 @@ def with_gate(products: DataFrame, floor: float = HEAVY_ROWS) -> DataFrame:
         return part.withColumn("_open", flag(seen[0] & seen[1]))
 
     def heavy(part: DataFrame) -> DataFrame:
-        gate = part.groupBy("affair_id").agg(flag(_mixed(both[0]) & _mixed(both[1])).alias("_open"))
-        return part.join(F.broadcast(gate), "affair_id").select(*part.columns, "_open")  # heavy keys are few
+        gate = part.groupBy(F.col("affair_id").alias("_affair")).agg(flag(_mixed(both[0]) & _mixed(both[1])).alias("_open"))
+        same = F.col("affair_id").eqNullSafe(F.col("_affair"))
+        return part.join(F.broadcast(gate), same).drop("_affair")  # heavy keys are few
 
     return by_weight(products, ["affair_id"], light, heavy, floor)
 

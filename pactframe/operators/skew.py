@@ -86,18 +86,19 @@ def number_rows(
         return part.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("long"))
 
     def heavy(part: DataFrame) -> DataFrame:
+        added: dict[str, Column] = dict(_comparable(part, group))
+        of_group = list(added)
         keys: list[list[str]] = []
-        added: dict[str, Column] = {}
         for level in levels:
             pairs = [p for c in level for p in _comparable(part, c)]
             keys.append([n for n, _ in pairs])
             added.update(dict(pairs))
         rows = part.withColumns(added)
-        every = [group] + [k for level in keys for k in level]
+        every = of_group + [k for level in keys for k in level]
         sizes = rows.groupBy(*every).agg(F.count(F.lit(1)).alias("_size"))
         start = None
         for depth in range(len(keys)):
-            parent = [group] + [k for level in keys[:depth] for k in level]
+            parent = of_group + [k for level in keys[:depth] for k in level]
             node = parent + keys[depth]
             before = Window.partitionBy(*parent).orderBy(*keys[depth]).rowsBetween(Window.unboundedPreceding, -1)
             level = sizes.groupBy(*node).agg(F.sum("_size").alias("_size"))
@@ -108,7 +109,7 @@ def number_rows(
                 start = level.join(start.withColumnRenamed("_before", "_above"), parent).withColumn(
                     "_before", F.col("_before") + F.col("_above")
                 ).drop("_above")
-        local = Window.partitionBy(*every).orderBy(*[F.asc_nulls_last(c) for c in within])
+        local = Window.partitionBy(*every).orderBy(*[F.asc_nulls_last(c) for c in within or every[-1:]])
         numbered = rows.withColumn("_local", F.row_number().over(local)).join(start, every)
         return numbered.withColumn(name, (F.col("_before") + F.col("_local")).cast("long")).select(*part.columns, name)
 
@@ -128,10 +129,11 @@ def lag_in_group(
         return part.withColumn(name, F.lag(value).over(Window.partitionBy(*group).orderBy(seq)))
 
     def heavy(part: DataFrame) -> DataFrame:
-        cut = part.withColumn("_run", F.floor(F.col(seq) / span))
-        keys = group + ["_run"]
+        of_group = dict(pair for c in group for pair in _comparable(part, c))
+        cut = part.withColumns({**of_group, "_run": F.floor(F.col(seq) / span)})
+        keys = [*of_group, "_run"]
         lasts = cut.groupBy(*keys).agg(F.max_by(F.struct(F.col(value).alias("v")), seq).alias("_last"))
-        lasts = lasts.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*group).orderBy("_run")))
+        lasts = lasts.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*of_group).orderBy("_run")))
         inside = Window.partitionBy(*keys).orderBy(seq)
         rows = cut.withColumns({"_at": F.row_number().over(inside), "_lag": F.lag(value).over(inside)})
         rows = rows.join(lasts.drop("_last"), keys)

@@ -2,8 +2,10 @@
 
 import json
 import os
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from pactframe import sinks
@@ -13,6 +15,8 @@ from pactframe.schemas import PRODUCT_COLUMNS, RESPONSES
 from pactframe.sources import files, store
 from pactframe.streaming.ingest import stream_documents
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the workers cannot import a test module
+
 
 @pytest.fixture()
 def contracts(tmp_path):
