@@ -35,8 +35,12 @@ def match_by_description(cp: DataFrame, av: DataFrame, max_ratio: float = 0.3) -
     one of them whole under d edits, at an offset moved by at most d. So every pair
     within the ratio is a candidate, and the group's full product is never formed.
     """
-    known = cp.select("affair_id", normal_description(F.col("product_name")).alias("cp_desc")).filter("cp_desc <> ''").distinct()
-    wanted = av.select("affair_id", normal_description(F.col("product_name")).alias("av_desc")).filter("av_desc <> ''").distinct()
+    def descriptions(products: DataFrame, name: str) -> DataFrame:
+        named = products.select("affair_id", normal_description(F.col("product_name")).alias(name))
+        # read by several steps below: written once, so that the products behind it are not
+        return cut(named.filter(F.col(name) != "").distinct())
+
+    known, wanted = descriptions(cp, "cp_desc"), descriptions(av, "av_desc")
     equal = wanted.join(known.withColumnRenamed("cp_desc", "av_desc"), ["affair_id", "av_desc"], "left_semi")
     settled = equal.select("affair_id", "av_desc", F.col("av_desc").alias("cp_desc"), F.lit(0).alias("distance"))
     open_ = wanted.join(known.withColumnRenamed("cp_desc", "av_desc"), ["affair_id", "av_desc"], "left_anti")

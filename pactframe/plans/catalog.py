@@ -432,7 +432,8 @@ def rule_extract(spark, sf):
 @query
 def volume_period(spark, sf):
     """Names of volume lines built per order line, among ordinary names."""
-    rows = views.table(spark, sf, "lineitem").join(views.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = views.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_linestatus", "l_shipdate")
+    rows = views.spread(rows).join(views.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     half = F.when(F.month("l_shipdate") <= 6, "S1").otherwise("S2")
     name = F.when(F.col("l_linestatus") == "O", contract.volume_name(F.col("p_type"), F.year("l_shipdate"), half)).otherwise(F.col("p_name"))
     rows = rows.withColumn("product_name", name)
@@ -443,7 +444,8 @@ def volume_period(spark, sf):
 
 @query
 def service_start(spark, sf):
-    rows = views.table(spark, sf, "lineitem").join(views.table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = views.spread(views.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate"))
+    rows = rows.join(views.table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     wording = F.expr(
         "case l_linenumber % 3 when 0 then 'Effet à la signature du contrat' when 1 then date_format(l_shipdate, 'dd/MM/yyyy') else 'selon planning' end"
     )
@@ -459,7 +461,8 @@ def overconsumption(spark, sf):
         " when 1 then concat('unité d’œuvre surcotée de ', cast(l_quantity as int), '% vs palier, facturée par semestre, terme échu')"
         " when 2 then 'Hébergement 10 € par an' else null end"
     )
-    said = views.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", wording.alias("said"))
+    rows = views.spread(views.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"))
+    said = rows.select("*", wording.alias("said"))
     said = said.withColumn("low", F.lower("said"))
     return said.select(
         "l_orderkey", "l_linenumber", "l_quantity", contract.overconsumption(F.col("said"), F.col("low")).alias("o")
@@ -501,7 +504,8 @@ def reval_terms(spark, sf):
 
 @query
 def clean_evidence(spark, sf):
-    return views.table(spark, sf, "documents").select("doc_id", F.md5(text.clean_evidence(F.col("text"))).alias("evidence_md5"))
+    docs = views.spread(views.table(spark, sf, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", F.md5(text.clean_evidence(F.col("text"))).alias("evidence_md5"))
 
 
 @query
@@ -509,7 +513,8 @@ def citations(spark, sf):
     quoted = F.expr(
         "concat('Prix ', l_extendedprice, ' [CP p', l_linenumber, '] puis', if(l_returnflag = 'R', concat(' [AV', l_suppkey % 9, ', p', l_partkey, ']'), ' [XX p1]'))"
     )
-    rows = views.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.posexplode(text.citations(quoted)).alias("n", "c"))
+    rows = views.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag")
+    rows = views.spread(rows).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.posexplode(text.citations(quoted)).alias("n", "c"))
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "n", "c.source", "c.page")
 
 

@@ -107,7 +107,7 @@ def products(spark: SparkSession, sf: str) -> DataFrame:
             "request_id": F.expr("concat(l_orderkey, if(l_linenumber > 4, concat('|AV|', l_linenumber - 4), '|CGCP'))"),
         }
     )
-    rows = rows.withColumn("pos", F.row_number().over(Window.partitionBy("request_id").orderBy(*TIE)) - 1)
+    rows = rows.withColumn("pos", F.row_number().over(Window.partitionBy("affair_id", "is_av", "request_id").orderBy(*TIE)) - 1)
 
     def value(name: str, kind) -> Column:
         return (F.expr(PRODUCT_VALUES[name]) if name in PRODUCT_VALUES else F.lit(None)).cast(kind).alias(name)
