@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # whole contract texts cross to Python in the pluggable steps: few rows per batch
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
     "spark.sql.parquet.filterPushdown": "true",
     # wide expressions: methods the JVM would refuse to compile are split instead of fused
     "spark.sql.codegen.hugeMethodLimit": "8000",
