@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pactframe.llm import mixing, quality_rules
+from pactframe.llm import fingerprints, mixing, quality_rules, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -23,5 +28,14 @@ def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {"op4_mix": op4_mix, "op7_rules": op7_rules}
+def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES: dict[str, Query] = {
+    "op1_fingerprints": op1_fingerprints,
+    "op4_mix": op4_mix,
+    "op7_rules": op7_rules,
+    "op9_tokens": op9_tokens,
+}
 ORACLE: dict[str, str] = {"op4_mix": mixing.MIX_SQL}
