@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pactframe.llm import fingerprints, mixing, packing, quality_rules, token_counts, warc
+from pactframe.llm import fingerprints, line_crf, mixing, packing, quality_rules, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_crf.score(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -42,6 +47,7 @@ def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_quality": op2_quality,
     "op4_mix": op4_mix,
     "op5_pack": op5_pack,
     "op6_warc": op6_warc,
