@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pactframe.llm import fingerprints, line_crf, mixing, packing, quality_rules, token_counts, warc
+from pactframe.llm import fingerprints, line_crf, mixing, near_dedup, packing, quality_rules, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,10 @@ def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op5_pack": op5_pack,
     "op6_warc": op6_warc,
     "op7_rules": op7_rules,
+    "op8_near": op8_near,
     "op9_tokens": op9_tokens,
 }
 ORACLE: dict[str, str] = {"op4_mix": mixing.MIX_SQL, "op6_warc": warc.WARC_SQL}
