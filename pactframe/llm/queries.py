@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pactframe.llm import fingerprints, line_crf, mixing, near_dedup, packing, quality_rules, token_counts, warc
+from pactframe.llm import fingerprints, line_crf, mixing, near_dedup, packing, quality_rules, suffix_tree, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,10 @@ def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_quality": op2_quality,
@@ -58,5 +62,6 @@ QUERIES: dict[str, Query] = {
     "op7_rules": op7_rules,
     "op8_near": op8_near,
     "op9_tokens": op9_tokens,
+    "op10_lm": op10_lm,
 }
 ORACLE: dict[str, str] = {"op4_mix": mixing.MIX_SQL, "op6_warc": warc.WARC_SQL}
