@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pactframe.llm import fingerprints, line_crf, mixing, near_dedup, packing, quality_rules, suffix_tree, token_counts, warc
+from pactframe.llm import fingerprints, line_crf, mixing, near_dedup, packing, quality_rules, substring_dedup, suffix_tree, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.score(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_words(table(spark, sf_dir, "documents"))
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_quality": op2_quality,
+    "op3_substrings": op3_substrings,
     "op4_mix": op4_mix,
     "op5_pack": op5_pack,
     "op6_warc": op6_warc,
