@@ -24,10 +24,15 @@ def staged_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+#: For rows of packed data of some megabytes each: no second compression, and a page is closed behind each row, as
+#: otherwise a hundred of them share a page and its buffers.
+LARGE_ROWS = {"compression": "none", "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
+
+
+def stage(df: DataFrame, name: str, large_rows: bool = False) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = staged_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**(LARGE_ROWS if large_rows else {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

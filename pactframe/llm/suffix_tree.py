@@ -40,7 +40,7 @@ CLASSES, DEPTH, PENALTY = 64, 3, 2.0
 SMOOTHING = 0.1
 END = b""
 #: A block is closed at so many different words or tokens.
-BLOCK_WORDS, BLOCK_TOKENS = 150_000, 2_000_000
+BLOCK_WORDS, BLOCK_TOKENS = 100_000, 1_000_000
 
 BLOCK = "block long, doc_ids binary, held binary, lengths binary, ids binary, hashes binary, classes binary, counts binary"
 WORDS = "word long, block long, place int, n int, class int"
@@ -115,11 +115,11 @@ def word_rows(blocks: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, hashes, classes, counts in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                h, n = unpack(hashes, np.int64), unpack(counts, np.int32)
+                h, n, kinds = unpack(hashes, np.int64), unpack(counts, np.int32), unpack(classes, np.uint8).astype(np.int32)
                 for at in range(0, len(h), 20_000):
                     some = slice(at, at + 20_000)
                     m = len(h[some])
-                    columns = [h[some], np.full(m, block), np.arange(at, at + m, dtype=np.int32), n[some], unpack(classes, np.uint8)[some].astype(np.int32)]
+                    columns = [h[some], np.full(m, block), np.arange(at, at + m, dtype=np.int32), n[some], kinds[some]]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [x.split()[0] for x in WORDS.split(", ")])
 
     return blocks.select("block", "hashes", "classes", "counts").mapInArrow(read, WORDS)
@@ -304,7 +304,7 @@ def scored(coded: DataFrame, tree_of) -> DataFrame:
 
 def build(spark: SparkSession, docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Tree]:
     """Coded blocks of all documents, and the tree learnt from the training ones."""
-    blocks = stage(code_blocks(docs), "blocks")
+    blocks = stage(code_blocks(docs), "blocks", large_rows=True)
     of_word = Window.partitionBy("word")
     counted = word_rows(blocks).withColumn("known", F.sum("n").over(of_word)).withColumn(
         "once", F.row_number().over(of_word.orderBy("block", "place")) == 1
@@ -323,7 +323,7 @@ def build(spark: SparkSession, docs: DataFrame, depth: int = DEPTH) -> tuple[Dat
     counts.append(np.array([rest.get(c, (0, 0))[0] + SMOOTHING * (rest.get(c, (0, 0))[1] + 1) for c in range(CLASSES)]))
     mass = np.concatenate(counts) / (total + SMOOTHING * (distinct + 1))
     tree = Tree(n_often + CLASSES, total, distinct, mass / mass.sum(), mass)
-    coded = stage(coded_blocks(blocks, named), "coded-blocks")
+    coded = stage(coded_blocks(blocks, named), "coded-blocks", large_rows=True)
     if total:
         for d in range(depth):
             grow(spark, coded, tree, d)
