@@ -22,7 +22,7 @@ OVERCONSUMPTION = (
     r"d[ée]passement|compl[ée]ment de consommation|surconsommation|au-del[àa] de l['’]engagement|"
     r"utilisateur suppl[ée]mentaire|seat additionnel|palier|unit[ée] d['’](?:œ|oe)uvre|\bs[12]\b|d[ée]gressif"
 )
-RECAP = r"^[\s|*-]*(?:sous-total|total|r[ée]cap)"
+RECAP = r"^[\s|*-]*(?:(?:sous-)?total|r[ée]cap(?:itulatif|s)?)(?!\p{L})"
 RECAP_EXCEPTION = "montant forfaitaire mensuel total"
 CADENCE = r"(trimestriel|semestriel|mensuel|annuel|(?:par |/ |/)(?:trimestre|semestre|mois|an\b))"
 CADENCE_NOUNS = {"mois": "Mensuelle", "trimestre": "Trimestrielle", "semestre": "Semestrielle", "an": "Annuelle"}
@@ -128,7 +128,7 @@ def overconsumption(text: Column, low: Column | None = None) -> Column:
     return F.when(
         low.rlike(OVERCONSUMPTION),
         F.struct(
-            F.coalesce(price, F.left(squeeze(text), F.lit(160))).alias("price"),
+            F.coalesce(price, squeeze(text)).alias("price"),
             price.try_cast("double").alias("unit_price"),
             F.nullif(cadence_of(low), F.lit("unknown")).alias("periodicity"),
             F.when(low.rlike(IN_ARREARS), F.lit("Échu"))

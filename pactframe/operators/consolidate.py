@@ -24,7 +24,12 @@ def union_products(cpcg: DataFrame, av: DataFrame | None) -> DataFrame:
 
 def consolidate(cpcg: DataFrame, av: DataFrame | None, floor: float = HEAVY_ROWS) -> DataFrame:
     """Union in signature order; `seq` is the position in the affair, unreadable dates last."""
-    rows = union_products(cpcg, av).withColumn("signature_date", signature_date())
+    return consolidate_flagged(union_products(cpcg, av), floor)
+
+
+def consolidate_flagged(products: DataFrame, floor: float = HEAVY_ROWS) -> DataFrame:
+    """The same for one table that has both kinds of rows and `is_av`: it is read once."""
+    rows = products.withColumn("signature_date", signature_date())
     return number_rows(
         rows, "affair_id", [["signature_date"], ["is_av", "avenant_number"], ["request_id"]], ["pos"], floor=floor
     )
@@ -39,7 +44,7 @@ def sequence_products(products: DataFrame, floor: float = HEAVY_ROWS) -> DataFra
 
 
 def sort_avenants(av: DataFrame) -> DataFrame:
-    """Amendment rows by number, missing last, for a reader of the rows."""
+    """Amendment rows by number, missing last, for a reader of the rows: the order of an export."""
     return av.orderBy("affair_id", F.asc_nulls_last("avenant_number"), "request_id", "pos")
 
 

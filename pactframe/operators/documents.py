@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pactframe.functions.text import has_any, has_word
-from pactframe.operators.skew import HEAVY_MAX, broadcast_if_small, fits
+from pactframe.operators.skew import fits
 from pactframe.schemas import (
     AV_KEYWORDS,
     AVENANT_HEADER,
@@ -17,6 +17,7 @@ from pactframe.schemas import (
 )
 
 LITERAL_AFFAIRS = 1_000
+SLUG_LIMIT = 200
 MAX_CHARS = 64_000_000
 
 
@@ -24,6 +25,11 @@ def with_id_lc(docs: DataFrame) -> DataFrame:
     return docs if "id_lc" in docs.columns else docs.withColumn("id_lc", F.lower("id"))
 
 
+def chars(docs: DataFrame) -> Column:
+    """Length of a text: the stored one where there is one, so that the text itself is not read."""
+    return F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.length("content").cast("long")
+
+
 def docs_for_affair(docs: DataFrame, keyword: str) -> DataFrame:
     """Documents whose id mentions the keyword, case ignored, and ends with `.pdf`, case kept.
 
@@ -87,7 +93,8 @@ def match_affairs(docs: DataFrame, affairs: DataFrame) -> DataFrame:
 def affair_pairs(ids: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, affair_id) by equality on substrings of the lengths that occur."""
     wanted = wanted.withColumn("piece", F.lower("affair_id"))
-    lengths = [r[0] for r in wanted.select(F.length("piece")).distinct().collect()]  # bounded by the id length
+    wanted = wanted.filter(F.length("piece") <= SLUG_LIMIT)  # an id is no longer, so none can contain it
+    lengths = [r[0] for r in wanted.select(F.length("piece")).distinct().collect()]  # at most SLUG_LIMIT numbers
     low = F.col("id_lc")
 
     def pieces(n: int) -> Column:
@@ -100,6 +107,7 @@ def affair_pairs(ids: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def split_report(classified: DataFrame) -> DataFrame:
     """Per affair: class counts, overlaps, orphans, and whether the split adds up with at least one CP."""
+    size = F.coalesce(chars(classified), F.lit(0))
     n_classes = F.col("is_cg").cast("int") + F.col("is_cp").cast("int") + F.col("is_av").cast("int")
     counts = classified.groupBy("affair_id").agg(
         F.count(F.lit(1)).alias("n_docs"),
@@ -108,9 +116,9 @@ def split_report(classified: DataFrame) -> DataFrame:
         F.count_if("is_av").alias("n_av"),
         F.count_if(n_classes > 1).alias("n_overlap"),
         F.count_if(n_classes == 0).alias("n_orphan"),
-        F.sum(F.when(F.col("is_cg"), F.length("content")).otherwise(0)).alias("cg_chars"),
-        F.sum(F.when(F.col("is_cp"), F.length("content")).otherwise(0)).alias("cp_chars"),
-        F.sum(F.when(F.col("is_av"), F.length("content")).otherwise(0)).alias("av_chars"),
+        F.sum(F.when(F.col("is_cg"), size).otherwise(0)).alias("cg_chars"),
+        F.sum(F.when(F.col("is_cp"), size).otherwise(0)).alias("cp_chars"),
+        F.sum(F.when(F.col("is_av"), size).otherwise(0)).alias("av_chars"),
     )
     adds_up = F.col("n_docs") == F.col("n_cg") + F.col("n_cp") + F.col("n_av")
     reason = F.when(~adds_up, F.lit("count mismatch")).when(F.col("n_cp") == 0, F.lit("no CP"))
@@ -127,22 +135,26 @@ def assert_split(report: DataFrame) -> None:
 def with_parts(classified: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame:
     """Adds `part`, `n_parts`: which text of its affair a CG or CP document goes to.
 
-    Almost every affair is one text. One whose texts exceed `max_chars` is spread
-    over several by a hash of the id, so no task ever holds more than about that.
+    The caller states the limit. Parts are runs of documents in id order: a document
+    belongs to part k if the texts before it in its affair hold k times `max_chars`.
+    The parts of an affair, in order, are its whole text; a part exceeds the limit by
+    less than its last document. Only ids and lengths are sorted, and only those of
+    affairs over the limit; where none is, nothing is.
     """
-    size = F.length("content") * (F.col("is_cg").cast("int") + F.col("is_cp").cast("int"))
-    large = (
-        classified.groupBy("affair_id").agg(F.sum(size).alias("chars"))
-        .filter(F.col("chars") > max_chars)
-        .select("affair_id", F.ceil(F.col("chars") / max_chars).cast("int").alias("n_parts"))
-    )
-    sample = large.limit(HEAVY_MAX + 1).collect()  # tells size and, when small, is the table
-    if not sample:
+    size = F.coalesce(chars(classified), F.lit(0)) * (F.col("is_cg").cast("int") + F.col("is_cp").cast("int"))
+    narrow = classified.select("affair_id", "id", size.alias("chars"))
+    large = narrow.groupBy("affair_id").agg(F.sum("chars").alias("total")).filter(F.col("total") > max_chars).select("affair_id")
+    if large.limit(1).count() == 0:
         return classified.withColumns({"n_parts": F.lit(1), "part": F.lit(0)})
-    if len(sample) <= HEAVY_MAX:
-        large = F.broadcast(classified.sparkSession.createDataFrame(sample, large.schema))
-    joined = classified.join(large, "affair_id", "left").withColumn("n_parts", F.coalesce("n_parts", F.lit(1)))
-    return joined.withColumn("part", F.pmod(F.xxhash64("id"), F.col("n_parts")).cast("int"))
+    before = F.sum("chars").over(Window.partitionBy("affair_id").orderBy("id").rowsBetween(Window.unboundedPreceding, -1))
+    cut = narrow.join(large, "affair_id", "left_semi").withColumn("part", F.floor(F.coalesce(before, F.lit(0)) / max_chars).cast("int"))
+    # parts that no document starts in are left out of the numbering
+    order = Window.partitionBy("affair_id").orderBy("part")
+    used = cut.select("affair_id", "part").distinct().withColumn("number", (F.row_number().over(order) - 1).cast("int"))
+    count = used.groupBy("affair_id").agg(F.count(F.lit(1)).cast("int").alias("n_parts"))
+    placed = cut.join(used, ["affair_id", "part"]).join(count, "affair_id").select("affair_id", "id", F.col("number").alias("part"), "n_parts")
+    joined = classified.join(placed.distinct(), ["affair_id", "id"], "left")
+    return joined.withColumns({"part": F.coalesce("part", F.lit(0)), "n_parts": F.coalesce("n_parts", F.lit(1))})
 
 
 def _joined_text(flag: str) -> Column:
@@ -151,7 +163,11 @@ def _joined_text(flag: str) -> Column:
 
 
 def concat_contents(classified: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame:
-    """CG and CP texts of each affair, newline-joined in id order; no document of a class gives an empty text."""
+    """CG and CP texts of each affair, newline-joined in id order; no document of a class gives an empty text.
+
+    An affair over `max_chars` has several rows; those with documents of a class, newline-joined
+    in `part` order, are exactly the class's whole text.
+    """
     wanted = with_parts(classified.filter(F.col("is_cg") | F.col("is_cp")), max_chars)
     return wanted.groupBy("affair_id", "part", "n_parts").agg(
         F.count_if("is_cg").alias("n_cg"),
@@ -169,6 +185,6 @@ def avenant_texts(classified: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "affair_pairs", "assert_split", "avenant_texts", "broadcast_if_small", "classify", "classify_documents",
+    "affair_pairs", "assert_split", "avenant_texts", "chars", "classify", "classify_documents",
     "concat_contents", "docs_for_affair", "exclude_kinds", "match_affairs", "split_report", "with_parts",
 ]

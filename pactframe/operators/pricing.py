@@ -14,6 +14,10 @@ from pactframe.operators.skew import HEAVY_ROWS, by_weight
 from pactframe.schemas import RECURRING_FIELDS, TACIT_END
 
 
+#: Longest duration read as one: a hundred years.
+MAX_MONTHS = 1200
+
+
 def _mixed(name: str) -> Column:
     return F.bool_or(name) & ~F.bool_and(name)
 
@@ -96,14 +100,16 @@ def contract_end(products: DataFrame) -> DataFrame:
 
     One-shot and included rows have no end; tacit renewal ends in 2099; otherwise
     the signature plus the duration, plus the months left in the signature year
-    when the notes mention a prorata.
+    when the notes mention a prorata. A duration that is no number of months up to
+    `MAX_MONTHS` leaves the end unknown.
     """
     signed = signature_date()
     months = split_duration(F.col("duree_de_service"), F.lit(False))["duree_mois"]
     prorata = F.when(F.lower("duree_de_service_notes").contains("prorata"), 12 - F.month(signed)).otherwise(0)
     none = flag(F.col("one_shot_service")) | flag(F.col("is_included"))
     tacit = flag(F.col("reconduction_tacite"))
-    end = F.add_months(signed, (months + prorata).cast("int"))
+    whole = (months + prorata).try_cast("int")
+    end = F.add_months(signed, F.when(whole.between(0, MAX_MONTHS), whole))
     return products.withColumns(
         {
             "date_end_calc": F.when(none, F.lit(None).cast("date")).when(tacit, F.to_date(F.lit(TACIT_END))).otherwise(end),

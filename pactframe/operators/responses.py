@@ -19,18 +19,26 @@ from pactframe.schemas import (
 )
 
 BROKEN = "_broken"
+DERIVED_RENTS = ["loyer_facturation", "loyer_annuele"]
+UNKNOWN = ("unknown",)
+ERROR_ITEM, EVIDENCE, NOTES = 140, 80, 160
 
 
 def decode(responses: DataFrame, schema: T.StructType = PRODUCT) -> DataFrame:
-    """Adds `products` (typed array) and `status` to each response."""
+    """Adds `products` (typed array) and `status` to each response.
+
+    An answer that parses is used whatever its finish reason; one cut off in the middle of its JSON is `truncated`.
+    """
     answer = T.StructType(
         [T.StructField("products", T.ArrayType(schema)), T.StructField(BROKEN, T.StringType())]
     )
     parsed = F.from_json("arguments", answer, {"columnNameOfCorruptRecord": BROKEN, "mode": "PERMISSIVE"})
     status = (
         F.when(F.col("arguments").isNull(), "no_tool_call")
-        .when(F.col("finish_reason") == "length", "truncated")
-        .when(F.col("_answer.products").isNull() & F.col(f"_answer.{BROKEN}").isNotNull(), "bad_json")
+        .when(
+            F.col("_answer.products").isNull() & F.col(f"_answer.{BROKEN}").isNotNull(),
+            F.when(F.col("finish_reason") == "length", F.lit("truncated")).otherwise(F.lit("bad_json")),
+        )
         .when(F.coalesce(F.size("_answer.products"), F.lit(0)) <= 0, "no_products")
         .otherwise("ok")
     )
@@ -43,7 +51,8 @@ def decode(responses: DataFrame, schema: T.StructType = PRODUCT) -> DataFrame:
 
 def response_status(responses: DataFrame) -> DataFrame:
     rows = F.when(F.col("status") == "ok", F.size("products")).otherwise(0)
-    return decode(responses).select("request_id", "status", rows.alias("n_products"))
+    hit_limit = flag(F.col("finish_reason") == "length")
+    return decode(responses).select("request_id", "status", rows.alias("n_products"), hit_limit.alias("hit_limit"))
 
 
 def parse_responses(responses: DataFrame, schema: T.StructType = PRODUCT) -> DataFrame:
@@ -58,6 +67,37 @@ def parse_responses(responses: DataFrame, schema: T.StructType = PRODUCT) -> Dat
     )
 
 
+def _objects(responses: DataFrame, schema: T.StructType) -> DataFrame:
+    """request_id, pos, `_typed` and `_given` (the same product as a map of texts) of the usable answers."""
+    loose = F.from_json("arguments", "products ARRAY<MAP<STRING, STRING>>")["products"]
+    good = decode(responses, schema).filter("status = 'ok'").select("request_id", "products", loose.alias("loose"))
+    both = good.select("request_id", F.posexplode(F.arrays_zip("products", "loose")).alias("pos", "_both"))
+    return both.select("request_id", "pos", F.col("_both.products").alias("_typed"), F.col("_both.loose").alias("_given"))
+
+
+def coercion_losses(responses: DataFrame, schema: T.StructType = PRODUCT) -> DataFrame:
+    """Values that the typed columns could not take, as (request_id, pos, column, given); stated absences are none."""
+    found = []
+    for field in schema.fields:
+        if isinstance(field.dataType, T.StringType):
+            continue
+        given = F.try_element_at("_given", F.lit(field.name))
+        stated = ~F.lower(F.trim(given)).isin("", "null", *UNKNOWN)
+        lost = given.isNotNull() & stated & F.col(f"_typed.{field.name}").isNull()
+        found.append(F.when(lost, F.struct(F.lit(field.name).alias("column"), given.alias("given"))))
+    return _objects(responses, schema).select("request_id", "pos", F.inline(F.array_compact(F.array(*found))))
+
+
+def rent_status(responses: DataFrame, columns: list[str] = DERIVED_RENTS, schema: T.StructType = PRODUCT) -> DataFrame:
+    """For the two derived rents, `ok` with a number, `unknown` where the answer says so, else NULL."""
+    def status(name: str) -> Column:
+        said = F.lower(F.trim(F.try_element_at("_given", F.lit(name)))).isin(*UNKNOWN)
+        known = F.col(f"_typed.{name}").isNotNull()
+        return F.when(known, F.lit("ok")).when(said, F.lit("unknown")).alias(f"{name}_status")
+
+    return _objects(responses, schema).select("request_id", "pos", *[status(c) for c in columns])
+
+
 def unknown_keys(responses: DataFrame, expected: list[str] = PRODUCT_COLUMNS + ["affair_id"]) -> DataFrame:
     """Keys of product objects that the schema does not have, as (request_id, pos, key)."""
     loose = F.from_json("arguments", "products ARRAY<MAP<STRING, STRING>>")["products"]
@@ -107,13 +147,14 @@ def enum_violations(products: DataFrame) -> DataFrame:
 
 
 def format_violations(products: DataFrame) -> DataFrame:
-    """Values that break a format or length rule, as (keys, column, value)."""
+    """Values that break a format or length rule, as (keys, column, value).
+
+    A fractional amendment number never reaches its integer column: `coercion_losses` reports it.
+    """
     have = set(products.columns)
     checks: list[tuple[str, Column, Column]] = []
     if "numero_de_contrat" in have:
         checks.append(("numero_de_contrat", F.col("numero_de_contrat"), ~F.col("numero_de_contrat").rlike(r"^\d+-\d+$")))
-    if "avenant_number" in have:
-        checks.append(("avenant_number", F.col("avenant_number"), F.col("avenant_number") % 1 != 0))
     if {"quantity", "is_volume_product"} <= have:
         checks.append(("quantity", F.col("quantity"), F.col("is_volume_product") & (F.col("quantity") % 1 != 0)))
     for c in CONFIDENCE_OF:
@@ -121,9 +162,13 @@ def format_violations(products: DataFrame) -> DataFrame:
             checks.append((c, F.col(c), ~F.col(c).between(0.0, 1.0)))
     for c in sorted(have):
         if c.startswith("evidence_") and c != "evidence_contract_errors":
-            checks.append((c, F.col(c), F.length(c) > 80))
+            checks.append((c, F.col(c), F.length(c) > EVIDENCE))
+    if "evidence_contract_errors" in have:
+        items = F.split("evidence_contract_errors", r"\s*[;\n]\s*")
+        long = F.filter(items, lambda x: F.length(x) > ERROR_ITEM)
+        checks.append(("evidence_contract_errors", F.array_join(long, ";"), F.size(long) > 0))
     if "usage_notes" in have:
-        checks.append(("usage_notes", F.col("usage_notes"), F.length("usage_notes") > 160))
+        checks.append(("usage_notes", F.col("usage_notes"), F.length("usage_notes") > NOTES))
     return _violations(products, checks, ["column", "value"])
 
 

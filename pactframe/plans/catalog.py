@@ -73,7 +73,7 @@ def page_cost(spark, sf):
 @query
 def id_collisions(spark, sf):
     visited = views.table(spark, sf, "pages").select(
-        text.slug(F.regexp_replace("url", r"\d+.*$", "")).alias("id"), F.col("url").alias("file_path")
+        text.slug(F.col("url")).alias("id"), F.col("url").alias("file_path")
     )
     return files.id_collisions(visited)
 
@@ -212,6 +212,16 @@ def unknown_keys(spark, sf):
     return answers.unknown_keys(views.responses(spark, sf))
 
 
+@query
+def coercion_losses(spark, sf):
+    return answers.coercion_losses(views.responses(spark, sf))
+
+
+@query
+def rent_status(spark, sf):
+    return answers.rent_status(views.responses(spark, sf))
+
+
 def _texts(df: DataFrame) -> DataFrame:
     """Arrays as text, for comparison."""
     return df.withColumn("payment_methods", F.array_join("payment_methods", ","))
@@ -265,7 +275,8 @@ def _split_products(spark, sf):
 
 @query
 def consolidate(spark, sf):
-    rows = merge.consolidate(*_split_products(spark, sf))
+    cpcg, av = _split_products(spark, sf)
+    rows = merge.consolidate(cpcg, av)
     return rows.select("affair_id", "request_id", "pos", "is_av", _iso(F.col("signature_date")).alias("signature_date"), "seq")
 
 
@@ -298,15 +309,15 @@ def resolve_terms(spark, sf):
 
 @query
 def pack_results(spark, sf):
-    packed = results.pack_results(merge.consolidate(*_split_products(spark, sf)))
+    packed = results.pack_results(merge.consolidate_flagged(views.products(spark, sf)))
     names = F.array_join(F.transform("rows", lambda r: r["product_name"]), "|")
     codes = F.array_join(F.transform("rows", lambda r: F.coalesce(r["product_code"], F.lit("null"))), "|")
-    return packed.select("id", "part", F.size("rows").alias("n_rows"), names.alias("names"), codes.alias("codes"))
+    return packed.select("id", "part", "first_seq", F.size("rows").alias("n_rows"), names.alias("names"), codes.alias("codes"))
 
 
 @query
 def unpack_results(spark, sf):
-    packed = results.pack_results(merge.consolidate(*_split_products(spark, sf)))
+    packed = results.pack_results(merge.consolidate_flagged(views.products(spark, sf)))
     return results.unpack_results(packed).select(
         "affair_id", "seq", "product_name", "product_code", F.round("loyer", 2).alias("loyer"), "avenant_number", "one_shot_service"
     )
@@ -314,12 +325,13 @@ def unpack_results(spark, sf):
 
 @query
 def upsert_results(spark, sf):
-    """Affairs with amendments get new records; the others keep theirs."""
-    cpcg, av = _split_products(spark, sf)
-    before = results.pack_results(merge.consolidate(cpcg, None))
-    touched = av.select("affair_id").distinct()
-    again = merge.consolidate(cpcg.join(touched, "affair_id", "left_semi"), av)
-    return results.upsert_results(before, results.pack_results(again)).select("id", "part", F.size("rows").alias("n_rows"))
+    """Affairs with amendments get new records; the others keep theirs. Which those are is known from the incoming rows."""
+    rows = views.products(spark, sf)
+    before = results.pack_results(merge.consolidate_flagged(rows.filter(~F.col("is_av"))))
+    lines = views.table(spark, sf, "lineitem").filter("l_linenumber > 4")
+    touched = lines.select(F.col("l_orderkey").cast("string").alias("id")).distinct()
+    again = merge.consolidate_flagged(rows.join(touched.withColumnRenamed("id", "affair_id"), "affair_id", "left_semi"))
+    return results.upsert_results(before, results.pack_results(again), touched).select("id", "part", F.size("rows").alias("n_rows"))
 
 
 # --- prices ----------------------------------------------------------------------------
@@ -528,8 +540,7 @@ def affair_constancy(spark, sf):
 
 @query
 def row_count_check(spark, sf):
-    products = views.products(spark, sf).filter("not is_included")
-    return audit.row_count_check(read.priced_lines(views.lines(spark, sf)), products)
+    return audit.row_count_check(read.priced_lines(views.lines(spark, sf)), views.products(spark, sf))
 
 
 @query
@@ -559,7 +570,8 @@ def confidence_score(spark, sf):
         "if(l_linenumber % 3 = 0, null, concat('q ', if(l_linestatus = 'O', cast(l_quantity as int), -1))) as evidence",
         "l_linenumber % 3 <> 0 as has_evidence", "l_returnflag <> 'N' as is_labelled", "l_tax > 0.02 as is_nearby",
         "l_discount > 0.03 as is_aligned", "l_suppkey % 7 = 0 as has_conflict", "l_partkey % 5 = 0 as is_distant",
-        "if(l_suppkey % 3 = 0, null, l_suppkey % 3 = 1) as overrides_cg",
+        "if(l_suppkey % 3 = 0, null, l_suppkey % 3 = 1) as overrides_cg", "l_partkey % 11 = 0 as is_missing_data",
+        "l_suppkey % 11 = 0 as is_ambiguous", "l_quantity > 45 as is_garbled",
     )
     scored = audit.confidence(signals, "value", "evidence")
     return scored.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "confidence")
@@ -567,4 +579,4 @@ def confidence_score(spark, sf):
 
 @query
 def confidence_audit(spark, sf):
-    return audit.confidence_audit(views.products(spark, sf).select("affair_id", "request_id", "pos", "price_unitaire", "evidence_price", "confidence_price"))
+    return audit.confidence_audit(views.products(spark, sf))

@@ -51,12 +51,11 @@ def ingest(
     root: str,
     affairs: list[str] | None,
     analyze: Callable[[str, bytes], dict],
-    parallelism: int | None = None,
     model: str = "prebuilt-layout",
 ) -> Ingested:
     """Files of the affairs, analyzed once each. Failed files and short paths go to quarantine."""
     files = select_affairs(relative_paths(scan_pdfs(spark, root), root), affairs)
-    analyzed = cut(apply_analyzer(files, analyze, parallelism))
+    analyzed = cut(apply_analyzer(files, analyze))
     good = build_documents(analyzed.filter("error IS NULL"), model)
     bad_path = good.filter(~F.col("path_ok")).select(F.col("file_path").alias("path"), F.lit("short path").alias("error"))
     docs = good.filter("path_ok")

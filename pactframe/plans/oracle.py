@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pactframe.schemas import PRODUCT_COLUMNS
+
 ORACLE: dict[str, str] = {}
 
 PERIODS = "['Mensuelle', 'Trimestrielle', 'Semestrielle', 'Annuelle', NULL]"
@@ -32,7 +34,7 @@ VIEWS = {
           CASE WHEN l_linenumber > 4 THEN l_linenumber - 4 END AS avenant_number,
           CASE WHEN l_tax = 0 THEN NULL ELSE p_type END AS product_code, p_name AS product_name,
           CASE WHEN l_partkey % 7 <> 0 THEN 12 * (1 + l_partkey % 5) END AS duree_mois,
-          CASE WHEN l_partkey % 7 <> 0 THEN (12 * (1 + l_partkey % 5)) || ' mois' END AS duree_de_service,
+          CASE WHEN l_partkey % 77 = 0 THEN '99999999999 mois' WHEN l_partkey % 7 <> 0 THEN (12 * (1 + l_partkey % 5)) || ' mois' END AS duree_de_service,
           CASE WHEN l_suppkey % 2 <> 0 THEN NULL ELSE '+ prorata de la période en cours' END AS duree_de_service_notes,
           o_orderstatus = 'P' AS reconduction_tacite,
           ['À échoir', 'Échu', 'Annuel'][CAST(l_linenumber % 3 + 1 AS INT)] AS term_mode,
@@ -47,7 +49,17 @@ VIEWS = {
           CASE WHEN l_partkey % 3 = 0 THEN '0.05' END AS usage_overconsumption_price,
           CAST(4 * l_quantity AS INT) AS notes_words,
           ['fixed_rate', 'index_formula', 'Syntec', NULL][CAST(l_linenumber % 4 + 1 AS INT)] AS reval_method,
-          CASE WHEN l_tax < CAST(0.04 AS DOUBLE) THEN NULL ELSE 'PU ' || CAST(l_quantity AS INT) || ' x' END AS evidence_price
+          CASE WHEN l_tax < CAST(0.04 AS DOUBLE) THEN NULL ELSE 'PU ' || CAST(l_quantity AS INT) || ' x' END AS evidence_price,
+          CASE WHEN l_suppkey % 2 <> 0 THEN 'tarif 0.05 EUR' END AS evidence_usage,
+          CASE WHEN l_suppkey % 3 <> 0 THEN 'révision par Syntec' END AS evidence_revalorization,
+          CASE WHEN l_partkey % 2 <> 0 THEN 'facture Mensuelle' END AS evidence_billing,
+          CASE WHEN l_partkey % 3 <> 0 THEN 'signé le ' || strftime(o_orderdate, '%Y-%m-%d') END AS evidence_dates,
+          CASE WHEN l_suppkey % 2 <> 0 THEN 'avenant 1' END AS evidence_avenant,
+          CASE WHEN l_partkey % 10 = 0 THEN 'prix manquant; ' || repeat('x', CAST(130 + l_suppkey % 20 AS INT)) END AS evidence_contract_errors,
+          l_linenumber / CAST(10 AS DOUBLE) AS confidence_usage, l_linenumber / CAST(8 AS DOUBLE) AS confidence_revalorization,
+          l_linenumber / CAST(10 AS DOUBLE) AS confidence_billing, CASE WHEN l_linenumber <> 1 THEN CAST(1 AS DOUBLE) END AS confidence_dates,
+          CASE WHEN l_linenumber = 2 THEN CAST(0.95 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS confidence_company,
+          CAST(0.9 AS DOUBLE) AS confidence_avenant, CAST(130 + l_suppkey % 20 AS INT) AS error_chars
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
     "seq_v": """
         SELECT *, row_number() OVER (PARTITION BY affair_id ORDER BY is_av, signed NULLS LAST, avenant_number NULLS LAST, request_id, pos) AS seq
@@ -57,7 +69,7 @@ VIEWS = {
         FROM products_v""",
     "answers_v": """
         SELECT *, CAST(event_id AS VARCHAR) AS request_id, CAST(user_id AS VARCHAR) AS affair_id,
-          CASE WHEN event_id % 97 = 0 THEN 'truncated' WHEN event_type = 'error' AND event_id % 89 <> 0 THEN 'no_products' ELSE 'ok' END AS status,
+          CASE WHEN event_id % 97 = 0 AND event_id % 194 <> 0 THEN 'truncated' WHEN event_type = 'error' AND event_id % 89 <> 0 THEN 'no_products' ELSE 'ok' END AS status,
           1000 + event_id % 5000 AS prompt_tokens, 200 + event_id % 700 AS completion_tokens
         FROM events""",
     # the lines each text was built from, one row per line, with what the rules must read in it
@@ -65,7 +77,7 @@ VIEWS = {
         SELECT CAST(l_orderkey AS VARCHAR) AS affair_id, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id,
           p_name, l_linenumber AS ln, l_returnflag AS rf, l_extendedprice AS price, l_quantity AS units,
           CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
-          row_number() OVER () AS row_id
+          concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_id
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "money_v": """
         SELECT *, CASE WHEN cents // 100 >= 1000 THEN (cents // 100000) || ' ' || lpad(CAST(cents // 100 % 1000 AS VARCHAR), 3, '0')
@@ -159,7 +171,7 @@ twin("select_affair", ["paths_v"], "SELECT path FROM paths_v WHERE source LIKE '
 twin("build_documents", ["paths_v"], """
 SELECT replace(path, '/', '_') AS id, string_split(path, '/')[4] AS title, md5(text) AS content, path AS file_path,
   CASE WHEN lang = 'en' THEN 'unknown' ELSE lang END AS language, CAST(1 + n_chars // 1800 AS INT) AS page_count,
-  'prebuilt-layout' AS analyse_doc_model, upper(left(lang, 1)) AS company_letter, 'co_' || lang AS company_name, source AS company_affair,
+  length(text) AS n_chars, 'prebuilt-layout' AS analyse_doc_model, upper(left(lang, 1)) AS company_letter, 'co_' || lang AS company_name, source AS company_affair,
   upper(left(lang, 1)) || '/co_' || lang AS company_name_path, upper(left(lang, 1)) || '/co_' || lang || '/' || source AS company_affair_path,
   lower(replace(path, '/', '_')) AS id_lc, true AS path_ok
 FROM paths_v""")
@@ -171,7 +183,7 @@ SELECT lang AS language, count(*) AS n_docs, avg(1 + n_chars // 1800) AS mean_pa
 FROM documents GROUP BY lang""")
 
 twin("id_collisions", [], r"""
-WITH visited AS (SELECT url, trim(regexp_replace(regexp_replace(regexp_replace(url, '\d+.*$', ''), '[/\\?#]', '_', 'g'), '[^A-Za-z0-9._-]+', '-', 'g'), '-_.') AS id FROM pages)
+WITH visited AS (SELECT url, trim(left(regexp_replace(regexp_replace(trim(url), '[/\\?#]', '_', 'g'), '[^A-Za-z0-9._-]+', '-', 'g'), 200), '-_.') AS id FROM pages)
 SELECT id, count(DISTINCT url) AS n_paths FROM visited GROUP BY id HAVING count(DISTINCT url) > 1""")
 
 # --- stores --------------------------------------------------------------------
@@ -244,48 +256,43 @@ FROM customer LEFT JOIN answers_v ON event_id = c_custkey""")
 
 twin("token_cost", ["answers_v"], """
 SELECT affair_id, CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens, CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens,
-  count(*) FILTER (status = 'truncated') AS n_truncated,
+  count(*) FILTER (event_id % 97 = 0) AS n_truncated,
   sum(prompt_tokens) / CAST(1e6 AS DOUBLE) * CAST(1.73 AS DOUBLE) + sum(completion_tokens) / CAST(1e6 AS DOUBLE) * CAST(6.91 AS DOUBLE) AS cost_eur,
   2000 * (sum(prompt_tokens) / CAST(1e6 AS DOUBLE) * CAST(1.73 AS DOUBLE) + sum(completion_tokens) / CAST(1e6 AS DOUBLE) * CAST(6.91 AS DOUBLE)) AS cost_all_eur
 FROM answers_v GROUP BY affair_id""")
 
-twin("response_status", ["answers_v"], "SELECT request_id, status, CASE WHEN status = 'ok' THEN 1 ELSE 0 END AS n_products FROM answers_v")
+twin("response_status", ["answers_v"], "SELECT request_id, status, CASE WHEN status = 'ok' THEN 1 ELSE 0 END AS n_products, event_id % 97 = 0 AS hit_limit FROM answers_v")
 
 twin("parse_responses", ["answers_v"], """
-SELECT request_id, affair_id, CAST(0 AS INT) AS pos, event_type AS product_name, value AS price_unitaire,
+SELECT request_id, affair_id, CAST(0 AS INT) AS pos, event_type AS product_name, CASE WHEN event_id % 83 <> 0 THEN value END AS price_unitaire,
   CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS DOUBLE) AS quantity, CAST(NULL AS DOUBLE) AS loyer
 FROM answers_v WHERE status = 'ok'""")
 
-twin("unknown_keys", ["answers_v"], "SELECT request_id, CAST(0 AS INT) AS pos, 'remise' AS key FROM answers_v WHERE event_id % 89 = 0 AND event_id % 97 <> 0")
-
-PRODUCT_NAMES = [
-    "company_name", "numero_de_contrat", "signature_date_cg", "signature_date_cp", "signature_date_av", "avenant_number",
-    "product_code", "product_name", "service_start_date", "duree_de_service", "duree_de_service_notes", "date_end_of_contract",
-    "reconduction_tacite", "term_mode", "billing_frequency", "bon_de_commande", "bon_de_commande_code", "payment_methods",
-    "payment_terms", "debut_facturation", "price_unitaire", "quantity", "quantity_periodicity", "is_volume_product", "loyer",
-    "loyer_facturation", "loyer_annuele", "devise_de_facturation", "loyer_periodicity", "one_shot_service", "tax_basis",
-    "is_included", "usage_overconsumption_price", "usage_overconsumption_periodicity", "usage_term_mode",
-    "overconsumption_term_mode", "usage_notes", "billing_modality_notes", "reval_method", "reval_rate_per", "reval_formula",
-    "reval_compute_when", "reval_apply_when", "reval_apply_from", "reval_source", "evidence_product", "evidence_price",
-    "evidence_payment_methods", "evidence_date_end_of_contract", "evidence_avenant", "evidence_usage",
-    "evidence_revalorization", "evidence_billing", "evidence_dates", "evidence_contract_errors", "confidence_price",
-    "confidence_usage", "confidence_revalorization", "confidence_billing", "confidence_dates", "confidence_company",
-    "confidence_avenant",
-]
+twin("unknown_keys", ["answers_v"], "SELECT request_id, CAST(0 AS INT) AS pos, 'remise' AS key FROM answers_v WHERE event_id % 89 = 0 AND status = 'ok'")
+
+twin("coercion_losses", ["answers_v"], """
+SELECT request_id, CAST(0 AS INT) AS pos, 'price_unitaire' AS "column", '1 200,50' AS given FROM answers_v WHERE status = 'ok' AND event_id % 83 = 0""")
+
+twin("rent_status", ["answers_v"], """
+SELECT request_id, CAST(0 AS INT) AS pos, CAST(NULL AS VARCHAR) AS loyer_facturation_status,
+  CASE WHEN event_id % 79 = 0 THEN 'unknown' END AS loyer_annuele_status
+FROM answers_v WHERE status = 'ok'""")
+
 GIVEN = {
     "usage_notes": "repeat('ab', notes_words)", "confidence_price": "quantity / 25",
     **{c: f"CAST(NULL AS BOOLEAN)" for c in ("bon_de_commande",)},
-    **{c: "CAST(NULL AS DOUBLE)" for c in ("loyer_facturation", "loyer_annuele", "reval_rate_per", "confidence_usage",
-       "confidence_revalorization", "confidence_billing", "confidence_dates", "confidence_company", "confidence_avenant")},
+    **{c: "CAST(NULL AS DOUBLE)" for c in ("loyer_facturation", "loyer_annuele", "reval_rate_per")},
 }
 HELD = {
     "company_name", "numero_de_contrat", "signature_date_cp", "signature_date_av", "avenant_number", "product_code", "product_name",
     "duree_de_service", "duree_de_service_notes", "reconduction_tacite", "term_mode", "billing_frequency", "payment_methods",
     "price_unitaire", "quantity", "quantity_periodicity", "is_volume_product", "loyer", "devise_de_facturation", "loyer_periodicity",
     "one_shot_service", "tax_basis", "is_included", "usage_overconsumption_price", "reval_method", "evidence_price",
+    "evidence_usage", "evidence_revalorization", "evidence_billing", "evidence_dates", "evidence_avenant", "evidence_contract_errors",
+    "confidence_usage", "confidence_revalorization", "confidence_billing", "confidence_dates", "confidence_company", "confidence_avenant",
 }
 twin("rectify_products", ["products_v"], "SELECT affair_id, request_id, pos, " + ", ".join(
-    c if c in HELD else f"{GIVEN.get(c, 'CAST(NULL AS VARCHAR)')} AS {c}" for c in PRODUCT_NAMES
+    c if c in HELD else f"{GIVEN.get(c, 'CAST(NULL AS VARCHAR)')} AS {c}" for c in PRODUCT_COLUMNS
 ) + " FROM products_v")
 
 twin("normalize_missing", ["products_v"], "SELECT request_id, pos, signature_date_cp, product_code FROM products_v")
@@ -308,7 +315,9 @@ UNION ALL SELECT affair_id, request_id, pos, 'payment_methods', 'bitcoin' FROM p
 twin("format_violations", ["products_v"], """
 SELECT affair_id, request_id, pos, 'numero_de_contrat' AS "column", CAST(length(numero_de_contrat) AS DOUBLE) AS measure FROM products_v WHERE contains(numero_de_contrat, '/')
 UNION ALL SELECT affair_id, request_id, pos, 'confidence_price', quantity FROM products_v WHERE quantity > 25
-UNION ALL SELECT affair_id, request_id, pos, 'usage_notes', CAST(2 * notes_words AS DOUBLE) FROM products_v WHERE 2 * notes_words > 160""")
+UNION ALL SELECT affair_id, request_id, pos, 'usage_notes', CAST(2 * notes_words AS DOUBLE) FROM products_v WHERE 2 * notes_words > 160
+UNION ALL SELECT affair_id, request_id, pos, 'evidence_contract_errors', CAST(error_chars AS DOUBLE) FROM products_v
+  WHERE evidence_contract_errors IS NOT NULL AND error_chars > 140""")
 
 # --- consolidation -----------------------------------------------------------------
 
@@ -335,19 +344,20 @@ back AS (SELECT *, lag(cost) OVER w AS old_cost, lag(seq) OVER w AS old_seq FROM
 SELECT affair_id, product_key, seq, avenant_number, old_cost, cost AS new_cost, cost - old_cost AS delta FROM back WHERE is_av AND old_seq IS NOT NULL""")
 
 twin("resolve_terms", [], """
-WITH lowest AS (SELECT o_custkey, o_orderstatus AS st, o_orderpriority AS pr FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1),
-sides AS (SELECT coalesce(c_custkey, o_custkey) AS affair_id,
+WITH general AS (SELECT o_orderkey AS gk, c_custkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 6 <> 0),
+lowest AS (SELECT o_orderkey AS pk, o_orderstatus AS st, o_orderpriority AS pr FROM orders WHERE o_orderkey % 7 <> 0),
+sides AS (SELECT coalesce(gk, pk) AS affair_id,
   CASE c_mktsegment WHEN 'BUILDING' THEN 'USD' WHEN 'MACHINERY' THEN NULL ELSE CASE WHEN c_custkey IS NOT NULL THEN 'EUR' END END AS g1,
   c_mktsegment IN ('AUTOMOBILE', 'BUILDING') AS g2, CASE WHEN c_mktsegment = 'FURNITURE' THEN 'Annuelle' WHEN c_custkey IS NOT NULL THEN 'Mensuelle' END AS g3,
   CASE WHEN st <> 'O' THEN 'GBP' END AS p1, CASE WHEN st <> 'O' THEN st = 'P' END AS p2, CASE WHEN pr <> '5-LOW' THEN 'Trimestrielle' END AS p3
-  FROM customer FULL JOIN lowest ON c_custkey = o_custkey)
+  FROM general FULL JOIN lowest ON gk = pk)
 SELECT affair_id, coalesce(p1, g1) AS devise_de_facturation, CASE WHEN p1 IS NOT NULL THEN 'CP' WHEN g1 IS NOT NULL THEN 'CG' END AS devise_de_facturation_source,
   coalesce(p2, g2) AS reconduction_tacite, CASE WHEN p2 IS NOT NULL THEN 'CP' WHEN g2 IS NOT NULL THEN 'CG' END AS reconduction_tacite_source,
   coalesce(p3, g3) AS billing_frequency, CASE WHEN p3 IS NOT NULL THEN 'CP' WHEN g3 IS NOT NULL THEN 'CG' END AS billing_frequency_source
 FROM sides""")
 
 twin("pack_results", ["consolidated_v"], """
-SELECT affair_id AS id, CAST(0 AS INT) AS part, CAST(count(*) AS INT) AS n_rows, string_agg(product_name, '|' ORDER BY seq) AS names,
+SELECT affair_id AS id, CAST(0 AS INT) AS part, CAST(1 AS BIGINT) AS first_seq, CAST(count(*) AS INT) AS n_rows, string_agg(product_name, '|' ORDER BY seq) AS names,
   string_agg(coalesce(product_code, 'null'), '|' ORDER BY seq) AS codes
 FROM consolidated_v GROUP BY affair_id""")
 twin("unpack_results", ["consolidated_v"], """
@@ -489,10 +499,12 @@ twin("affair_constancy", ["products_v"], "\nUNION ALL\n".join(
     f"SELECT affair_id, count(*) AS n_rows, '{c}' AS \"column\" FROM products_v GROUP BY affair_id"
     f" HAVING count(DISTINCT {c}) + CASE WHEN count({c}) < count(*) THEN 1 ELSE 0 END > 1"
     for c in ("company_name", "numero_de_contrat", "devise_de_facturation", "reconduction_tacite")
-))
+) + """
+UNION ALL
+SELECT affair_id, count(*) AS n_rows, 'signature_date_cp' AS "column" FROM products_v GROUP BY affair_id HAVING count(DISTINCT signature_date_cp) > 1""")
 twin("row_count_check", ["amounts_v", "products_v"], """
 , want AS (SELECT affair_id, count(*) AS n_lines FROM amounts_v WHERE NOT is_recap GROUP BY affair_id),
-have AS (SELECT affair_id, count(*) AS n_products FROM products_v WHERE NOT is_included GROUP BY affair_id)
+have AS (SELECT affair_id, count(*) AS n_products FROM products_v GROUP BY affair_id)
 SELECT affair_id, n_lines, coalesce(n_products, 0) AS n_products, coalesce(n_products, 0) >= n_lines AS ok FROM want LEFT JOIN have USING (affair_id)""")
 twin("sla_check", ["products_v"], """
 , said AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS affair_id FROM lineitem WHERE l_linenumber = 2),
@@ -511,11 +523,22 @@ FROM products_v WHERE product_code IS NOT NULL GROUP BY affair_id, request_id, p
 twin("confidence_score", [], """
 WITH t AS (SELECT *, 5 + CASE WHEN l_linenumber % 3 <> 0 THEN 2 ELSE 0 END + CASE WHEN l_returnflag <> 'N' THEN 1 ELSE 0 END
     + CASE WHEN l_tax > CAST(0.02 AS DOUBLE) THEN 1 ELSE 0 END + CASE WHEN l_discount > CAST(0.03 AS DOUBLE) THEN 2 ELSE 0 END
+    - CASE WHEN l_partkey % 11 = 0 THEN 1 ELSE 0 END - CASE WHEN l_suppkey % 11 = 0 THEN 1 ELSE 0 END - CASE WHEN l_quantity > 45 THEN 1 ELSE 0 END
     - CASE WHEN l_suppkey % 7 = 0 THEN 3 ELSE 0 END - CASE WHEN l_partkey % 5 = 0 THEN 2 ELSE 0 END - CASE WHEN l_suppkey % 3 = 1 THEN 1 ELSE 0 END AS raw,
     CASE WHEN l_linenumber % 3 = 0 THEN 7 WHEN l_linestatus = 'O' THEN 10 WHEN l_quantity = 1 THEN 10 ELSE 9 END AS ceiling FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_linenumber <> 7 THEN greatest(0, least(raw, ceiling)) / CAST(10 AS DOUBLE) END AS confidence FROM t""")
-twin("confidence_audit", ["products_v"], """
-, c AS (SELECT affair_id, request_id, pos, quantity / 25 AS given,
-    CASE WHEN price_unitaire IS NULL THEN NULL ELSE least(CAST(round(quantity * 10 / 25) AS INT), CASE WHEN evidence_price IS NULL THEN 7 ELSE 9 END) / CAST(10 AS DOUBLE) END AS allowed
-  FROM products_v)
-SELECT affair_id, request_id, pos, 'confidence_price' AS field, given, allowed FROM c WHERE given IS DISTINCT FROM allowed""")
+AUDITED = {
+    "confidence_price": ("price_unitaire", "evidence_price", "false", "quantity / 25"),
+    "confidence_usage": ("usage_overconsumption_price", "evidence_usage", "true", None),
+    "confidence_revalorization": ("reval_method", "evidence_revalorization", "reval_method = 'Syntec'", None),
+    "confidence_billing": ("billing_frequency", "evidence_billing", "billing_frequency = 'Mensuelle'", None),
+    "confidence_dates": ("signature_date_cp", "evidence_dates", "true", None),
+    "confidence_company": ("company_name", "company_name", "true", None),
+    "confidence_avenant": ("avenant_number", "evidence_avenant", "avenant_number = 1", None),
+}
+twin("confidence_audit", ["products_v"], ", c AS (" + " UNION ALL ".join(
+    f"SELECT affair_id, request_id, pos, '{name}' AS field, {given or name} AS given, CASE WHEN {value} IS NOT NULL THEN greatest(0, least("
+    f"CAST(round(CAST({given or name} AS DECIMAL(10,4)) * 10) AS INT), CASE WHEN {evidence} IS NULL THEN 7 WHEN {quoted} THEN 10 ELSE 9 END))"
+    f" / CAST(10 AS DOUBLE) END AS allowed FROM products_v"
+    for name, (value, evidence, quoted, given) in AUDITED.items()
+) + ") SELECT affair_id, request_id, pos, field, given, allowed FROM c WHERE given IS DISTINCT FROM allowed")

@@ -39,6 +39,7 @@ def docs(spark: SparkSession, sf: str) -> DataFrame:
         F.col("text").alias("content"),
         F.col("lang").alias("language"),
         F.expr("cast(1 + n_chars div 1800 as int)").alias("page_count"),
+        F.col("n_chars").cast("long").alias("n_chars"),
     )
 
 
@@ -68,7 +69,8 @@ PRODUCT_VALUES = {
     "avenant_number": "if(l_linenumber > 4, l_linenumber - 4, null)",
     "product_code": "if(l_tax = 0, null, p_type)",
     "product_name": "p_name",
-    "duree_de_service": "if(l_partkey % 7 = 0, null, concat(12 * (1 + l_partkey % 5), ' mois'))",
+    "duree_de_service": "case when l_partkey % 77 = 0 then '99999999999 mois' when l_partkey % 7 = 0 then null"
+    " else concat(12 * (1 + l_partkey % 5), ' mois') end",
     "duree_de_service_notes": "if(l_suppkey % 2 = 0, '+ prorata de la période en cours', null)",
     "reconduction_tacite": "o_orderstatus = 'P'",
     "term_mode": "element_at(array('À échoir', 'Échu', 'Annuel'), cast(l_linenumber % 3 + 1 as int))",
@@ -88,7 +90,19 @@ PRODUCT_VALUES = {
     "usage_notes": "repeat('ab', cast(4 * l_quantity as int))",
     "reval_method": "element_at(array('fixed_rate', 'index_formula', 'Syntec', null), cast(l_linenumber % 4 + 1 as int))",
     "evidence_price": "if(l_tax < 0.04, null, concat('PU ', cast(l_quantity as int), ' x'))",
+    "evidence_usage": "if(l_suppkey % 2 = 0, null, 'tarif 0.05 EUR')",
+    "evidence_revalorization": "if(l_suppkey % 3 = 0, null, 'révision par Syntec')",
+    "evidence_billing": "if(l_partkey % 2 = 0, null, 'facture Mensuelle')",
+    "evidence_dates": "if(l_partkey % 3 = 0, null, concat('signé le ', date_format(o_orderdate, 'yyyy-MM-dd')))",
+    "evidence_avenant": "if(l_suppkey % 2 = 0, null, 'avenant 1')",
+    "evidence_contract_errors": "if(l_partkey % 10 = 0, concat('prix manquant; ', repeat('x', 130 + l_suppkey % 20)), null)",
     "confidence_price": "l_quantity / 25",
+    "confidence_usage": "l_linenumber / 10D",
+    "confidence_revalorization": "l_linenumber / 8D",
+    "confidence_billing": "l_linenumber / 10D",
+    "confidence_dates": "if(l_linenumber = 1, null, 1D)",
+    "confidence_company": "if(l_linenumber = 2, 0.95D, 1D)",
+    "confidence_avenant": "0.9D",
 }
 TIE = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate", "l_tax"]
 
@@ -116,8 +130,10 @@ def products(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cg_terms(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "customer").select(
-        F.col("c_custkey").alias("affair_id"),
+    """General terms by order, from its customer; every sixth order has none."""
+    orders = table(spark, sf, "orders").filter("o_orderkey % 6 <> 0")
+    return orders.join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderkey").alias("affair_id"),
         F.expr("case c_mktsegment when 'BUILDING' then 'USD' when 'MACHINERY' then null else 'EUR' end").alias("devise_de_facturation"),
         F.expr("c_mktsegment in ('AUTOMOBILE', 'BUILDING')").alias("reconduction_tacite"),
         F.expr("if(c_mktsegment = 'FURNITURE', 'Annuelle', 'Mensuelle')").alias("billing_frequency"),
@@ -125,32 +141,32 @@ def cg_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cp_terms(spark: SparkSession, sf: str) -> DataFrame:
-    first = (
-        table(spark, sf, "orders").groupBy("o_custkey")
-        .agg(F.min_by(F.struct("o_orderstatus", "o_orderpriority"), "o_orderkey").alias("o"))
-    )
-    return first.select(
-        F.col("o_custkey").alias("affair_id"),
-        F.expr("if(o.o_orderstatus = 'O', null, 'GBP')").alias("devise_de_facturation"),
-        F.expr("if(o.o_orderstatus = 'O', null, o.o_orderstatus = 'P')").alias("reconduction_tacite"),
-        F.expr("if(o.o_orderpriority = '5-LOW', null, 'Trimestrielle')").alias("billing_frequency"),
+    """Specific terms by order; every seventh order has none."""
+    return table(spark, sf, "orders").filter("o_orderkey % 7 <> 0").select(
+        F.col("o_orderkey").alias("affair_id"),
+        F.expr("if(o_orderstatus = 'O', null, 'GBP')").alias("devise_de_facturation"),
+        F.expr("if(o_orderstatus = 'O', null, o_orderstatus = 'P')").alias("reconduction_tacite"),
+        F.expr("if(o_orderpriority = '5-LOW', null, 'Trimestrielle')").alias("billing_frequency"),
     )
 
 
 def responses(spark: SparkSession, sf: str) -> DataFrame:
-    """One answer per event, as JSON text: good, empty, cut off, or with an unknown key."""
+    """One answer per event, as JSON text: good, empty, cut off (or whole, but at the length limit), with an unknown
+    key, with a price no number column takes, or with a rent said to be unknown."""
     full = (
         "concat('{\"products\":[', if(event_type = 'error' and event_id % 89 <> 0, '', concat('{\"product_name\":\"', event_type,"
-        " '\",\"price_unitaire\":', value, ',\"quantity\":', get_json_object(props, '$.k'),"
+        " '\",\"price_unitaire\":', if(event_id % 83 = 0, '\"1 200,50\"', cast(value as string)), if(event_id % 79 = 0, ',\"loyer_annuele\":\"unknown\"', ''),"
+        " ',\"quantity\":', get_json_object(props, '$.k'),"
         " if(event_id % 89 = 0, ',\"remise\":1', ''), '}')), ']}')"
     )
-    cut = F.expr("event_id % 97 = 0")
+    at_limit = F.expr("event_id % 97 = 0")
+    cut = F.expr("event_id % 97 = 0 and event_id % 194 <> 0")
     text = F.expr(full)
     return spread(table(spark, sf, "events").drop("ts")).select(
         F.col("event_id").cast("string").alias("request_id"),
         F.col("user_id").cast("string").alias("affair_id"),
         F.when(cut, F.left(text, F.length(text) - 5)).otherwise(text).alias("arguments"),
-        F.when(cut, F.lit("length")).otherwise(F.lit("tool_calls")).alias("finish_reason"),
+        F.when(at_limit, F.lit("length")).otherwise(F.lit("tool_calls")).alias("finish_reason"),
         F.expr("1000 + event_id % 5000").alias("prompt_tokens"),
         F.expr("200 + event_id % 700").alias("completion_tokens"),
         F.expr("1200 + event_id % 5000 + event_id % 700").alias("total_tokens"),

@@ -82,6 +82,7 @@ CONFIDENCE_OF = {
 }
 
 RECURRING_FIELDS = ["loyer", "loyer_facturation", "loyer_annuele", "billing_frequency", "loyer_periodicity"]
+AFFAIR_DATES = ["signature_date_cg", "signature_date_cp"]
 AFFAIR_FIELDS = ["company_name", "numero_de_contrat", "devise_de_facturation", "reconduction_tacite"]
 # --- end of fixed values ----------------------------------------------------
 

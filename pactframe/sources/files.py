@@ -45,9 +45,13 @@ def select_affairs(df: DataFrame, affairs: list[str] | None, col: str = "path")
 
 
 def apply_analyzer(
-    files: DataFrame, analyze: Callable[[str, bytes], dict], parallelism: int | None = None
+    files: DataFrame, analyze: Callable[[str, bytes], dict]
 ) -> DataFrame:
-    """Run `analyze(path, bytes)` on each file; a failing file becomes a row with `error`."""
+    """Run `analyze(path, bytes)` on each file; a failing file becomes a row with `error`.
+
+    Files are analyzed where they are read, so that their bytes never cross the network; how many
+    go to a task is the scan's `spark.sql.files.maxPartitionBytes` and `openCostInBytes`.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         for batch in batches:
@@ -61,8 +65,7 @@ def apply_analyzer(
             frame = pd.DataFrame(rows, columns=ANALYZED.fieldNames())
             yield frame.astype({"page_count": "Int32"})
 
-    narrow = files.select("path", "content")
-    return (narrow.repartition(parallelism) if parallelism else narrow).mapInPandas(run, ANALYZED)
+    return files.select("path", "content").mapInPandas(run, ANALYZED)
 
 
 def build_documents(analyzed: DataFrame, model: str = "prebuilt-layout") -> DataFrame:
@@ -73,6 +76,7 @@ def build_documents(analyzed: DataFrame, model: str = "prebuilt-layout") -> Data
         doc_id.alias("id"),
         basename(F.col("path")).alias("title"),
         F.coalesce("content", F.lit("")).alias("content"),
+        F.length(F.coalesce("content", F.lit(""))).cast("long").alias("n_chars"),
         F.col("path").alias("file_path"),
         F.coalesce(F.try_element_at("languages", F.lit(1)), F.lit("unknown")).alias("language"),
         F.col("page_count").cast("int").alias("page_count"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pactframe.schemas import FILES
@@ -30,20 +31,25 @@ def stream_documents(
     checkpoint: str,
     analyze: Callable[[str, bytes], dict],
     affairs: list[str] | None = None,
-    parallelism: int | None = None,
     trigger: dict | None = None,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
     """Analyze arriving files and append them to the document store, one batch per epoch.
 
-    The epoch names the batch it writes, so a replayed epoch replaces its own
-    batch. No state is kept beyond the file source's checkpoint.
+    Files whose analysis fails and short paths go to the `quarantine` store (path, error),
+    by default beside the document store: the file source never offers them again. The
+    epoch names the batch it writes in both, so a replayed epoch replaces its own batches.
     """
+    refused = quarantine or f"{store.rstrip('/')}-quarantine"
     files = select_affairs(relative_paths(stream_pdfs(spark, root), root), affairs)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        analyzed = apply_analyzer(batch, analyze, parallelism).filter("error IS NULL")
-        docs = build_documents(analyzed).filter("path_ok")
-        append_batch(latest_per_key(docs, ["id"], ["file_path"]), store, epoch)
+        analyzed = apply_analyzer(batch, analyze).persist()  # both stores come from one analysis
+        docs = build_documents(analyzed.filter("error IS NULL"))
+        append_batch(latest_per_key(docs.filter("path_ok"), ["id"], ["file_path"]), store, epoch)
+        short = docs.filter(~F.col("path_ok")).select(F.col("file_path").alias("path"), F.lit("short path").alias("error"))
+        append_batch(analyzed.filter("error IS NOT NULL").select("path", "error").unionByName(short), refused, epoch)
+        analyzed.unpersist()
 
     return (
         files.writeStream.foreachBatch(write)

@@ -49,7 +49,7 @@ def test_scan_lists_pdfs_of_either_case(spark, contracts):
 
 
 def test_ingest(spark, contracts, tmp_path):
-    got = flow.ingest(spark, contracts, ["ACME", "short"], analyze, parallelism=2)
+    got = flow.ingest(spark, contracts, ["ACME", "short"], analyze)
     docs = {r.id: r for r in got.documents.collect()}
     assert set(docs) == {f"M_acme_deal_{n}" for n in ("CADRE-1.pdf", "CP-2.PDF", "CP-3.pdf", "AVENANT-4.pdf", "CP-ASP-5.pdf")}
     one = docs["M_acme_deal_CP-3.pdf"]
@@ -71,6 +71,8 @@ def test_stream_then_replay(spark, contracts, tmp_path):
         query.awaitTermination(120)
         assert query.exception() is None
     assert store.current(spark, where, ["id"]).count() == 5
+    refused = {r.path: r.error for r in spark.read.parquet(f"{where}-quarantine").collect()}
+    assert refused["M/short.pdf"] == "short path" and "broken" in "".join(refused) and len(refused) == 2
     store.compact(spark, where, str(tmp_path / "compacted"), ["id"])
     assert store.current(spark, str(tmp_path / "compacted"), ["id"]).count() == 5
 

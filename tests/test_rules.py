@@ -230,15 +230,78 @@ def test_consolidate_keeps_every_row(spark):
     assert [r.request_id for r in consolidate.sort_avenants(av).collect()] == ["v", "w"]
 
 
-def test_pack_round_trip(spark):
+@pytest.mark.parametrize("limit", [1, 7, 10, 25, 1000])
+def test_pack_round_trip(spark, limit):
     ddl = "affair_id string, seq long, product_name string, loyer double"
     rows = [("a", i + 1, f"p{i}", i / 3) for i in range(25)] + [("b", 1, None, None)]
-    packed = results.pack_results(spark.createDataFrame(rows, ddl), max_rows=10)
-    assert sorted((r.id, r.part, len(r.rows)) for r in packed.collect()) == [("a", 0, 10), ("a", 1, 10), ("a", 2, 5), ("b", 0, 1)]
-    back = sorted((r.affair_id, r.seq, r.product_name) for r in results.unpack_results(packed, max_rows=10).collect())
+    packed = results.pack_results(spark.createDataFrame(rows, ddl), max_rows=limit)
+    assert packed.filter("id = 'a'").count() == -(-25 // limit)
+    assert max(len(r.rows) for r in packed.collect()) <= limit
+    back = sorted((r.affair_id, r.seq, r.product_name) for r in results.unpack_results(packed).collect())
     assert back == sorted(r[:3] for r in rows)
 
 
+def test_upsert_results_by_touched_ids(spark):
+    ddl = "affair_id string, seq long, product_name string"
+    old = results.pack_results(spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], ddl))
+    new = results.pack_results(spark.createDataFrame([("a", 1, "z")], ddl))
+    touched = spark.createDataFrame([("a",), ("c",)], "id string")
+    for got in (results.upsert_results(old, new), results.upsert_results(old, new, touched)):
+        assert sorted((r.id, r.rows[0].product_name) for r in got.collect()) == [("a", "z"), ("b", "y")]
+
+
+def test_values_lost_in_decoding_are_reported(spark):
+    def answer(body, finish="tool_calls"):
+        return ("r", "a", '{"products":[' + body, finish)
+
+    rows = [
+        answer('{"product_name":"p","price_unitaire":"1 200,50","one_shot_service":"oui","avenant_number":2.5,"loyer":7}]}'),
+        answer('{"product_name":"q","loyer_annuele":"unknown","loyer":"null","quantity":null}]}', "length"),
+        answer('{"product_name":"cut', "length"),
+    ]
+    df = spark.createDataFrame([(f"r{k}", *r[1:]) for k, r in enumerate(rows)], "request_id string, affair_id string, arguments string, finish_reason string")
+    lost = {(r.request_id, r["column"], r.given) for r in responses.coercion_losses(df).collect()}
+    assert lost == {("r0", "price_unitaire", "1 200,50"), ("r0", "one_shot_service", "oui"), ("r0", "avenant_number", "2.5")}
+    status = {r.request_id: (r.status, r.n_products, r.hit_limit) for r in responses.response_status(df).collect()}
+    assert status == {"r0": ("ok", 1, False), "r1": ("ok", 1, True), "r2": ("truncated", 0, True)}
+    rents = {r.request_id: (r.loyer_facturation_status, r.loyer_annuele_status) for r in responses.rent_status(df).collect()}
+    assert rents == {"r0": (None, None), "r1": (None, "unknown")}
+
+
+def test_wild_durations_leave_the_end_unknown(spark):
+    ddl = ("signature_date_av string, signature_date_cp string, duree_de_service string, duree_de_service_notes string, "
+           "one_shot_service boolean, is_included boolean, reconduction_tacite boolean")
+    rows = [(None, "2020-01-15", d, None, False, False, False) for d in ("99999999999 mois", "1201 mois", "24 mois", "0 mois", "toujours")]
+    got = [(r.date_end_calc, r.date_end_status) for r in pricing.contract_end(spark.createDataFrame(rows, ddl)).collect()]
+    assert got == [(None, "unknown"), (None, "unknown"), (D(2022, 1, 15), "ok"), (D(2020, 1, 15), "ok"), (None, "unknown")]
+
+
+@pytest.mark.parametrize("text_, recap", [
+    ("Totalisateur de colis 500 € HT / mois", False), ("Total 5 €", True), ("| sous-total : 5 €", True), ("Récapitulatif", True),
+    ("Récap 5 €", True), ("recaps : 5 €", True), ("récapitulation", False), ("Totaux", False),
+])
+def test_recap_is_a_whole_word(spark, text_, recap):
+    assert one(spark, text_, lambda c: contract.is_recap(F.lower(c))) is recap
+
+
+def test_control_characters_cost_no_amount(spark):
+    docs = spark.createDataFrame([("a", "Bloc\u0001X 100 € HT\nY\u0002 5 € HT")], "id string, content string")
+    got = sorted((r.line_no, r.label, r.amount) for r in lines.priced_lines(docs).collect())
+    assert got == [(0, "Bloc X", 100.0), (1, "Y", 5.0)]
+
+
+def test_overconsumption_wording_is_whole(spark):
+    said = "palier " + "très long " * 40
+    assert one(spark, said, lambda c: contract.overconsumption(c)["price"]) == said.strip()
+
+
+def test_long_contract_error_items(spark):
+    rows = [("a", "x" * 140 + "; " + "y" * 20), ("b", "short\n" + "z" * 141), ("c", None)]
+    df = spark.createDataFrame(rows, "affair_id string, evidence_contract_errors string")
+    got = [(r.affair_id, r.value) for r in responses.format_violations(df).collect()]
+    assert got == [("b", "z" * 141)]
+
+
 def test_resolve_terms(spark):
     cg = spark.createDataFrame([("a", "EUR"), ("b", "USD")], "affair_id string, cur string")
     cp = spark.createDataFrame([("a", "GBP"), ("b", None), ("c", "CHF")], "affair_id string, cur string")

@@ -92,6 +92,23 @@ def test_oversized_affair_is_split_whole(spark, sf):
     assert total(whole) == total(parts)
 
 
+@pytest.mark.parametrize("limit", [1, 6, 10, 17, 10_000])
+def test_parts_in_order_are_the_whole_text(spark, limit):
+    rows = [("a", f"d{k:02d}", "t" * (k % 5) + str(k), k % 3 == 0, k % 4 == 0) for k in range(30)] + [("b", "x", "small", True, False)]
+    df = spark.createDataFrame(rows, "affair_id string, id string, content string, is_cg boolean, is_cp boolean").withColumn("is_av", F.lit(False))
+    parts = sorted(documents.concat_contents(df, limit).filter("affair_id = 'a'").collect(), key=lambda r: r.part)
+    assert [r.part for r in parts] == list(range(parts[0].n_parts))
+    for text, n, at in (("cg_content", "n_cg", 3), ("cp_content", "n_cp", 4)):
+        want = "\n".join(r[2] for r in rows[:30] if r[at])
+        assert "\n".join(r[text] for r in parts if r[n]) == want
+
+
+def test_split_report_does_not_read_texts(spark, sf):
+    classified = documents.classify(documents.match_affairs(views.docs(spark, sf), views.affairs(spark, sf)))
+    plan = documents.split_report(classified)._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in "".join(x for x in plan.split("\n") if "ReadSchema" in x).split("ReadSchema")[1]
+
+
 def test_affairs_by_equality_match_the_literal_test(spark, sf):
     docs = documents.with_id_lc(views.docs(spark, sf).filter(F.endswith("id", F.lit(".pdf"))))
     wanted = spark.createDataFrame([("src1",), ("SRC10",), ("cadre",), ("e",), ("nowhere",)], "affair_id string")
