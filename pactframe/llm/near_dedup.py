@@ -242,3 +242,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """Documents with all their columns, of each group the one with the smallest id; rows with equal ids stay together."""
+    kept = near_groups(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
