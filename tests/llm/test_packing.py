@@ -22,16 +22,25 @@ def ids_of(text: str) -> list[int]:
 @pytest.mark.parametrize(
     "text",
     ["", " ", "a b", "a  b", " a", "a ", "a\n b", "a \nb", "x\x1c y", "x \x85y", "it's <|endoftext|> here", "<|endoftext|> a",
-     "a\0 b", "a　 b", "a᠎ b ​ c", "\t\t x\r\n y", "é ́x  12 34, 5"],
+     "a\0 b", "a　 b", "a᠎ b ​ c", "\t\t x\r\n y", "\x1c\x1d \x85", "a" * 3000, " " * 900 + "x", "é ́x  12 34, 5"],
 )
-def test_parts_encode_as_the_whole(text):
-    assert np.frombuffer(OURS.encode([text])[0], "<u4").tolist() == ids_of(text)
+def test_ids_are_the_librarys(text):
+    assert np.frombuffer(OURS.encode(text), "<u4").tolist() == ids_of(text)
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=1000, deadline=None)
 @given(st.text(alphabet=st.characters(max_codepoint=0x3100, exclude_categories=["Cs"]) | st.sampled_from(" \n\t"), max_size=40))
-def test_any_text_encodes_as_the_whole(text):
-    assert np.frombuffer(OURS.encode([text])[0], "<u4").tolist() == ids_of(text)
+def test_any_text_has_the_librarys_ids(text):
+    assert np.frombuffer(OURS.encode(text), "<u4").tolist() == ids_of(text)
+
+
+def test_the_quick_loop_is_used_and_agrees_on_all_texts():
+    import duckdb
+
+    assert OURS.quick is not None
+    texts = duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet' UNION ALL SELECT html FROM '/root/testdata/sf0.01/pages.parquet'").fetchall()
+    for (text,) in texts:
+        assert np.frombuffer(OURS.encode(text), "<u4").tolist() == ids_of(text)
 
 
 def check_packed(got, docs, capacity=1024):
