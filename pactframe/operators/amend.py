@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pactframe.functions.contract import VOLUME_NAME
 from pactframe.functions.text import squeeze
+from pactframe.functions.values import months_of
 from pactframe.operators.skew import HEAVY_ROWS, lag_in_group
 from pactframe.session import cut
 
@@ -26,14 +28,21 @@ def normal_description(col: Column) -> Column:
     return F.lower(squeeze(col))
 
 
-def match_by_description(cp: DataFrame, av: DataFrame, max_ratio: float = 0.3) -> DataFrame:
-    """For each amendment description of an affair, the closest CP description within
-    `levenshtein <= max_ratio * longer length`; ties go to the first in order.
+def words_of(desc: Column) -> Column:
+    """Different words of a description; none for the name of a volume, which names a product and a period."""
+    found = F.array_distinct(F.filter(F.split(desc, r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+    return F.when(desc.rlike("(?i)" + VOLUME_NAME), F.array().cast("array<string>")).otherwise(found)
 
-    Only distinct descriptions meet. Equal ones are settled by equality. The rest
-    meet only when they share a segment: a description cut into d + 1 segments keeps
-    one of them whole under d edits, at an offset moved by at most d. So every pair
-    within the ratio is a candidate, and the group's full product is never formed.
+
+def match_by_description(cp: DataFrame, av: DataFrame, min_share: float = 0.5) -> DataFrame:
+    """For each amendment description of an affair, the likeliest CP description and its `likeness`.
+
+    Equal descriptions have likeness 1. Others are as like as their sets of words: shared words over all words, which
+    has to reach `min_share`; ties go to the first in order. Names of volumes only equal themselves: another period is
+    another product.
+
+    Descriptions meet on words, the rarest first: two sets that share enough share one of the first
+    `size - ceil(min_share * size) + 1` words of either, so frequent words form no pairs.
     """
     def descriptions(products: DataFrame, name: str) -> DataFrame:
         named = products.select("affair_id", normal_description(F.col("product_name")).alias(name))
@@ -42,76 +51,80 @@ def match_by_description(cp: DataFrame, av: DataFrame, max_ratio: float = 0.3) -
 
     known, wanted = descriptions(cp, "cp_desc"), descriptions(av, "av_desc")
     equal = wanted.join(known.withColumnRenamed("cp_desc", "av_desc"), ["affair_id", "av_desc"], "left_semi")
-    settled = equal.select("affair_id", "av_desc", F.col("av_desc").alias("cp_desc"), F.lit(0).alias("distance"))
+    settled = equal.select("affair_id", "av_desc", F.col("av_desc").alias("cp_desc"), F.lit(1.0).alias("likeness"))
     open_ = wanted.join(known.withColumnRenamed("cp_desc", "av_desc"), ["affair_id", "av_desc"], "left_anti")
 
-    allowed = f"cast(floor({max_ratio}D * greatest(l, m)) as int)"
-    # l: CP length, m: AV length, d: edits allowed, i: segment number
-    segments = f"""
-        flatten(transform(filter(sequence(0, cast(floor({max_ratio}D * (l / (1 - {max_ratio}D) + 1)) as int)),
-            d -> d >= cast(floor({max_ratio}D * l) as int)),
-          d -> transform(sequence(0, d), i -> named_struct('l', l, 'd', d, 'i', i,
-            'piece', substring(cp_desc, cast((i * l) div (d + 1) + 1 as int), cast(((i + 1) * l) div (d + 1) - (i * l) div (d + 1) as int))))))"""
-    left = known.withColumn("l", F.length("cp_desc")).selectExpr("affair_id", "cp_desc", f"inline({segments})")
-    left = left.withColumnsRenamed({"l": "seg_l", "d": "seg_d", "i": "seg_i"})
-    # only the CP lengths that occur in the affair are worth probing; there are few, as names are short
-    lengths = known.groupBy("affair_id").agg(F.collect_set(F.length("cp_desc")).alias("lengths"))
-    probes = open_.join(lengths, "affair_id").selectExpr(
-        "affair_id", "av_desc", "length(av_desc) as m",
-        f"explode(array_intersect({_partner_lengths('length(av_desc)', max_ratio)}, lengths)) as l",
-    )
-    probes = probes.selectExpr("*", f"{allowed} as d").filter("abs(l - m) <= d")
-    probes = probes.selectExpr("*", "explode(sequence(0, d)) as i")
-    probes = probes.selectExpr("*", "(i * l) div (d + 1) as at", "((i + 1) * l) div (d + 1) - (i * l) div (d + 1) as size")
-    # of the segments left whole, one has at most i edits before it and d - i after it
-    low, high = "greatest(0, at - i, at + m - l - (d - i))", "least(m - size, at + i, at + m - l + (d - i))"
-    probes = probes.selectExpr("*", f"cast({low} as int) as low", f"cast({high} as int) as high").filter("low <= high").selectExpr(
-        "affair_id", "av_desc", "l as seg_l", "d as seg_d", "i as seg_i",
-        "explode(array_distinct(transform(sequence(low, high), p -> substring(av_desc, p + 1, cast(size as int))))) as piece",
-    )
-    keys = ["affair_id", "seg_l", "seg_d", "seg_i", "piece"]
-    candidates = probes.join(left, keys).select("affair_id", "av_desc", "cp_desc").distinct()
-    longest = F.greatest(F.length("av_desc"), F.length("cp_desc"))
-    close = candidates.withColumn("distance", F.levenshtein("av_desc", "cp_desc")).filter(
-        F.col("distance") <= F.floor(F.lit(max_ratio) * longest)
-    )
-    best = close.groupBy("affair_id", "av_desc").agg(F.min(F.struct("distance", "cp_desc")).alias("best"))
-    found = best.select("affair_id", "av_desc", "best.cp_desc", "best.distance")
+    cp_words = known.select("affair_id", "cp_desc", F.explode(words_of(F.col("cp_desc"))).alias("word"))
+    often = cp_words.groupBy("affair_id", "word").agg(F.count(F.lit(1)).alias("n"))
+
+    def rarest_first(words: DataFrame, name: str) -> DataFrame:
+        counted = words.join(often, ["affair_id", "word"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        ordered = F.sort_array(F.collect_list(F.struct("n", "word")))["word"]
+        one = counted.groupBy("affair_id", name).agg(ordered.alias(f"{name}_words"))
+        size = F.size(f"{name}_words")
+        head = F.slice(f"{name}_words", F.lit(1), (size - F.ceil(F.lit(min_share) * size) + 1).cast("int"))
+        return one.withColumn("word", F.explode(head))
+
+    av_words = open_.select("affair_id", "av_desc", F.explode(words_of(F.col("av_desc"))).alias("word"))
+    met = rarest_first(av_words, "av_desc").join(rarest_first(cp_words, "cp_desc"), ["affair_id", "word"])
+    shared = F.size(F.array_intersect("av_desc_words", "cp_desc_words"))
+    likeness = shared / (F.size("av_desc_words") + F.size("cp_desc_words") - shared)
+    close = met.withColumn("likeness", likeness).filter(F.col("likeness") >= min_share)
+    best = close.groupBy("affair_id", "av_desc").agg(F.min(F.struct(-F.col("likeness"), "cp_desc")).alias("best"))
+    found = best.select("affair_id", "av_desc", "best.cp_desc", (-F.col("best.col1")).alias("likeness"))
     return settled.unionByName(found)
 
 
-def _partner_lengths(length: str, ratio: float) -> str:
-    low = f"greatest(1, cast(ceil({length} * (1 - {ratio}D)) as int) - 1)"
-    high = f"cast(floor({length} / (1 - {ratio}D)) as int) + 1"
-    return f"sequence({low}, {high})"
-
-
 def amendment_delta(sequenced: DataFrame, floor: float = HEAVY_ROWS) -> DataFrame:
     """Old cost, new cost and difference where an amendment restates a product of the affair.
 
-    `product_key` names the product (its code, or the matched description); rows
-    are compared with the nearest earlier row of the same key by `seq`.
+    `product_key` names the product; rows are compared with the nearest earlier row of the
+    same key by `seq`. Like is compared with like: rents on an annual `basis` where both rows
+    have one, else unit prices where both have one; otherwise the costs are NULL and `reason`
+    says what is missing.
     """
-    cost = F.coalesce("loyer", "price_unitaire")
+    annual = F.col("loyer") * 12 / months_of(F.col("loyer_periodicity"))
     rows = sequenced.filter(F.col("product_key").isNotNull()).select(
-        "affair_id", "product_key", "seq", "is_av", "avenant_number", cost.alias("new_cost")
+        "affair_id", "product_key", "seq", "is_av", "avenant_number",
+        F.struct(annual.alias("rent"), F.col("price_unitaire").alias("price")).alias("_cost"),
     )
-    lagged = lag_in_group(rows.withColumn("_cost", F.struct("new_cost")), ["affair_id", "product_key"], "seq", "_cost", "_old", floor)
-    old = lagged.filter(F.col("is_av") & F.col("_old").isNotNull()).withColumn("old_cost", F.col("_old.new_cost"))
-    return old.select(
-        "affair_id", "product_key", "seq", "avenant_number", "old_cost", "new_cost",
-        (F.col("new_cost") - F.col("old_cost")).alias("delta"),
+    lagged = lag_in_group(rows, ["affair_id", "product_key"], "seq", "_cost", "_old", floor)
+    rents = F.col("_old.rent").isNotNull() & F.col("_cost.rent").isNotNull()
+    prices = F.col("_old.price").isNotNull() & F.col("_cost.price").isNotNull()
+    costs = [F.when(rents, F.col(f"{side}.rent")).when(prices, F.col(f"{side}.price")) for side in ("_old", "_cost")]
+    none = [F.col(f"{side}.rent").isNull() & F.col(f"{side}.price").isNull() for side in ("_old", "_cost")]
+    reason = F.when(~(rents | prices), F.when(none[0], F.lit("no old cost")).when(none[1], F.lit("no new cost")).otherwise(F.lit("unlike costs")))
+    return lagged.filter(F.col("is_av") & F.col("_old").isNotNull()).select(
+        "affair_id", "product_key", "seq", "avenant_number",
+        F.when(rents, F.lit("annual_rent")).when(prices, F.lit("unit_price")).alias("basis"),
+        costs[0].alias("old_cost"), costs[1].alias("new_cost"), (costs[1] - costs[0]).alias("delta"), reason.alias("reason"),
     )
 
 
-def with_product_key(products: DataFrame, max_ratio: float = 0.3) -> DataFrame:
-    """Adds `product_key`: the code, else the CP description the row's own one is closest to, else its own."""
+def delta_evidence(old: Column, new: Column) -> Column:
+    """Old against new cost as text, for `evidence_avenant`."""
+    def shown(cost: Column) -> Column:
+        return F.format_number(cost, "0.##")
+
+    return F.concat(F.lit("ancien "), shown(old), F.lit(" → nouveau "), shown(new))
+
+
+def with_product_key(products: DataFrame, min_share: float = 0.5) -> DataFrame:
+    """Adds `product_key`: the code; without one, the key of the CP row with the same or the likeliest description, else
+    the row's own description. A CP description stands for the smallest code among its rows, else for itself."""
     desc = normal_description(F.col("product_name"))
+    cp = products.filter(~F.col("is_av"))
     uncoded = products.filter(F.col("product_code").isNull())
+    keys = cut(
+        cp.withColumn("cp_desc", desc).filter("cp_desc <> ''").groupBy("affair_id", "cp_desc").agg(
+            F.coalesce(F.min("product_code"), F.col("cp_desc")).alias("cp_key")
+        )
+    )
     # a row per distinct description, read by every later pass: written once
-    matched = cut(match_by_description(uncoded.filter(~F.col("is_av")), uncoded.filter("is_av"), max_ratio))
-    lookup = F.col("product_code").isNull() & F.col("is_av")
-    named = products.filter(~lookup).withColumn("product_key", F.coalesce("product_code", desc))
-    keyed = products.filter(lookup).withColumn("av_desc", desc).join(matched.drop("distance"), ["affair_id", "av_desc"], "left")
-    keyed = keyed.withColumn("product_key", F.coalesce("cp_desc", "av_desc")).select(*products.columns, "product_key")
-    return named.unionByName(keyed)
+    matched = match_by_description(cp, uncoded.filter("is_av"), min_share).join(keys, ["affair_id", "cp_desc"])
+    by_av = cut(matched.select("affair_id", F.col("av_desc").alias("_desc"), F.lit(True).alias("_av"), F.col("cp_key").alias("_key")))
+    by_cp = keys.select("affair_id", F.col("cp_desc").alias("_desc"), F.lit(False).alias("_av"), F.col("cp_key").alias("_key"))
+    coded = products.filter(F.col("product_code").isNotNull()).withColumn("product_key", F.col("product_code"))
+    named = uncoded.withColumns({"_desc": desc, "_av": F.col("is_av")})
+    keyed = named.join(by_av.unionByName(by_cp), ["affair_id", "_desc", "_av"], "left")
+    return coded.unionByName(keyed.withColumn("product_key", F.coalesce("_key", "_desc")).select(*products.columns, "product_key"))

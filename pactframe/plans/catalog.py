@@ -292,7 +292,7 @@ def avenant_coverage(spark, sf):
 
 @query
 def amendment_delta(spark, sf):
-    return amend.amendment_delta(amend.with_product_key(merge.sequence_products(views.products(spark, sf))))
+    return amend.amendment_delta(amend.with_product_key(merge.sequence_products(views.products(spark, sf)), 0.3))
 
 
 @query

@@ -327,21 +327,38 @@ twin("sequence_products", ["seq_v"], "SELECT affair_id, request_id, pos, seq FRO
 twin("avenant_coverage", ["products_v"], """
 SELECT affair_id, count(DISTINCT request_id) AS n_received, count(DISTINCT avenant_number) AS n_numbers FROM products_v WHERE is_av GROUP BY affair_id""")
 
-BEST = """
-, {cp} AS (SELECT DISTINCT affair_id, lower(product_name) AS cp_desc FROM products_v WHERE NOT is_av{where}),
-{av} AS (SELECT DISTINCT affair_id, lower(product_name) AS av_desc FROM products_v WHERE is_av{where}),
-near AS (SELECT affair_id, av_desc, cp_desc, levenshtein(av_desc, cp_desc) AS distance FROM {cp} JOIN {av} USING (affair_id)
-  WHERE levenshtein(av_desc, cp_desc) <= floor(CAST(0.3 AS DOUBLE) * greatest(length(av_desc), length(cp_desc)))),
-best AS (SELECT * FROM near QUALIFY row_number() OVER (PARTITION BY affair_id, av_desc ORDER BY distance, cp_desc) = 1)"""
-
-twin("match_by_description", ["products_v"], BEST.format(cp="known", av="wanted", where="") + """
-SELECT affair_id, av_desc, cp_desc, CAST(distance AS INT) AS distance FROM best""")
-
-twin("amendment_delta", ["seq_v"], BEST.format(cp="known", av="wanted", where=" AND product_code IS NULL") + """
-, keyed AS (SELECT s.*, coalesce(product_code, b.cp_desc, lower(product_name)) AS product_key, coalesce(loyer, price_unitaire) AS cost
-  FROM seq_v s LEFT JOIN best b ON s.product_code IS NULL AND s.is_av AND b.affair_id = s.affair_id AND b.av_desc = lower(s.product_name)),
-back AS (SELECT *, lag(cost) OVER w AS old_cost, lag(seq) OVER w AS old_seq FROM keyed WINDOW w AS (PARTITION BY affair_id, product_key ORDER BY seq))
-SELECT affair_id, product_key, seq, avenant_number, old_cost, cost AS new_cost, cost - old_cost AS delta FROM back WHERE is_av AND old_seq IS NOT NULL""")
+WORDS = r"list_distinct(list_filter(regexp_split_to_array({c}, '[^\p{{L}}\p{{N}}]+'), lambda x: x <> ''))"
+BEST = f"""
+, known AS (SELECT DISTINCT affair_id, lower(product_name) AS cp_desc FROM products_v WHERE NOT is_av),
+wanted AS (SELECT DISTINCT affair_id, lower(product_name) AS av_desc FROM products_v WHERE is_av@),
+near AS (SELECT affair_id, av_desc, cp_desc, CASE WHEN av_desc = cp_desc THEN 1.0::DOUBLE ELSE
+    len(list_intersect({WORDS.format(c='av_desc')}, {WORDS.format(c='cp_desc')}))
+    / len(list_distinct(list_concat({WORDS.format(c='av_desc')}, {WORDS.format(c='cp_desc')})))::DOUBLE END AS likeness
+  FROM known JOIN wanted USING (affair_id)),
+best AS (SELECT * FROM near WHERE likeness >= 0.3::DOUBLE
+  QUALIFY row_number() OVER (PARTITION BY affair_id, av_desc ORDER BY av_desc = cp_desc DESC, likeness DESC, cp_desc) = 1)"""
+
+twin("match_by_description", ["products_v"], BEST.replace("@", "") + """
+SELECT affair_id, av_desc, cp_desc, likeness FROM best""")
+
+twin("amendment_delta", ["seq_v"], BEST.replace("@", " AND product_code IS NULL") + """
+, desc_key AS (SELECT affair_id, lower(product_name) AS cp_desc, coalesce(min(product_code), lower(product_name)) AS cp_key
+  FROM products_v WHERE NOT is_av GROUP BY affair_id, lower(product_name)),
+keyed AS (SELECT s.*, coalesce(product_code, CASE WHEN is_av THEN ka.cp_key ELSE kc.cp_key END, lower(product_name)) AS product_key,
+    loyer * 12 / CASE loyer_periodicity WHEN 'Mensuelle' THEN 1 WHEN 'Trimestrielle' THEN 3 WHEN 'Semestrielle' THEN 6 WHEN 'Annuelle' THEN 12 END AS rent
+  FROM seq_v s LEFT JOIN best b ON s.product_code IS NULL AND s.is_av AND b.affair_id = s.affair_id AND b.av_desc = lower(s.product_name)
+  LEFT JOIN desc_key ka ON ka.affair_id = b.affair_id AND ka.cp_desc = b.cp_desc
+  LEFT JOIN desc_key kc ON NOT s.is_av AND kc.affair_id = s.affair_id AND kc.cp_desc = lower(s.product_name)),
+back AS (SELECT *, lag(rent) OVER w AS old_rent, lag(price_unitaire) OVER w AS old_price, lag(seq) OVER w AS old_seq FROM keyed
+  WINDOW w AS (PARTITION BY affair_id, product_key ORDER BY seq)),
+based AS (SELECT *, CASE WHEN rent IS NOT NULL AND old_rent IS NOT NULL THEN 'annual_rent'
+  WHEN price_unitaire IS NOT NULL AND old_price IS NOT NULL THEN 'unit_price' END AS basis FROM back WHERE is_av AND old_seq IS NOT NULL),
+costs AS (SELECT *, CASE basis WHEN 'annual_rent' THEN old_rent WHEN 'unit_price' THEN old_price END AS old_cost,
+  CASE basis WHEN 'annual_rent' THEN rent WHEN 'unit_price' THEN price_unitaire END AS new_cost FROM based)
+SELECT affair_id, product_key, seq, avenant_number, basis, old_cost, new_cost, new_cost - old_cost AS delta,
+  CASE WHEN basis IS NULL THEN CASE WHEN old_rent IS NULL AND old_price IS NULL THEN 'no old cost'
+    WHEN rent IS NULL AND price_unitaire IS NULL THEN 'no new cost' ELSE 'unlike costs' END END AS reason
+FROM costs""")
 
 twin("resolve_terms", [], """
 WITH general AS (SELECT o_orderkey AS gk, c_custkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 6 <> 0),

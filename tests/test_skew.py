@@ -49,7 +49,7 @@ def test_gate(skewed):
 
 
 def test_delta(skewed):
-    seq = consolidate.sequence_products(skewed)
+    seq = consolidate.sequence_products(skewed).withColumn("loyer_periodicity", F.lit("Mensuelle"))
     plain, split = (amend.amendment_delta(seq, floor=f) for f in (10**9, 20))
     assert plain.count() > 100
     assert rows_of(plain) == rows_of(split)
@@ -120,15 +120,41 @@ names = st.lists(st.text("abc d", min_size=1, max_size=12), min_size=1, max_size
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(names, names, st.sampled_from([0.2, 0.3, 0.5]))
-def test_similar_descriptions_against_all_pairs(spark, cp, av, ratio):
+@given(names, names, st.sampled_from([0.3, 0.5, 0.8]))
+def test_similar_descriptions_against_all_pairs(spark, cp, av, share):
     left = spark.createDataFrame([("a", n) for n in cp], "affair_id string, product_name string")
     right = spark.createDataFrame([("a", n) for n in av], "affair_id string, product_name string")
-    got = {(r.av_desc, r.cp_desc, r.distance) for r in amend.match_by_description(left, right, ratio).collect()}
-    near = left.select(amend.normal_description(F.col("product_name")).alias("c")).distinct().crossJoin(
-        right.select(amend.normal_description(F.col("product_name")).alias("v")).distinct()).filter("c <> '' and v <> ''")
-    near = near.withColumn("d", F.levenshtein("c", "v")).filter(F.col("d") <= F.floor(F.lit(ratio) * F.greatest(F.length("c"), F.length("v"))))
+    got = {r.av_desc: (r.cp_desc, round(r.likeness, 9)) for r in amend.match_by_description(left, right, share).collect()}
     want = {}
-    for r in near.collect():
-        want[r.v] = min(want.get(r.v, (99, "")), (r.d, r.c))
-    assert got == {(v, c, d) for v, (d, c) in want.items()}
+    for v in {" ".join(n.split()) for n in av} - {""}:
+        for c in {" ".join(n.split()) for n in cp} - {""}:
+            a, b = set(v.split()), set(c.split())
+            like = len(a & b) / len(a | b)
+            if v == c or like >= share:
+                want[v] = min(want.get(v, (True, 0, "")), (v != c, -like, c))
+    assert got == {v: (c, round(1.0 if not differs else -like, 9)) for v, (differs, like, c) in want.items()}
+
+
+def test_volume_names_meet_only_themselves(spark):
+    def named(years):
+        rows = [("a", f"Abonnement volume WMS {k % 50} — {y} S{1 + k % 2}") for k in range(250) for y in years]
+        return spark.createDataFrame(rows, "affair_id string, product_name string")
+
+    cp, av = named((2015, 2016)), named((2016, 2017))
+    got = amend.match_by_description(cp, av).collect()
+    assert got and all(r.av_desc == r.cp_desc and "2016" in r.av_desc for r in got)
+    assert spark.createDataFrame(cp.limit(9).collect()).select(F.size(amend.words_of(F.col("product_name"))).alias("n")).agg(F.sum("n")).first()[0] == 0
+
+
+def test_uncoded_amendment_meets_a_coded_row_and_unlike_costs_are_not_subtracted(spark):
+    ddl = ("affair_id string, request_id string, pos int, is_av boolean, avenant_number int, product_code string, product_name string, "
+           "loyer double, loyer_periodicity string, price_unitaire double, signature_date_cp string, signature_date_av string")
+    rows = [
+        ("a", "c", 0, False, None, "W1", "Abonnement WMS", 100.0, "Mensuelle", None, "2020-01-01", None),
+        ("a", "v", 0, True, 1, None, "abonnement  wms", 1500.0, "Annuelle", None, None, "2021-01-01"),
+        ("b", "c", 0, False, None, "X", "Licence", 100.0, "Mensuelle", None, "2020-01-01", None),
+        ("b", "v", 0, True, 1, "X", "Licence", None, None, 7.0, None, "2021-01-01"),
+    ]
+    seq = consolidate.sequence_products(spark.createDataFrame(rows, ddl))
+    got = {r.affair_id: (r.product_key, r.basis, r.delta, r.reason) for r in amend.amendment_delta(amend.with_product_key(seq)).collect()}
+    assert got == {"a": ("W1", "annual_rent", 300.0, None), "b": ("X", None, None, "unlike costs")}
