@@ -92,7 +92,11 @@ VIEWS = {
         SELECT affair_id, id, row_id, ln, 2, CASE ln WHEN 1 THEN 'Total ' || money || ' € HT' WHEN 2 THEN 'SLA Standard Inclus'
           WHEN 3 THEN 'Total abonnement, montant forfaitaire mensuel total de : ' || money || ' €'
           WHEN 4 THEN 'REMISE COMMERCIALE -' || money || ' € HT' WHEN 5 THEN 'Utilisateur supplémentaire 10 € / mois'
-          WHEN 6 THEN 'palier S1, unité d’œuvre surcotée de 15%' WHEN 7 THEN 'Hypercare Gratuit' END FROM money_v""",
+          WHEN 6 THEN 'palier S1, unité d’œuvre surcotée de 15%' WHEN 7 THEN 'Hypercare Gratuit' END FROM money_v
+        UNION ALL
+        SELECT affair_id, id, row_id, ln, 3, 'Option étendue' FROM money_v WHERE rf = 'N'
+        UNION ALL
+        SELECT affair_id, id, row_id, ln, 4, money || ' € HT / mois' FROM money_v WHERE rf = 'N'""",
     "numbered_v": """
         SELECT *, CAST(row_number() OVER (PARTITION BY row_id ORDER BY part) - 1 AS INT) AS line_no FROM text_lines_v""",
     "amounts_v": """
@@ -108,7 +112,10 @@ VIEWS = {
             WHEN 4 THEN 'REMISE COMMERCIALE' ELSE 'Utilisateur supplémentaire' END,
           CASE n.ln WHEN 4 THEN -m.cents / 100.0 WHEN 5 THEN 10.0 ELSE m.cents / 100.0 END, 'EUR',
           CASE WHEN n.ln IN (1, 4) THEN 'HT' END, CASE WHEN n.ln IN (3, 5) THEN 'Mensuelle' ELSE 'unknown' END, n.ln = 1
-        FROM numbered_v n JOIN money_v m USING (row_id) WHERE part = 2 AND n.ln IN (1, 3, 4, 5)""",
+        FROM numbered_v n JOIN money_v m USING (row_id) WHERE part = 2 AND n.ln IN (1, 3, 4, 5)
+        UNION ALL
+        SELECT n.affair_id, n.id, n.line_no, n.part, n.ln, 0, 'Option étendue', m.cents / 100.0, 'EUR', 'HT', 'Mensuelle', false
+        FROM numbered_v n JOIN money_v m USING (row_id) WHERE part = 4""",
     "gate_v": """
         SELECT affair_id, bool_or(one_shot_service) AND NOT bool_and(one_shot_service)
           AND bool_or(is_volume_product) AND NOT bool_and(is_volume_product) AS open

@@ -182,7 +182,7 @@ def _money(cents: str) -> str:
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
-    """A text of one to three lines per order line: priced lines, recaps, service levels, discounts."""
+    """A text of one to five lines per order line: priced lines, recaps, service levels, discounts, a label above its price."""
     used = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"]
     rows = spread(table(spark, sf, "lineitem").select(*used))
     rows = rows.join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -201,6 +201,8 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
               when 5 then 'Utilisateur supplémentaire 10 € / mois'
               when 6 then 'palier S1, unité d’œuvre surcotée de 15%'
               when 7 then 'Hypercare Gratuit' end""",
+        "if(l_returnflag = 'N', 'Option étendue', null)",
+        f"if(l_returnflag = 'N', concat({money}, ' € HT / mois'), null)",
     ]
     return rows.select(
         F.col("l_orderkey").cast("string").alias("affair_id"),

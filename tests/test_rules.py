@@ -316,3 +316,15 @@ def test_columns_are_checked(spark):
     responses.validate_columns(df, ["x", "b"])
     with pytest.raises(ValueError, match="repeated"):
         responses.validate_columns(df.select("b", "x", "b"), ["x", "b"])
+
+
+def test_label_above_its_price(spark):
+    text_ = "Abonnement WMS\n1 000 € HT / mois\n\nOption\n\n| 5 € HT | 6 € TTC |\nTotal\n1 011 € HT\nA 2 € HT\n3 € HT"
+    docs = spark.createDataFrame([("a", text_)], "id string, content string")
+    got = sorted((r.line_no, r.amount_no, r.label, r.amount, r.is_recap) for r in lines.priced_lines(docs).collect())
+    assert got == [
+        (1, 0, "Abonnement WMS", 1000.0, False), (5, 0, "Option", 5.0, False), (5, 1, "Option", 6.0, False),
+        (7, 0, "Total", 1011.0, True), (8, 0, "A", 2.0, False), (9, 0, None, 3.0, False),
+    ]
+    names = sorted((r.line_no, r.product_name) for r in lines.rule_extract(docs).collect() if r.amount_no == 0)
+    assert names == [(1, "Abonnement WMS"), (5, "Option"), (8, "A"), (9, None)]
