@@ -8,6 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pactframe.functions.contract import overconsumption
+from pactframe.operators.amend import resolve_terms
+from pactframe.operators.audit import confidence
 from pactframe.operators.consolidate import consolidate
 from pactframe.operators.documents import (
     avenant_texts,
@@ -17,7 +20,7 @@ from pactframe.operators.documents import (
     split_report,
 )
 from pactframe.operators.lines import rule_extract
-from pactframe.operators.pricing import clean_rents
+from pactframe.operators.pricing import apply_null_rules, clean_rents, contract_end, derive_rents
 from pactframe.operators.requests import (
     apply_extractor,
     attach_responses,
@@ -28,7 +31,10 @@ from pactframe.operators.requests import (
 from pactframe.operators.responses import parse_responses, rectify, response_status, unknown_keys
 from pactframe.operators.results import pack_results
 from pactframe.operators.skew import number_rows
+from pactframe.operators.terms import contract_terms
+from pactframe.schemas import PRODUCT_COLUMNS
 from pactframe.session import cut
+from pactframe.sinks import export_products, write_documents_text
 from pactframe.sources.files import (
     apply_analyzer,
     build_documents,
@@ -37,6 +43,7 @@ from pactframe.sources.files import (
     scan_pdfs,
     select_affairs,
 )
+from pactframe.sources.store import append_batch, latest_per_key
 
 
 @dataclass
@@ -106,12 +113,77 @@ def extract_by_rules(classified: DataFrame) -> DataFrame:
     )
 
 
+# Terms a contract states once for all its lines; the CP's word comes before the CG's.
+TERMS = [
+    "numero_de_contrat", "devise_de_facturation", "reconduction_tacite", "tax_basis", "bon_de_commande_code",
+    "debut_facturation", "payment_methods", "payment_terms", "reval_method", "reval_rate_per", "reval_formula",
+]
+
+
+def affair_terms(classified: DataFrame) -> DataFrame:
+    """One row per affair: `TERMS` from its CP, else its CG, and the signature dates of both.
+
+    Of several documents of a class, the first in id order that states a term counts.
+    """
+    def stated(name: str) -> DataFrame:
+        found = contract_terms(classified.filter(f"is_{name}").select("affair_id", "id", "content"))
+        dated = found.withColumn("signed", F.date_format("signature_date", "yyyy-MM-dd"))
+        return dated.groupBy("affair_id").agg(
+            *[F.expr(f"min_by({c}, id) FILTER (WHERE {c} IS NOT NULL)").alias(c) for c in [*TERMS, "signed"]]
+        )
+
+    cg, cp = cut(stated("cg")), cut(stated("cp"))
+    terms = resolve_terms(cg, cp, TERMS).drop(*[f"{c}_source" for c in TERMS])
+    dates = cg.select("affair_id", F.col("signed").alias("signature_date_cg")).join(
+        cp.select("affair_id", F.col("signed").alias("signature_date_cp")), "affair_id", "full"
+    )
+    return terms.join(dates, "affair_id", "full")
+
+
+def enrich(rows: DataFrame, classified: DataFrame) -> DataFrame:
+    """Rule rows with what follows from their contracts and from each other, in the same shape.
+
+    Contract terms and signature dates where the line has none, rents per invoice and year,
+    excess prices of volume lines, contract ends, rules on what a line must not carry, and a
+    confidence for printed prices.
+    """
+    carried = [c for c in rows.columns if c not in PRODUCT_COLUMNS]
+    given = [*TERMS, "signature_date_cg", "signature_date_cp"]
+    terms = affair_terms(classified).withColumnsRenamed({c: f"_{c}" for c in given})
+    amended = contract_terms(avenant_texts(classified)).select(
+        F.concat("affair_id", F.lit("|AV|"), "id").alias("request_id"),
+        F.date_format("signature_date", "yyyy-MM-dd").alias("_signature_date_av"),
+    )
+    met = rows.join(terms, "affair_id", "left").join(amended, "request_id", "left")
+    is_av = F.col("doc_class") == "AV"
+    filled = {c: F.coalesce(c, f"_{c}") for c in TERMS}
+    filled |= {c: F.when(~is_av, F.coalesce(c, f"_{c}")) for c in ("signature_date_cg", "signature_date_cp")}
+    filled["signature_date_av"] = F.coalesce("signature_date_av", "_signature_date_av")
+    known = met.withColumns(filled).withColumn("_excess", overconsumption(F.col("evidence_price")))
+    known = known.withColumns(
+        {
+            "usage_overconsumption_price": F.coalesce("usage_overconsumption_price", "_excess.price"),
+            "usage_overconsumption_periodicity": F.coalesce("usage_overconsumption_periodicity", "_excess.periodicity"),
+            "overconsumption_term_mode": F.coalesce("overconsumption_term_mode", "_excess.term_mode"),
+        }
+    )
+    ended = contract_end(apply_null_rules(derive_rents(known)))
+    end = F.coalesce("date_end_of_contract", F.date_format("date_end_calc", "yyyy-MM-dd"))
+    scored = confidence(
+        ended.withColumns({"date_end_of_contract": end, "has_evidence": F.col("evidence_price").isNotNull()}),
+        "price_unitaire", "evidence_price", "confidence_price",
+    )
+    return rectify(scored.select(*carried, *PRODUCT_COLUMNS), carried=carried)
+
+
 @dataclass
 class Outcome:
     products: DataFrame
     results: DataFrame
     report: DataFrame
     extracted: Extracted | None
+    cpcg: DataFrame
+    avenants: DataFrame | None
 
 
 def run(
@@ -135,7 +207,7 @@ def run(
     sound = classified.join(report.filter("ok").select("affair_id"), "affair_id", "left_semi")
     extracted = None
     if connect is None:
-        rows = extract_by_rules(sound)
+        rows = cut(enrich(extract_by_rules(sound), sound))
     else:
         requests = cgcp_requests(sound, question, prompt)
         if include_avenants:
@@ -145,4 +217,29 @@ def run(
     cpcg = rows.filter("doc_class = 'CGCP'").drop("doc_class")
     av = rows.filter("doc_class = 'AV'").drop("doc_class") if include_avenants else None
     products = clean_rents(consolidate(cpcg, av)).drop("rent_moved")
-    return Outcome(products, pack_results(products), report, extracted)
+    return Outcome(products, pack_results(products), report, extracted, cpcg, av)
+
+
+def save(outcome: Outcome, root: str, results: str, batch: int, format: str = "parquet") -> dict[str, str]:
+    """Upsert the packed results as a batch of the store `results` and export the three tables below `root`.
+
+    Writing the same batch again replaces it. Returns the folders of the exports.
+    """
+    append_batch(outcome.results, results, batch)
+    tables = {"cgcp": outcome.cpcg, "avenants": outcome.avenants, "products": outcome.products}
+    return {tag: export_products(df, root, tag, format) for tag, df in tables.items() if df is not None}
+
+
+def saved_results(spark: SparkSession, results: str) -> DataFrame:
+    """Records of the newest batch of each affair: an affair's records are replaced together."""
+    stored = spark.read.parquet(results)
+    newest = stored.groupBy("id").agg(F.max("batch").alias("batch"))
+    return stored.join(newest, ["id", "batch"]).drop("batch")
+
+
+def save_ingested(got: Ingested, store: str, batch: int, texts: str | None = None) -> None:
+    """Upsert the documents as a batch of `store`, the quarantine beside it, and a text file per document."""
+    append_batch(latest_per_key(got.documents, ["id"], ["file_path"]), store, batch)
+    append_batch(got.quarantine, f"{store.rstrip('/')}-quarantine", batch)
+    if texts:
+        write_documents_text(got.documents, texts)

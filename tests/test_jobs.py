@@ -139,6 +139,37 @@ def test_run_by_rules_is_native(spark, contracts):
     assert "Python" not in got.products._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_whole_job_by_rules(spark, tmp_path):
+    """Files to stored documents, enriched rows, stored results and three exports."""
+    root = tmp_path / "blobs" / "M" / "acme" / "deal"
+    root.mkdir(parents=True)
+    texts = {
+        "CADRE-1.pdf": "Devise de facturation : USD\nDate de signature : 01/02/2019\nLe contrat est renouvelé par reconduction tacite.",
+        "CP-2.pdf": "Devise de facturation : EUR\nDate de signature : 15/03/2019\nAbonnement WMS\n1 200 € HT / trimestre\nLicence 500 € HT",
+        "AVENANT-3.pdf": "Date de signature : 20/04/2020\nAbonnement WMS 1 500 € HT / trimestre",
+    }
+    for name, body in texts.items():
+        (root / name).write_text(body, encoding="utf-8")
+    got = flow.ingest(spark, str(tmp_path / "blobs"), None, analyze)
+    where, results_at = str(tmp_path / "docs"), str(tmp_path / "results")
+    flow.save_ingested(got, where, 1, str(tmp_path / "texts"))
+    docs = store.current(spark, where, ["id"])
+    assert docs.count() == 3 and len(list((tmp_path / "texts").glob("*.md"))) == 3
+    out = flow.run(docs, spark.createDataFrame([("deal",)], "affair string"))
+    rows = {(r.is_av, r.product_name): r for r in out.products.collect()}
+    wms, amended = rows[False, "Abonnement WMS"], rows[True, "Abonnement WMS"]
+    assert (wms.loyer, wms.loyer_periodicity, wms.loyer_annuele, wms.reconduction_tacite) == (1200.0, "Trimestrielle", 4800.0, True)
+    assert (wms.signature_date_cg, wms.signature_date_cp, wms.date_end_of_contract) == ("2019-02-01", "2019-03-15", "2099-12-31")
+    assert (amended.signature_date_av, amended.signature_date_cp, amended.loyer_annuele) == ("2020-04-20", None, 6000.0)
+    licence = rows[False, "Licence"]
+    assert (licence.one_shot_service, licence.price_unitaire, licence.loyer, licence.date_end_of_contract) == (True, 500.0, None, None)
+    for batch in (1, 1, 2):
+        folders = flow.save(out, str(tmp_path / "exports"), results_at, batch)
+    assert set(folders) == {"cgcp", "avenants", "products"}
+    assert spark.read.parquet(folders["products"]).count() == 3 and spark.read.parquet(folders["avenants"]).count() == 1
+    assert [(r.id, len(r.rows)) for r in flow.saved_results(spark, results_at).collect()] == [("deal", 3)]
+
+
 def test_failing_extractor_is_isolated(spark, sf):
     def broken():
         def reply(messages):
