@@ -77,7 +77,7 @@ VIEWS = {
         SELECT CAST(l_orderkey AS VARCHAR) AS affair_id, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id,
           p_name, l_linenumber AS ln, l_returnflag AS rf, l_extendedprice AS price, l_quantity AS units,
           CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
-          concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_id
+          row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_returnflag) AS row_id
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "money_v": """
         SELECT *, CASE WHEN cents // 100 >= 1000 THEN (cents // 100000) || ' ' || lpad(CAST(cents // 100 % 1000 AS VARCHAR), 3, '0')
