@@ -5,15 +5,18 @@ function of its own; it keeps the count of leading zeros of the smallest hash (6
 one. Bands of `ROWS` registers are hashed; texts that share a band are candidates.
 
 1. Documents with equal sets are one class; only classes are compared, so copies cost one row each.
-2. In each band bucket one member leads and is compared with all others: estimate first (corrected for registers that are
-   equal by chance), then full sets. No pairs are formed among the rest.
-3. A bucket is settled when all members that have not led lie in one component: no link can be missing, as links inside
-   a component change nothing. In open buckets more members lead, eight times as many in each round, and are compared
-   with members of other components only, unless distances to the first leader rule a link out (the Jaccard distance is a
-   metric). In the end every pair of a bucket is compared, known to be connected, or ruled out.
-
-A pair at the limit of 0.75 shares none of the 32 bands with probability 5e-6; estimates below `LEAST` (7 standard
-deviations under the limit) are not checked on full sets.
+2. In each band bucket one member leads and is compared with all others: estimate first (corrected for registers that
+   are equal by chance), then full sets. No pairs are formed among the rest.
+3. Members of buckets of more than `CROWD` meet again in buckets of two such bands: texts that have one passage in common
+   seldom share eight registers, while similar ones share them many times over.
+4. A bucket is settled when all members that have not led lie in one component: links inside a component change nothing.
+   In open buckets, sketches of members of different components are compared inside the task, in parts of at most `PART`
+   members: first each member of a smaller component gives its `BEST` likeliest partners, then, after these have joined
+   what they can, all. Only pairs with a sufficient estimate leave the task, each from the first bucket that both share,
+   to be checked on full sets.
+
+A pair at the limit of 0.75 shares no band with probability 5e-6, fewer than two with 8e-5; an estimate 4 standard
+deviations under the limit (`LEAST`) is not checked on full sets.
 
 Defined results: a text without words has an empty set and is linked with nothing; a shorter text than five words is one
 run; a null id joins its class only, and a class of null ids has a null component; repeated rows are one class; an empty
@@ -36,10 +39,12 @@ SHINGLE, REGISTERS, ROWS = 5, 128, 4
 MANTISSA = 10
 #: A link needs 100 * intersection >= PERCENT * union.
 PERCENT = 75
-LEAST = 0.48
+LEAST = 0.6
 FACTORS = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) | np.uint64(1)
-#: In round r of open buckets about GROWTH ** r members of each lead.
-GROWTH = 8
+#: Buckets of more members are replaced by those of two bands.
+CROWD = 512
+#: Members of an open bucket compared in one task; likeliest partners in other components tried first.
+PART, BEST = 4096, 3
 
 _words = WordHashes()
 
@@ -109,7 +114,7 @@ def node_of(s: np.ndarray) -> int:
 
 
 def bands(classes: DataFrame) -> DataFrame:
-    """band (hash of band number and registers), node."""
+    """band (hash of band number and registers), number, node."""
     n_bands = REGISTERS // ROWS
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,9 +126,10 @@ def bands(classes: DataFrame) -> DataFrame:
             for k in range(ROWS):
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + registers[:, :, k])
             node = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), n_bands)
-            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(node)], ["band", "node"])
+            number = np.tile(np.arange(n_bands, dtype=np.int32), batch.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(number), pa.array(node)], ["band", "number", "node"])
 
-    return classes.select("node", "sketch").mapInArrow(cut, "band long, node long")
+    return classes.select("node", "sketch").mapInArrow(cut, "band long, number int, node long")
 
 
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -161,7 +167,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, distance (1 - Jaccard), linked of pairs, on full sets."""
+    """a, b, likeness (Jaccard), linked of pairs, on full sets."""
     met = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b").select("a", "b", "set_a", "set_b")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,54 +180,94 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 n.append(len(one))
                 m.append(len(other))
             i, n, m = (np.array(v, np.int64) for v in (inter, n, m))
-            columns = [batch.column(0), batch.column(1), pa.array(1 - i / np.maximum(n + m - i, 1)), pa.array(linked(i, n, m))]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "distance", "linked"])
+            columns = [batch.column(0), batch.column(1), pa.array(i / np.maximum(n + m - i, 1)), pa.array(linked(i, n, m))]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "likeness", "linked"])
 
-    return met.mapInArrow(count, "a long, b long, distance double, linked boolean")
+    return met.mapInArrow(count, "a long, b long, likeness double, linked boolean")
 
 
 def ordered_pairs(df: DataFrame, one: str, other: str) -> DataFrame:
     return df.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).filter("a < b").distinct()
 
 
+def buckets(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Band buckets of two or more (band, number, node, leader, n), the leader being the smallest member; and the members
+    (band, number, node) that are compared where a bucket stays open, number being -1 for buckets of two bands."""
+    member = stage(bands(classes), "bands")
+    sizes = member.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).filter("n > 1")
+    shared = stage(member.join(sizes, "band").select("band", "number", "node", "leader", "n"), "shared-bands")
+    crowded = shared.filter(F.col("n") > CROWD).groupBy("node").agg(F.sort_array(F.collect_set("band")).alias("own"))
+    # a class has at most one band of each of the 32 numbers
+    two = F.expr("flatten(transform(own, (x, i) -> transform(slice(own, i + 2, size(own)), y -> xxhash64(x, y))))")
+    # a class makes up to 496 rows, so classes are dealt out one by one
+    dealt = crowded.repartition(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    crossed = stage(dealt.select(F.explode(two).alias("band"), "node"), "crossed-bands")
+    again = crossed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    met = crossed.join(again, "band").select("band", F.lit(-1).alias("number"), "node")
+    few = shared.filter((F.col("n") > 2) & (F.col("n") <= CROWD) & (F.col("node") != F.col("leader")))
+    return shared, stage(met.union(few.select("band", "number", "node")), "buckets")
+
+
+def partners(members: DataFrame, classes: DataFrame, best: int | None) -> DataFrame:
+    """Pairs (a, b) of one bucket, of different components, with sizes and estimates that allow a link."""
+    single = F.when(F.col("number") >= 0, F.expr("shiftleft(1L, number)")).otherwise(F.lit(0))
+    places = members.groupBy("node").agg(F.bit_or(single).alias("places"))  # its open buckets of one band, as bits
+    sketched = members.join(classes.select("node", F.col("n").alias("size"), "sketch"), "node").join(places, "node")
+    parts = F.ceil(F.col("n") / PART).cast("int")
+    dealt = sketched.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    meets = F.expr("transform(sequence(0, parts - 1), k -> struct(least(part, k) as i, greatest(part, k) as j))")
+    spread = dealt.select("band", "number", "node", "label", "size", "sketch", "places", "part", F.explode(meets).alias("task"))
+
+    def meet(group: pa.Table) -> pa.Table:
+        node, label, size, part, places = (group.column(c).to_numpy() for c in ("node", "label", "size", "part", "places"))
+        number = group.column("number")[0].as_py()
+        here = 0 if number < 0 else 1 << number
+        _, kind, crowd = np.unique(label, return_inverse=True, return_counts=True)
+        weight = crowd[kind]
+        registers = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        mixed = part.min() != part.max()  # two parts meet here: pairs inside one part meet elsewhere
+        found: list[tuple[int, int]] = []
+        for k in range(len(node)):
+            # the member of the smaller component gives the pair
+            fit = (weight > weight[k]) | ((weight == weight[k]) & (label > label[k]))
+            fit &= 100 * np.minimum(size, size[k]) >= PERCENT * np.maximum(size, size[k])
+            at = np.flatnonzero(fit & (part != part[k]) if mixed else fit)
+            if not len(at):
+                continue
+            like = estimate(registers[at], registers[k][None], size[at], size[k : k + 1])
+            at, like = at[like >= LEAST], like[like >= LEAST]
+            if best:
+                at = at[np.argsort(-like, kind="stable")[:best]]
+            if len(at):
+                alike = (registers[at] == registers[k]).reshape(len(at), -1, ROWS).all(2)
+                bits = (alike * (1 << np.arange(alike.shape[1], dtype=np.int64))).sum(1) & places[at] & places[k]
+                at = at[(bits & -bits) == here]  # this is the first bucket that both share
+            found += [(min(int(node[k]), int(x)), max(int(node[k]), int(x))) for x in node[at]]
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return spread.groupBy("band", "task").applyInArrow(meet, "a long, b long").distinct()
+
+
 def class_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Links (a, b) between classes whose components are those of all links."""
-    member = stage(bands(classes), "bands")
-    leaders = member.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).filter("n > 1")
-    shared = stage(member.join(leaders, "band").select("band", "node", "leader", "n"), "shared-bands")
-    pairs = stage(estimated(ordered_pairs(shared, "node", "leader"), classes), "pairs")
-    # sets of every class that shares a bucket of three or more, as it may lead later, and of both sides of each pair
+    shared, rest = buckets(classes)
+    tried = stage(ordered_pairs(shared, "node", "leader"), "tried-pairs")
+    pairs = stage(estimated(tried, classes), "pairs")
+    # sets of every class that shares a bucket of three or more, and of both sides of each pair
     wanted = shared.filter("n > 2").select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
     sets = stage(full_sets(docs, wanted.join(classes.select("node", "rep"), "node")), "sets")
-    checked = stage(compared(pairs, sets), "checked")
-    links = checked.filter("linked").select("a", "b")
-    tried = ordered_pairs(shared, "node", "leader")
-    open_members = shared.filter("n > 2 AND node <> leader").select("band", "node", "leader")
-    leading = GROWTH
-    while True:
+    links = stage(compared(pairs, sets).filter("linked").select("a", "b"), "links")
+    for best in (BEST, None):
         labels = connected_components(links)
-        now = open_members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        split = now.groupBy("band").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"), F.min("node").alias("first")
-        ).filter("low < high")
-        open_members = stage(now.join(split.select("band", "n", "first"), "band"), "open-members")
-        if open_members.limit(1).count() == 0:
-            return links
-        distance = checked.select("a", "b", "distance")
-        there = distance.union(distance.select("b", "a", "distance")).toDF("node", "leader", "away")
-        known = open_members.join(there, ["node", "leader"], "left")
-        chosen = (F.col("node") == F.col("first")) | (F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / leading)) == 0)
-        heads = known.filter(chosen).select("band", F.col("node").alias("head"), F.col("label").alias("head_label"), F.col("away").alias("head_away"))
-        near = F.coalesce(F.abs(F.col("away") - F.col("head_away")) <= (100 - PERCENT) / 100 + 1e-9, F.lit(True))
-        met = known.join(heads, "band").filter((F.col("label") != F.col("head_label")) & near)
-        fresh = ordered_pairs(met, "node", "head").join(tried, ["a", "b"], "left_anti")
-        fresh = stage(fresh, "more-pairs")
+        now = rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        split = now.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
+        still = stage(now.join(split.filter("low < high").select("band", "n"), "band"), "open-buckets")
+        fresh = stage(partners(still, classes, best).join(tried, ["a", "b"], "left_anti"), "more-pairs")
         tried = tried.union(fresh)
-        more = stage(compared(stage(estimated(fresh, classes), "pairs"), sets), "checked")
-        links = stage(links.union(more.filter("linked").select("a", "b")), "all-links")
-        checked = checked.union(more)
-        open_members = open_members.filter(~chosen).select("band", "node", "leader")
-        leading *= GROWTH
+        links = stage(links.union(compared(fresh, sets).filter("linked").select("a", "b")), "links")
+        rest = still.select("band", "number", "node")
+    return links
 
 
 def near_groups(docs: DataFrame) -> DataFrame:

@@ -48,8 +48,10 @@ def corpus(seed, n=260):
     return docs + [(2000, None), (2001, ""), (2002, " \n"), (2003, "one two"), (2004, "ONE two"), (2005, "one")]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_against_brute_force(frame, seed):
+@pytest.mark.parametrize(("seed", "crowd", "part"), [(1, 48, 4096), (2, 4, 5)])
+def test_against_brute_force(frame, seed, crowd, part, monkeypatch):
+    monkeypatch.setattr(nd, "CROWD", crowd)
+    monkeypatch.setattr(nd, "PART", part)
     docs = corpus(seed)
     got = sorted(tuple(r) for r in nd.near_groups(frame(docs, extra=True)).collect())
     assert got == brute(docs)
