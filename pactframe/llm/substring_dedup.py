@@ -23,12 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pactframe.llm.common import WordHashes, mix, rows, stage, words_of
 
-WINDOW, RUN = 20, 6
+WINDOW, RUN = 20, 10
 #: Reference words of one shard, and streamed words of one of its tasks, about.
 SHARD_WORDS, TASK_WORDS = 50_000, 200_000
 #: Stands for a null id: below all others.
@@ -75,33 +75,58 @@ def sliding_least(v: np.ndarray, n: int) -> np.ndarray:
 
 def anchors_of(w: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Anchor of every window, and the hashes of all runs they are taken from."""
-    runs = run_hashes(w, RUN)
-    return sliding_least(runs, window - RUN + 1), runs
+    run = min(RUN, window)
+    runs = run_hashes(w, run)
+    return sliding_least(runs, window - run + 1), runs
 
 
 def anchor_rows(docs: DataFrame, window: int) -> DataFrame:
-    """anchor, doc_id, n: different anchors of each text, and whether the run stands there once (1) or more often (2)."""
+    """key, anchor, doc_id, n: anchors of each text, to be counted by key; null in `anchor` means that it is the key.
+
+    The texts of a batch are handled as one array. An anchor that the batch has once goes under its own key, with n = 1
+    (2 if the run stands again nearby). One that it has more often is known to be shared: its rows go under keys of
+    their own, and one row without a document tells the others. So a key gets at most two rows from a batch, however
+    many texts share a passage."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run = min(RUN, window)
         for batch in rows(batches):
-            found, ids, n = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = words_of(text)
-                if len(words) < window:
-                    continue
-                anchors, runs = anchors_of(_words.array(words), window)
-                anchors = np.unique(anchors)
-                runs.sort()
-                left = np.searchsorted(runs, anchors)
-                twice = np.append(runs, 0)[left + 1] == anchors
-                found.append(anchors)
-                n.append(1 + twice.astype(np.int8))
-                ids.append(np.full(len(anchors), doc_id, np.int64))
-            if found:
-                columns = [np.concatenate(found).view(np.int64), np.concatenate(ids), np.concatenate(n)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "doc_id", "n"])
-
-    return docs.select("doc_id", "text").mapInArrow(read, "anchor long, doc_id long, n byte")
+            split = [words_of(t) for t in batch.column(1).to_pylist()]
+            lengths = np.fromiter(map(len, split), np.int64, len(split))
+            if lengths.sum() < window:
+                continue
+            words = _words.array([w for text in split for w in text])
+            runs = run_hashes(words, run)
+            anchors = sliding_least(runs, window - run + 1)
+            text = np.repeat(np.arange(len(split)), lengths)
+            whole = text[: len(anchors)] == text[window - 1 :]  # windows that lie in one text
+            anchors, text = anchors[whole], text[: len(whole)][whole]
+            if not len(anchors):
+                continue
+            again = np.zeros(len(runs), bool)
+            for gap in range(1, window - run + 2):
+                again[gap:] |= runs[gap:] == runs[:-gap]
+            fresh = np.concatenate([[True], (anchors[1:] != anchors[:-1]) | (text[1:] != text[:-1])])
+            anchors, text = anchors[fresh], text[fresh]
+            ids = batch.column(0).to_numpy(zero_copy_only=False)[text]
+            order = np.argsort(anchors, kind="stable")
+            anchors, ids = anchors[order], ids[order]
+            same = anchors[1:] == anchors[:-1]
+            known = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            tell = anchors[known & np.concatenate([[True], ~same])]
+            n = 1 + known.astype(np.int8)
+            if again.any():
+                n |= np.int8(2) * np.isin(anchors, runs[again]).astype(np.int8)
+            key = np.where(known, mix(anchors ^ mix(ids.view(np.uint64))), anchors)
+            columns = [
+                pa.array(np.concatenate([key, tell]).view(np.int64)),
+                pa.array(np.concatenate([anchors, tell]).view(np.int64), mask=np.concatenate([~known, np.ones(len(tell), bool)])),
+                pa.array(np.concatenate([ids, np.zeros(len(tell), np.int64)]), mask=np.arange(len(key) + len(tell)) >= len(key)),
+                pa.array(np.concatenate([n, np.full(len(tell), 2, np.int8)])),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "anchor", "doc_id", "n"])
+
+    return docs.select("doc_id", "text").mapInArrow(read, "key long, anchor long, doc_id long, n byte")
 
 
 def window_rows(docs: DataFrame, window: int) -> DataFrame:
@@ -269,11 +294,13 @@ def match_pieces(pieces: DataFrame, window: int, shard_tasks: DataFrame) -> Data
     return spread.groupBy("shard", "task").applyInArrow(match, schema)
 
 
-def removal_spans(docs: DataFrame, window: int) -> DataFrame:
-    """doc_id, text_key, spans of each text with removed words. `docs`: doc_id (not null), text, text_key."""
-    anchors = anchor_rows(docs, window)
-    shared = anchors.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor")
-    of_doc = anchors.select("anchor", "doc_id").join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
+def removal_spans(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, text_key, spans of each text with removed words; and the documents that were candidates, with their texts.
+
+    `docs`: doc_id (not null), text, text_key."""
+    counted = anchor_rows(docs, window).withColumn("total", F.sum("n").over(Window.partitionBy("key")))
+    shared = counted.filter("total > 1 AND doc_id IS NOT NULL").select("doc_id", F.coalesce("anchor", "key").alias("anchor"))
+    of_doc = shared.groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
     regions = stage(docs.join(of_doc, "doc_id"), "dedup-candidates")
     windows = window_rows(regions, window)
     repeated = windows.groupBy("wh").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "pos")).alias("first")).filter("n > 1")
@@ -286,7 +313,8 @@ def removal_spans(docs: DataFrame, window: int) -> DataFrame:
     pieces = stage(piece_rows(regions.join(hits, "doc_id"), window), "dedup-pieces")
     tasks = pieces.groupBy("shard").agg(F.ceil(F.sum(F.when(F.col("reference"), 0).otherwise(F.col("n"))) / TASK_WORDS).alias("tasks"))
     spans = match_pieces(pieces, window, tasks.filter("tasks > 0").withColumn("tasks", F.col("tasks").cast("int")))
-    return spans.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+    spans = spans.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+    return stage(spans, "dedup-spans"), regions.drop("anchors")
 
 
 def prepared(docs: DataFrame) -> DataFrame:
@@ -304,31 +332,48 @@ def kept_words(words: list[bytes], spans) -> list[bytes]:
 
 
 def dedup_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space)."""
+    """One row per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space).
+
+    Whole texts are digested where they are read; only candidates meet their spans, so most texts are not shuffled."""
     own = prepared(docs.select("doc_id", "text"))
-    spans = stage(removal_spans(own, window), "dedup-spans")
+    spans, candidates = removal_spans(own, window)
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows(batches):
-            n, removed, digest = [], [], []
-            for text, cut in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            n, whole = [], []
+            for text in batch.column(2).to_pylist():
                 words = words_of(text)
-                kept = kept_words(words, cut)
                 n.append(len(words))
-                removed.append(len(words) - len(kept))
-                digest.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256"])
+                whole.append(hashlib.sha256(b" ".join(words)).hexdigest())
+            columns = [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(whole, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "n_words", "whole_sha256"])
 
-    met = own.join(spans, ["doc_id", "text_key"], "left").select("doc_id", "text", "spans")
-    out = met.mapInArrow(finish, "doc_id long, n_words long, n_removed long, kept_sha256 string")
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows(batches):
+            removed, kept = [], []
+            for text, cut in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                words = words_of(text)
+                left = kept_words(words, cut)
+                removed.append(len(words) - len(left))
+                kept.append(hashlib.sha256(b" ".join(left)).hexdigest())
+            columns = [batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "removed", "short_sha256"])
+
+    every = own.select("doc_id", "text_key", "text").mapInArrow(digest, "doc_id long, text_key long, n_words long, whole_sha256 string")
+    met = candidates.join(spans, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "spans")
+    cut = met.mapInArrow(shorten, "doc_id long, text_key long, removed long, short_sha256 string").dropDuplicates(["doc_id", "text_key"])
+    return every.join(cut, ["doc_id", "text_key"], "left").select(
+        F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"),
+        "n_words",
+        F.coalesce("removed", F.lit(0)).alias("n_removed"),
+        F.coalesce("short_sha256", "whole_sha256").alias("kept_sha256"),
+    )
 
 
 def dedup_texts(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Documents with all their columns; texts that lose words become the kept words joined by one space, others stay as
     they are, and documents that lose every word go."""
-    spans = stage(removal_spans(prepared(docs.select("doc_id", "text")), window), "dedup-spans")
+    spans, _ = removal_spans(prepared(docs.select("doc_id", "text")), window)
     renamed = spans.toDF("span_doc", "span_key", "span_list")
     key = (F.coalesce(F.col("doc.doc_id").cast("long"), F.lit(NO_ID)) == F.col("span_doc")) & (F.xxhash64("doc.text") == F.col("span_key"))
     met = docs.select(F.struct("*").alias("doc")).join(renamed, key, "left")
