@@ -40,7 +40,7 @@ CLASSES, DEPTH, PENALTY = 64, 3, 2.0
 SMOOTHING = 0.1
 END = b""
 #: A block is closed at so many different words or tokens.
-BLOCK_WORDS, BLOCK_TOKENS = 100_000, 1_000_000
+BLOCK_WORDS, BLOCK_TOKENS = 150_000, 1_500_000
 
 BLOCK = "block long, doc_ids binary, held binary, lengths binary, ids binary, hashes binary, classes binary, counts binary"
 WORDS = "word long, block long, place int, n int, class int"
