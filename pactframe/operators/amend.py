@@ -101,14 +101,6 @@ def amendment_delta(sequenced: DataFrame, floor: float = HEAVY_ROWS) -> DataFram
     )
 
 
-def delta_evidence(old: Column, new: Column) -> Column:
-    """Old against new cost as text, for `evidence_avenant`."""
-    def shown(cost: Column) -> Column:
-        return F.format_number(cost, "0.##")
-
-    return F.concat(F.lit("ancien "), shown(old), F.lit(" → nouveau "), shown(new))
-
-
 def with_product_key(products: DataFrame, min_share: float = 0.5) -> DataFrame:
     """Adds `product_key`: the code; without one, the key of the CP row with the same or the likeliest description, else
     the row's own description. A CP description stands for the smallest code among its rows, else for itself."""
