@@ -4,14 +4,17 @@ Texts are coded once into blocks: the distinct words of a block, and its texts a
 all training documents by their 64-bit hashes, and every block gets the counts of its own words back; no table of words is
 ever broadcast, collected or held whole.
 
-The tree stands over symbols: each word with at least 1 / `SYMBOL_SHARE` of the training tokens is a symbol, any other
-word falls into one of `CLASSES` classes by its last two bytes. A context of d symbols is a candidate if it makes up at
-least 1 / `CONTEXT_SHARE` of the tokens, and is retained if the next symbols after it diverge from those after its
-suffix: 2 * count * divergence must exceed the number of different next symbols times `PENALTY`. Its distribution is
-smoothed towards that of its longest retained suffix (Witten and Bell). A word's probability is that of its symbol after
-the longest retained suffix of its history, times its share in the symbol. All limits are shares of the training tokens,
-so by counting there are at most `SYMBOL_SHARE` symbols, `CONTEXT_SHARE` contexts and `ENTRY_SHARE` entries a depth,
-whatever the size of the corpus: this much is broadcast, and nothing else.
+Every word that stands in a training text is a symbol of its own; words that do not share `CLASSES` equal parts of what is
+left for them. A context of up to `DEPTH` words is a candidate if it is found at least `LEAST` times, and is retained if
+the next words after it diverge from those after its suffix: 2 * count * divergence must exceed the number of different
+next words times `PENALTY`. Its distribution is smoothed towards that of its longest retained suffix (Witten and Bell);
+next words found less than `LEAST` times count as what is left. These limits are counts, not shares: the tree grows with
+the corpus, and no part of it is broadcast.
+
+Its contexts and next words are kept by 64-bit hashes, as words are. Depth by depth, each block asks for the counts of the
+runs of words in its own texts (a run with a shorter run inside that is found once is not asked for), and for the sums of
+its own contexts, which it has added up over the runs that it is the first to hold. Requests are packed by ranges of the
+hash, added up there over all blocks, and answered to each block. A frequent run or context is one entry a block.
 
 Defined results: a null or empty text is its end token alone; a null id counts as the empty text in the fold and is held
 out; without training documents the base is uniform over one unknown word; repeated rows count each; an empty table
@@ -20,39 +23,55 @@ gives an empty result; columns beyond doc_id and text are ignored.
 
 from __future__ import annotations
 
+import gc
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactframe.llm.common import rows, stage, words_of
+from pactframe.llm.common import mix, rows, stage, words_of
 
 FOLDS = 10
-SYMBOL_SHARE, CONTEXT_SHARE, ENTRY_SHARE = 2_000, 20_000, 500_000
+#: Least counts as shares of the training tokens: none, so the tree keeps what it finds however large the corpus is.
+SYMBOL_SHARE = CONTEXT_SHARE = ENTRY_SHARE = math.inf
+#: Least count of a context and of a next word.
+LEAST = 2
 CLASSES, DEPTH, PENALTY = 64, 3, 2.0
 SMOOTHING = 0.1
 END = b""
 #: A block is closed at so many different words or tokens.
 BLOCK_WORDS, BLOCK_TOKENS = 150_000, 1_500_000
 
-BLOCK = "block long, doc_ids binary, held binary, lengths binary, ids binary, hashes binary, classes binary, counts binary"
-WORDS = "word long, block long, place int, n int, class int"
-CODED = "block long, doc_ids binary, held binary, lengths binary, ids binary, known binary, symbols binary"
+#: Ranges of hashes for 1 to so many blocks, and as many again for further ones.
+SHARDS = 256
+#: Kinds of requests: words, runs of k + 1 words, contexts of k words.
+WORD_KIND, COUNT_KIND, CONTEXT_KIND = 0, 0, 100
+
+BLOCK = "block long, doc_ids binary, held binary, lengths binary, ids binary, hashes binary, counts binary"
+REQUEST = "kind int, shard int, block long, keys binary, data binary"
+REPLY = "block long, kind int, shard int, data binary, total long, different long"
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+MODEL = "kind int, key long, n long, back long"
 
 
 def pack(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+    """Equal bytes of all numbers side by side, so that the high ones take no space."""
+    flat = np.ascontiguousarray(values).reshape(-1)
+    return zstandard.ZstdCompressor(level=1).compress(flat.view(np.uint8).reshape(len(flat), -1).T.tobytes() if len(flat) else b"")
 
 
 def unpack(data: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
 class Places(dict):
@@ -63,10 +82,6 @@ class Places(dict):
         return place
 
 
-def class_of(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % CLASSES
-
-
 def is_held(doc_id: int | None) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % FOLDS == 0
 
@@ -86,8 +101,7 @@ def code_blocks(docs: DataFrame) -> DataFrame:
                 if not out:
                     np.add.at(n, numbers, 1)
             hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-            classes = np.fromiter(map(class_of, words), np.uint8, len(words))
-            packed = (",".join(doc_ids).encode(), np.array(held, np.uint8), np.array(lengths, np.int32), np.concatenate(ids), hashes, classes, n)
+            packed = (",".join(doc_ids).encode(), np.array(held, np.uint8), np.array(lengths, np.int32), np.concatenate(ids), hashes, n)
             data = [pa.array([zstandard.ZstdCompressor(level=1).compress(v) if isinstance(v, bytes) else pack(v)], pa.binary()) for v in packed]
             return pa.RecordBatch.from_arrays([pa.array([part << 24 | made], pa.int64()), *data], [x.split()[0] for x in BLOCK.split(", ")])
 
@@ -109,85 +123,246 @@ def code_blocks(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(read, BLOCK)
 
 
-def word_rows(blocks: DataFrame) -> DataFrame:
-    """Rows of `WORDS`: one for each different word of each block, with its count in training documents."""
+def shard_count(n_blocks: int) -> int:
+    return SHARDS * max(1, -(-n_blocks // SHARDS))
+
+
+def extended(runs: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Hashes of runs of words with one more word behind each."""
+    return mix(runs * np.uint64(0x9E3779B97F4A7C15) + words)
+
+
+class Block:
+    """One block with the replies it has got so far: what it can ask next, and at the end the probability of each token."""
+
+    def __init__(self, data: dict, replies: dict[int, np.ndarray], depth: int, total: int, distinct: int):
+        self.block, self.depth, self.replies = data["block"], depth, replies
+        self.lengths, self.ids = unpack(data["lengths"], np.int32).astype(np.int64), unpack(data["ids"], np.int32)
+        self.held = unpack(data["held"], np.uint8).astype(bool)
+        self.doc_ids = zstandard.ZstdDecompressor().decompress(data["doc_ids"]).decode().split(",")
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.place = np.arange(len(self.ids)) - np.repeat(self.starts, self.lengths)
+        self.train = ~np.repeat(self.held, self.lengths)
+        self.words, self.n_words = unpack(data["hashes"], np.uint64), unpack(data["counts"], np.int32)
+        self.order = np.argsort(self.words)
+        self.total, self.distinct = total, distinct
+        self.asked: list[tuple[int, np.ndarray, list[np.ndarray]]] = []
+        self.found: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+        self.p: np.ndarray | None = None
+        self.walk()
+
+    def counts_of(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """Count in training texts, and whether this block is the one that speaks for it, of each key asked for."""
+        return self.replies[kind] >> 1, (self.replies[kind] & 1).astype(bool)
+
+    def walk(self) -> None:
+        ids, place = self.ids, self.place
+        if WORD_KIND in self.replies:
+            n, _ = self.counts_of(WORD_KIND)
+            self.known = np.empty(len(n), np.int64)
+            self.known[self.order] = n
+            self.base = (self.known[ids] + SMOOTHING) / (self.total + SMOOTHING * (self.distinct + 1))
+            everything = self.total + SMOOTHING * (self.distinct + CLASSES)
+            self.p = self.base * (self.total + SMOOTHING * (self.distinct + 1)) / everything
+            use = n >= LEAST
+            keys, totals = self.words[self.order][use], n[use]
+            rank = np.full(len(n), -1, np.int64)
+            rank[self.order[use]] = np.arange(len(keys))
+            ends = rank[ids]  # the context, if any, that ends with each token
+        else:
+            self.asked.append((WORD_KIND, self.words[self.order], [self.n_words[self.order]]))
+            ends = None
+        gram = mix(self.words)[ids]
+        for k in range(1, self.depth + 1):
+            longer = np.zeros(len(ids), np.uint64)
+            longer[1:] = extended(gram[:-1], self.words[ids[1:]])
+            gram = longer
+            context = np.full(len(ids), -1, np.int64)
+            if ends is not None:
+                context[1:] = np.where(place[1:] >= k, ends[:-1], -1)
+            # a run of words whose beginning or end is found once is itself found once, so it is not asked for
+            at = np.flatnonzero(place >= 1 if k == 1 else (context >= 0) & (ends >= 0))
+            runs, one, which = np.unique(gram[at], return_index=True, return_inverse=True)
+            if COUNT_KIND + k not in self.replies:
+                self.asked.append((COUNT_KIND + k, runs, [np.bincount(which, self.train[at], len(runs)).astype(np.int32)]))
+                return
+            n, own = self.counts_of(COUNT_KIND + k)
+            if self.p is not None and CONTEXT_KIND + k not in self.replies:
+                mine = own & (context[at[one]] >= 0)
+                where, many = context[at[one]][mine], n[mine]
+                below = self.p[at[one]][mine]
+                kept = many >= LEAST
+                sums = [np.ones(len(many)), many * kept, np.where(kept, many * np.log(np.maximum(many, 1) / below), 0), below * kept]
+                sums = [np.bincount(where, v, len(keys)) for v in sums]
+                if k > 1:
+                    sums[0] += np.bincount(context[self.train & (context >= 0) & (ends < 0)], minlength=len(keys))
+                self.asked.append((CONTEXT_KIND + k, keys, [totals, *(v.astype(np.int64) for v in sums[:2]), *sums[2:]]))
+                self.p = None
+            elif self.p is not None:
+                kept, back = self.replies[CONTEXT_KIND + k].reshape(-1, 2).T
+                seen = np.zeros(len(ids), np.int64)
+                seen[at] = np.where(n >= LEAST, n, 0)[which]
+                use = np.flatnonzero((context >= 0) & (back[context] > 0)) if len(back) else np.empty(0, np.int64)
+                state = context[use]
+                self.p[use] = (seen[use] + back[state] * self.p[use]) / (kept[state] + back[state])
+                self.found.append((CONTEXT_KIND + k, keys, kept, back))
+            live = n >= LEAST
+            self.found.append((COUNT_KIND + k, runs[live], n[live], n[live] * 0))
+            keys, totals = runs[live], n[live]
+            rank = np.where(live, np.cumsum(live) - 1, -1)
+            ends = np.full(len(ids), -1, np.int64)
+            ends[at] = rank[which]
+
+
+def requests(block: Block, shards: int) -> Iterator[pa.RecordBatch]:
+    edges = np.array([(s << 64) // shards for s in range(1, shards)], np.uint64)
+    for kind, keys, columns in block.asked:
+        cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+        parts = [(s, a, b) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
+        data = [pack(columns[0][a:b] if len(columns) == 1 else np.concatenate([c[a:b].view(np.int64) for c in columns])) for _, a, b in parts]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([kind] * len(parts), pa.int32()), pa.array([s for s, _, _ in parts], pa.int32()), pa.array([block.block] * len(parts), pa.int64()),
+             pa.array([pack(np.diff(keys[a:b], prepend=np.uint64(0))) for _, a, b in parts], pa.binary()), pa.array(data, pa.binary())],
+            [x.split()[0] for x in REQUEST.split(", ")],
+        )
+
+
+def answer(group: pa.Table) -> pa.Table:
+    """Rows of `REPLY`: sums over all blocks of what they asked for in one shard of keys, back to each block in its order."""
+    kind, shard = group.column("kind")[0].as_py(), group.column("shard")[0].as_py()
+    asked = sorted(zip(*(group.column(c).to_pylist() for c in ("block", "keys", "data")), strict=True))
+    each = [np.cumsum(unpack(k, np.uint64), dtype=np.uint64) for _, k, _ in asked]
+    sizes = [len(x) for x in each]
+    different, which = np.unique(np.concatenate(each), return_inverse=True)
+    total = distinct = 0
+    if kind < CONTEXT_KIND:
+        n = np.concatenate([unpack(d, np.int32) for _, _, d in asked])
+        sums = np.bincount(which, n).astype(np.int64)
+        speaks, some = np.zeros(len(which), bool), np.flatnonzero(n)[::-1]
+        first = np.full(len(different), -1, np.int64)
+        first[which[some]] = some  # the last one written is the first in order
+        speaks[first[first >= 0]] = True
+        out = sums[which] << 1 | speaks
+        if kind == WORD_KIND:
+            total, distinct = int(sums.sum()), int((sums > 0).sum())
+    else:
+        raw = [unpack(d, np.int64).reshape(5, -1) for _, _, d in asked]
+        whole, *parts = (np.concatenate([r[k].view(np.int64 if k < 3 else np.float64) for r in raw]) for k in range(5))
+        totals = np.empty(len(different), np.int64)
+        totals[which] = whole
+        distinct_next, kept, gain, below = (np.bincount(which, v, len(different)) for v in parts)
+        lost, rest = totals - kept, 1 - below
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = gain - kept * np.log(totals) + np.where((lost > 0) & (rest > 0), lost * np.log(lost / totals / rest), 0)
+        retained = 2 * gain > PENALTY * distinct_next
+        pair = np.stack([np.where(retained, kept, 0), np.where(retained, distinct_next + lost, 0)], 1).astype(np.int64)
+        out = pair[which]
+    cuts = np.cumsum([0, *sizes])
+    m = len(asked)
+    return pa.table({
+        "block": pa.array([b for b, _, _ in asked], pa.int64()), "kind": pa.array([kind] * m, pa.int32()), "shard": pa.array([shard] * m, pa.int32()),
+        "data": pa.array([pack(out[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+        "total": pa.array([total, *[0] * (m - 1)], pa.int64()), "different": pa.array([distinct, *[0] * (m - 1)], pa.int64()),
+    })
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, hashes, classes, counts in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                h, n, kinds = unpack(hashes, np.int64), unpack(counts, np.int32), unpack(classes, np.uint8).astype(np.int32)
-                for at in range(0, len(h), 20_000):
-                    some = slice(at, at + 20_000)
-                    m = len(h[some])
-                    columns = [h[some], np.full(m, block), np.arange(at, at + m, dtype=np.int32), n[some], kinds[some]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [x.split()[0] for x in WORDS.split(", ")])
 
-    return blocks.select("block", "hashes", "classes", "counts").mapInArrow(read, WORDS)
+@dataclass
+class Learnt:
+    """Blocks, and the replies that they have got."""
+
+    blocks: DataFrame
+    replies: DataFrame | None
+    depth: int
+    total: int = 0
+    distinct: int = 0
+    rounds: list[list[int]] = field(default_factory=list)
+
+    @property
+    def answered(self) -> list[int]:
+        return [k for r in self.rounds for k in r]
+
+    def each(self, make, schema: str) -> DataFrame:
+        """Rows that `make` gives for each block with its replies."""
+        names, depth, total, distinct = [x.split()[0] for x in schema.split(", ")], self.depth, self.total, self.distinct
+        kinds = pa.schema([(n, {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_(), "double": pa.float64()}[k])
+                           for n, k in (x.split() for x in schema.split(", "))])
+
+        def meet(block: pa.Table, own: pa.Table) -> pa.Table:
+            parts: dict[int, list] = {}
+            for kind, _, data in sorted(zip(*(own.column(c).to_pylist() for c in ("kind", "shard", "data")), strict=True)):
+                parts.setdefault(kind, []).append(unpack(data, np.int64))
+            # an empty request has no reply: it counts as answered with nothing once any of its round is
+            found = {k: np.concatenate(v) for k, v in parts.items()}
+            for kind in answered:
+                found.setdefault(kind, np.empty(0, np.int64))
+            made = list(make(Block(block.to_pylist()[0], found, depth, total, distinct)))
+            return pa.Table.from_batches(made, kinds) if made else kinds.empty_table()
+
+        answered = self.answered
+        left = self.blocks.groupBy("block")
+        return left.cogroup(self.replies.select("block", "kind", "shard", "data").groupBy("block")).applyInArrow(meet, schema).select(*names)
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of tables that are staged by now, which wait for the driver's garbage collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
-@dataclass
 class Tree:
-    """Contexts by depth: sorted candidate keys (index of the context without its last symbol, last symbol), what is left
-    for the suffix, totals, whether retained, and sorted entries (context, next symbol) with their counts."""
-
-    n_symbols: int
-    total: int
-    distinct: int
-    root: np.ndarray
-    mass: np.ndarray
-    keys: list[np.ndarray] = field(default_factory=list)
-    suffix: list[np.ndarray] = field(default_factory=list)
-    totals: list[np.ndarray] = field(default_factory=list)
-    back: list[np.ndarray] = field(default_factory=list)
-    retained: list[np.ndarray] = field(default_factory=list)
-    entries: list[np.ndarray] = field(default_factory=list)
-    counts: list[np.ndarray] = field(default_factory=list)
-
-    def base(self, known: np.ndarray) -> np.ndarray:
-        return (known + SMOOTHING) / (self.total + SMOOTHING * (self.distinct + 1))
-
-    def contexts(self, symbols: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-        """For each depth, the index of each token's candidate context of that length, or -1. `first` marks text starts."""
-        found = []
-        shorter = np.zeros(len(symbols), np.int64)
-        for keys in self.keys:
-            here = np.full(len(symbols), -1, np.int64)
-            if len(keys):
-                good = (~first[1:]) & (shorter[:-1] >= 0)
-                here[1:] = np.where(good, lookup(keys, shorter[:-1] * self.n_symbols + symbols[:-1]), -1)
-            found.append(here)
-            shorter = here
-        return found
+    """The tree collected, to look into one of a small corpus; scores never need it. Symbols are the words in training
+    texts by hash, then the classes."""
+
+    def __init__(self, learnt: Learnt):
+        self.learnt = learnt
+
+    @cached_property
+    def tables(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """By kind: sorted keys, counts of words and runs or kept counts of contexts, weight of the suffix."""
+
+        def parts(b: Block) -> Iterator[pa.RecordBatch]:
+            n = b.known[b.order]
+            for kind, keys, n, back in [(WORD_KIND, b.words[b.order][n > 0], n[n > 0], n[n > 0] * 0), *b.found]:
+                columns = [np.full(len(keys), kind, np.int32), keys.view(np.int64), n, back]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [x.split()[0] for x in MODEL.split(", ")])
+
+        found = self.learnt.each(parts, MODEL).distinct().toPandas()
+        out = {}
+        for kind in self.learnt.answered:
+            own = found[found.kind == kind]
+            keys = own.key.to_numpy().view(np.uint64)
+            order = np.argsort(keys)
+            out[kind] = keys[order], own.n.to_numpy()[order], own.back.to_numpy()[order]
+        return out
 
-    def probabilities(self, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Probability of each symbol after the longest retained suffix of what stands before it."""
-        p = self.root[symbols]
-        for depth, at in enumerate(self.contexts(symbols, first)):
-            p = self.smooth(depth, at, symbols, p)
-        return p
+    @property
+    def n_symbols(self) -> int:
+        return len(self.tables[WORD_KIND][0]) + CLASSES
 
-    def smooth(self, depth: int, at: np.ndarray, symbols: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """p, where contexts `at` of this depth are retained, mixed with what was seen after them."""
-        use = np.flatnonzero((at >= 0) & self.retained[depth][at])
-        if not len(use):
-            return p
-        state = at[use]
-        spot = lookup(self.entries[depth], state * self.n_symbols + symbols[use])
-        seen = np.where(spot >= 0, self.counts[depth][spot], 0)
-        out = p.copy()
-        out[use] = (seen + self.back[depth][state] * p[use]) / (self.totals[depth][state] + self.back[depth][state])
-        return out
+    @property
+    def retained(self) -> list[np.ndarray]:
+        return [self.tables[CONTEXT_KIND + k][2] > 0 for k in range(1, self.learnt.depth + 1)]
 
-    def suffix_probability(self, depth: int, context: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """Probability of symbols after the suffixes of contexts of a depth (0: single symbols)."""
-        if depth == 0:
-            return self.root[symbols]
-        chain = [self.suffix[depth][context]]
-        for d in range(depth - 1, 0, -1):
-            chain.append(self.suffix[d][chain[-1]])
-        p = self.root[symbols]
-        for d, at in zip(range(depth), reversed(chain), strict=True):
-            p = self.smooth(d, at, symbols, p)
+    def probabilities(self, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Probability of each symbol after the longest retained suffix of what stands before it. `first` marks text starts."""
+        words, known, _ = self.tables[WORD_KIND]
+        h = np.concatenate([words, np.arange(CLASSES, dtype=np.uint64)])[symbols]
+        mass = np.concatenate([known, np.zeros(CLASSES, np.int64)]) + SMOOTHING
+        p = (mass / mass.sum())[symbols]
+        place = np.arange(len(symbols)) - np.maximum.accumulate(np.where(first, np.arange(len(symbols)), 0))
+        gram = mix(h)
+        for k in range(1, self.learnt.depth + 1):
+            before = h if k == 1 else gram
+            gram, shorter = np.zeros(len(h), np.uint64), gram
+            gram[1:] = extended(shorter[:-1], h[1:])
+            keys, kept, back = self.tables[CONTEXT_KIND + k]
+            state = np.full(len(h), -1, np.int64)
+            state[1:] = np.where(place[1:] >= k, lookup(keys, before[:-1]), -1)
+            use = np.flatnonzero((state >= 0) & (back[state] > 0)) if len(keys) else np.empty(0, np.int64)
+            runs, n, _ = self.tables[COUNT_KIND + k]
+            spot = lookup(runs, gram[use])
+            seen = np.where(spot >= 0, n[spot], 0) if len(runs) else 0
+            p[use] = (seen + back[state[use]] * p[use]) / (kept[state[use]] + back[state[use]])
         return p
 
 
@@ -198,140 +373,42 @@ def lookup(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[spot] == wanted, spot, -1)
 
 
-def coded_blocks(blocks: DataFrame, counted: DataFrame) -> DataFrame:
-    """Rows of `CODED`: blocks with training counts and symbols of their own words."""
-
-    def meet(block: pa.Table, own: pa.Table) -> pa.Table:
-        n = own.num_rows
-        known, symbols = np.zeros(n, np.int64), np.zeros(n, np.int32)
-        place = own.column("place").to_numpy()
-        known[place], symbols[place] = own.column("known").to_numpy(), own.column("symbol").to_numpy()
-        out = block.select(["block", "doc_ids", "held", "lengths", "ids"])
-        return out.append_column("known", pa.array([pack(known)], pa.binary())).append_column("symbols", pa.array([pack(symbols)], pa.binary()))
-
-    left = blocks.select("block", "doc_ids", "held", "lengths", "ids").groupBy("block")
-    return left.cogroup(counted.select("block", "place", "known", "symbol").groupBy("block")).applyInArrow(meet, CODED)
-
-
-def opened(batch: pa.RecordBatch, names: tuple[str, ...]) -> Iterator[dict]:
-    """Blocks of a batch: held per text, starts, first (token begins a text), symbol of each token, and more by name."""
-    for k in range(batch.num_rows):
-        data = {n: batch.column(n)[k].as_py() for n in batch.schema.names}
-        lengths, ids = unpack(data["lengths"], np.int32).astype(np.int64), unpack(data["ids"], np.int32)
-        starts = np.cumsum(lengths) - lengths
-        first = np.zeros(len(ids), bool)
-        first[starts] = True
-        out = {"held": unpack(data["held"], np.uint8).astype(bool), "lengths": lengths, "starts": starts, "first": first,
-               "symbols": unpack(data["symbols"], np.int32)[ids].astype(np.int64)}
-        if "known" in names:
-            out["known"] = unpack(data["known"], np.int64)[ids]
-            out["doc_ids"] = zstandard.ZstdDecompressor().decompress(data["doc_ids"]).decode().split(",")
-        yield out
-
-
-def next_counts(coded: DataFrame, tree_of, at_least: float) -> DataFrame:
-    """entry (context index * symbols + next symbol), n: what follows the deepest candidates, in training texts."""
+def build(spark: SparkSession, docs: DataFrame, depth: int = DEPTH) -> tuple[Learnt, Tree]:
+    """Coded blocks of all documents with all that they need of the tree, and the tree itself."""
+    blocks = stage(code_blocks(docs), "blocks", large_rows=True)
+    shards = shard_count(blocks.count())
+    learnt = Learnt(blocks, None, depth)
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = tree_of.value
-        for batch in batches:
-            for b in opened(batch, ()):
-                at = tree.contexts(b["symbols"], b["first"])[-1]
-                use = (at >= 0) & ~np.repeat(b["held"], b["lengths"])
-                entry, n = np.unique(at[use] * tree.n_symbols + b["symbols"][use], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(entry), pa.array(n)], ["entry", "n"])
-
-    each = coded.select("held", "lengths", "ids", "symbols").mapInArrow(read, "entry long, n long")
-    return each.groupBy("entry").agg(F.sum("n").alias("n"))
-
-
-def grow(spark: SparkSession, coded: DataFrame, tree: Tree, depth: int) -> None:
-    """Add contexts of one more symbol to the tree."""
-    share = tree.total / CONTEXT_SHARE
-    if depth == 0:
-        keys = np.arange(tree.n_symbols, dtype=np.int64)[tree.mass * tree.total >= share]
-        suffix = np.zeros(len(keys), np.int64)
-    else:
-        big = tree.counts[-1] >= share
-        keys = tree.entries[-1][big]
-        context, last = keys // tree.n_symbols, keys % tree.n_symbols
-        shorter = tree.suffix[-1][context] if depth > 1 else np.zeros(len(keys), np.int64)
-        suffix = lookup(tree.keys[depth - 1], shorter * tree.n_symbols + last)
-        keys, suffix = keys[suffix >= 0], suffix[suffix >= 0]
-    tree.keys.append(keys)
-    tree.suffix.append(suffix)
-    sent = spark.sparkContext.broadcast(tree)
-    found = stage(next_counts(coded, sent, 0), "next-counts")
-    by_context = found.groupBy(F.floor(F.col("entry") / tree.n_symbols).cast("long").alias("context")).agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct")
-    )
-    totals = by_context.toPandas().sort_values("context")
-    kept = found.filter(F.col("n") >= max(2, tree.total / ENTRY_SHARE)).toPandas().sort_values("entry")
-    total, distinct = np.zeros(len(keys)), np.ones(len(keys))
-    total[totals.context.to_numpy()], distinct[totals.context.to_numpy()] = totals.n.to_numpy(), totals.distinct.to_numpy()
-    entries, counts = kept.entry.to_numpy().astype(np.int64), kept.n.to_numpy().astype(np.int64)
-    context = entries // tree.n_symbols
-    # counts of entries too small to keep go to the suffix, as the smoothing does
-    lost = total - np.bincount(context, counts, len(keys))
-    below = tree.suffix_probability(depth, context, entries % tree.n_symbols)
-    gain = np.bincount(context, counts * np.log(counts / total[context] / below), len(keys))
-    rest = 1 - np.bincount(context, below, len(keys))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain += np.where((lost > 0) & (rest > 0), lost * np.log(lost / total / rest), 0)
-    tree.totals.append(total - lost)
-    tree.back.append(distinct + lost)
-    tree.retained.append((2 * gain > PENALTY * distinct) & (total > 0))
-    tree.entries.append(entries)
-    tree.counts.append(counts)
-    sent.unpersist()
-
-
-def scored(coded: DataFrame, tree_of) -> DataFrame:
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = tree_of.value
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in opened(batch, ("known",)):
-                base = tree.base(b["known"])
-                p = tree.probabilities(b["symbols"], b["first"]) * base / tree.mass[b["symbols"]]
-                ids = [int(x) if x else None for x in b["doc_ids"]]
-                sums = [np.add.reduceat(v, b["starts"]) for v in ((b["known"] > 0).astype(np.int64), np.log10(base), np.log10(p))]
-                kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-                columns = [pa.array(c, k) for c, k in zip((ids, b["held"], b["lengths"], *sums), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+            for data in (r for k in range(batch.num_rows) for r in batch.slice(k, 1).to_pylist()):
+                yield from requests(Block(data, {}, depth, 0, 0), shards)
 
-    return coded.mapInArrow(read, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    for k in range(depth + 1):
+        asked = learnt.each(lambda b: requests(b, shards), REQUEST) if k else blocks.mapInArrow(first, REQUEST)
+        got = stage(asked.groupBy("kind", "shard").applyInArrow(answer, REPLY), "replies")
+        if not k:
+            learnt.total, learnt.distinct = got.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("different"), F.lit(0))).first()
+        learnt.replies = got if learnt.replies is None else learnt.replies.union(got)
+        learnt.rounds.append(([CONTEXT_KIND + k] if k else [WORD_KIND]) + ([COUNT_KIND + k + 1] if k < depth else []))
+        del asked
+        release(spark)
+    return learnt, Tree(learnt)
 
 
-def build(spark: SparkSession, docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Tree]:
-    """Coded blocks of all documents, and the tree learnt from the training ones."""
-    blocks = stage(code_blocks(docs), "blocks", large_rows=True)
-    of_word = Window.partitionBy("word")
-    counted = word_rows(blocks).withColumn("known", F.sum("n").over(of_word)).withColumn(
-        "once", F.row_number().over(of_word.orderBy("block", "place")) == 1
-    )
-    counted = stage(counted.select("word", "block", "place", "known", "class", "once"), "counted-words")
-    once = counted.filter("once AND known > 0")
-    total, distinct = once.agg(F.coalesce(F.sum("known"), F.lit(0)), F.count(F.lit(1))).first()
-    often = once.filter(F.col("known") >= max(1, total / SYMBOL_SHARE)).select("word", "known").toPandas()
-    often = often.sort_values(["known", "word"], ascending=[False, True]).reset_index(drop=True)
-    n_often = len(often)
-    symbols = spark.createDataFrame([(int(w), k) for k, w in enumerate(often.word)], "word long, rank int")
-    named = counted.join(F.broadcast(symbols), "word", "left").withColumn("symbol", F.coalesce("rank", F.col("class") + n_often))
-    rest = {r["class"]: (r.n, r.words) for r in once.join(F.broadcast(symbols), "word", "left_anti").groupBy("class").agg(
-        F.sum("known").alias("n"), F.count(F.lit(1)).alias("words")).collect()}
-    counts = [often.known.to_numpy() + SMOOTHING]
-    counts.append(np.array([rest.get(c, (0, 0))[0] + SMOOTHING * (rest.get(c, (0, 0))[1] + 1) for c in range(CLASSES)]))
-    mass = np.concatenate(counts) / (total + SMOOTHING * (distinct + 1))
-    tree = Tree(n_often + CLASSES, total, distinct, mass / mass.sum(), mass)
-    coded = stage(coded_blocks(blocks, named), "coded-blocks", large_rows=True)
-    if total:
-        for d in range(depth):
-            grow(spark, coded, tree, d)
-    return coded, tree
+def scored(learnt: Learnt) -> DataFrame:
+    def sums(b: Block) -> Iterator[pa.RecordBatch]:
+        values = ((b.known[b.ids] > 0).astype(np.int64), np.log10(b.base), np.log10(b.p))
+        ids = [int(x) if x else None for x in b.doc_ids]
+        kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        columns = (ids, b.held, b.lengths, *(np.add.reduceat(v, b.starts) for v in values))
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in SCORES.split(", ")])
+
+    return learnt.each(sums, SCORES)
 
 
 def score(spark: SparkSession, docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities)."""
-    coded, tree = build(spark, docs, depth)
-    out = scored(coded, spark.sparkContext.broadcast(tree)).withColumn("train_tokens", F.lit(tree.total).cast("long"))
+    learnt, _ = build(spark, docs, depth)
+    out = scored(learnt).withColumn("train_tokens", F.lit(learnt.total).cast("long"))
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -137,3 +137,16 @@ def test_empty_tables_and_no_training_text(spark, frame):
     (one,) = st.score(spark, frame([(None, "a b")])).collect()
     assert (one.n_tokens, one.n_known, one.train_tokens, one.held_out) == (3, 0, 0, True)
     assert one.base_score == pytest.approx(0.0)
+
+
+def test_the_tree_grows_with_the_corpus(spark, frame):
+    # each pair of words makes up under 1/20,000 of the tokens, and each word under 1/2,000
+    pairs = [f"left{k} right{k}" for k in range(12_000)]
+    ids = [k for k in range(1, 5_000) if not held(k)][:240]
+    docs = [(i, " ".join(p for j in range(100) for p in [pairs[(n * 100 + j) % 12_000]])) for n, i in enumerate(ids)]
+    asked = next(k for k in range(5_000, 6_000) if held(k))
+    docs += [(asked, " ".join(pairs[k] for k in (5, 700, 9_000)))]
+    (got,) = [r for r in st.score(spark, frame(docs)).collect() if r.held_out]
+    # by chance a word is one of 24,000; after its left word, found twice, the right one is likely
+    assert got.base_score < -20
+    assert got.score - got.base_score > 3 * 3
