@@ -100,3 +100,21 @@ def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (101, 102), (5, 5), (200, 201)]
     got = {r.node: r.label for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{k: 0 for k in range(41)}, 100: 100, 101: 100, 102: 100, 200: 200, 201: 200}
+
+
+def test_a_pair_that_meets_only_in_a_crowded_bucket(spark, frame, monkeypatch):
+    monkeypatch.setattr(nd, "CROWD", 4)
+    dice = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base), " ".join([*base[:-1], "other"]), *(" ".join(f"{k}x{i}" for i in range(50)) for k in range(12))]
+    sets = [nd.shingle_set(t) for t in texts]
+    nodes = [nd.node_of(s) for s in sets]
+    assert min(nodes) not in nodes[:2]  # the leader is neither
+    registers = dice.integers(0, 1 << 16, (len(texts), nd.REGISTERS)).astype(np.uint16)
+    registers[1] = registers[0]
+    registers[1, 4::4] += 1  # alike, but equal in the first band only
+    registers[:, :4] = 7
+    rows = [(n, k, len(s), r.tobytes()) for k, (n, s, r) in enumerate(zip(nodes, sets, registers, strict=True))]
+    classes = spark.createDataFrame(rows, "node long, rep long, n long, sketch binary")
+    links = nd.class_links(frame(list(enumerate(texts))), classes).collect()
+    assert {tuple(r) for r in links} == {tuple(sorted(nodes[:2]))}
