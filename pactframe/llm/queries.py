@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pactframe.llm import fill_middle, fingerprints, line_crf, mixing, near_dedup, packing, quality_rules, substring_dedup, suffix_tree, token_counts, warc
+from pactframe.llm import fill_middle, fingerprints, line_crf, mixing, near_dedup, packing, quality_rules, substring_dedup, suffix_tree, token_counts, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,10 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op8_near": op8_near,
     "op9_tokens": op9_tokens,
     "op10_lm": op10_lm,
+    "op11_whitening": op11_whitening,
     "op13_fim": op13_fim,
 }
 ORACLE: dict[str, str] = {"op4_mix": mixing.MIX_SQL, "op6_warc": warc.WARC_SQL, "op13_fim": fill_middle.FIM_SQL}
