@@ -30,17 +30,13 @@ def consolidate(cpcg: DataFrame, av: DataFrame | None, floor: float = HEAVY_ROWS
 def consolidate_flagged(products: DataFrame, floor: float = HEAVY_ROWS) -> DataFrame:
     """The same for one table that has both kinds of rows and `is_av`: it is read once."""
     rows = products.withColumn("signature_date", signature_date())
-    return number_rows(
-        rows, "affair_id", [["signature_date"], ["is_av", "avenant_number"], ["request_id"]], ["pos"], floor=floor
-    )
+    return number_rows(rows, "affair_id", ["signature_date", "is_av", "avenant_number", "request_id", "pos"], floor=floor)
 
 
 def sequence_products(products: DataFrame, floor: float = HEAVY_ROWS) -> DataFrame:
     """`seq` with the CP products first whatever their dates, then the amendments by date."""
     rows = products.withColumn("signature_date", signature_date())
-    return number_rows(
-        rows, "affair_id", [["is_av", "signature_date"], ["avenant_number"], ["request_id"]], ["pos"], floor=floor
-    )
+    return number_rows(rows, "affair_id", ["is_av", "signature_date", "avenant_number", "request_id", "pos"], floor=floor)
 
 
 def sort_avenants(av: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pactframe.functions.text import has_any, has_word
-from pactframe.operators.skew import fits
+from pactframe.operators.skew import fits, running
 from pactframe.schemas import (
     AV_KEYWORDS,
     AVENANT_HEADER,
@@ -138,22 +138,23 @@ def with_parts(classified: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame:
     The caller states the limit. Parts are runs of documents in id order: a document
     belongs to part k if the texts before it in its affair hold k times `max_chars`.
     The parts of an affair, in order, are its whole text; a part exceeds the limit by
-    less than its last document. Only ids and lengths are sorted, and only those of
-    affairs over the limit; where none is, nothing is.
+    less than its last document. Only ids and lengths are sorted, in ranges that no
+    affair grows, and only those of affairs over the limit; where none is, nothing is.
     """
     size = F.coalesce(chars(classified), F.lit(0)) * (F.col("is_cg").cast("int") + F.col("is_cp").cast("int"))
     narrow = classified.select("affair_id", "id", size.alias("chars"))
     large = narrow.groupBy("affair_id").agg(F.sum("chars").alias("total")).filter(F.col("total") > max_chars).select("affair_id")
     if large.limit(1).count() == 0:
         return classified.withColumns({"n_parts": F.lit(1), "part": F.lit(0)})
-    before = F.sum("chars").over(Window.partitionBy("affair_id").orderBy("id").rowsBetween(Window.unboundedPreceding, -1))
-    cut = narrow.join(large, "affair_id", "left_semi").withColumn("part", F.floor(F.coalesce(before, F.lit(0)) / max_chars).cast("int"))
+    summed = running(narrow.join(large, "affair_id", "left_semi"), ["affair_id"], [F.asc("id")], before={"chars_before": F.col("chars")})
+    placed = summed.withColumn("part", F.floor(F.col("chars_before") / max_chars).cast("int"))
+    cut = placed.groupBy("affair_id", "id").agg(F.min("part").alias("part"))
     # parts that no document starts in are left out of the numbering
     order = Window.partitionBy("affair_id").orderBy("part")
     used = cut.select("affair_id", "part").distinct().withColumn("number", (F.row_number().over(order) - 1).cast("int"))
     count = used.groupBy("affair_id").agg(F.count(F.lit(1)).cast("int").alias("n_parts"))
     placed = cut.join(used, ["affair_id", "part"]).join(count, "affair_id").select("affair_id", "id", F.col("number").alias("part"), "n_parts")
-    joined = classified.join(placed.distinct(), ["affair_id", "id"], "left")
+    joined = classified.join(placed, ["affair_id", "id"], "left")
     return joined.withColumns({"part": F.coalesce("part", F.lit(0)), "n_parts": F.coalesce("n_parts", F.lit(1))})
 
 

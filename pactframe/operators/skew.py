@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pactframe.session import counted_cut, cut
+
 HEAVY_MAX = 10_000
 HEAVY_ROWS = 1_000_000
 
@@ -35,11 +37,6 @@ def fits(df: DataFrame, max_rows: int = HEAVY_MAX) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = HEAVY_MAX) -> DataFrame:
-    """Broadcast after a row check; otherwise the plain table, for a shuffled join with skew splitting."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
 def same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
@@ -51,8 +48,13 @@ def by_weight(
     heavy: Callable[[DataFrame], DataFrame],
     floor: float = HEAVY_ROWS,
 ) -> DataFrame:
-    """`light` on the ordinary groups, `heavy` on the heavy ones; the same rows come out either way."""
-    found = heavy_keys(df, keys, floor=floor)
+    """`light` on the ordinary groups, `heavy` on the heavy ones; the same rows come out either way.
+
+    The table is written once, and its rows are counted as they are written: what is behind it runs a single time. Only
+    a table of more rows than the floor can hold a heavy key, and only then are the keys, and nothing else, read back.
+    """
+    df, rows = counted_cut(df)
+    found = heavy_keys(df, keys, floor=floor) if rows > floor else None
     if found is None:
         return light(df)
     found = F.broadcast(found.drop("weight"))
@@ -70,48 +72,52 @@ def _comparable(df: DataFrame, name: str) -> list[tuple[str, Column]]:
     ]
 
 
-def number_rows(
-    df: DataFrame, group: str, levels: list[list[str]], within: list[str], name: str = "seq", floor: float = HEAVY_ROWS
+def running(
+    df: DataFrame,
+    group: list[str],
+    order: list[Column],
+    number: str | None = None,
+    before: dict[str, Column] | None = None,
+    span: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """1-based position of each row in its group, by all `levels`, then `within`; NULLs last.
+    """Adds the 1-based `number` of each row in its group and, per name in `before`, the sum over the rows before it.
 
-    Ordinary groups use one window. In heavy groups each level is counted on its
-    own: pre-aggregated sizes give every node the rows before it, and only the
-    rows sharing all level values meet in one window.
+    For groups that no task can hold. Rows are dealt into ranges of about `span` rows in the order of group and `order`;
+    each range numbers and sums its own rows and is written once. A group in several ranges adds the totals of its
+    earlier ranges: at most one row per range, whatever the groups. Rows that tie keep one arbitrary order.
+    """
+    amounts = before or {}
+    keys = dict(pair for c in group for pair in _comparable(df, c))
+    ranges = max(1, -(-df.count() // span))
+    rows = df.withColumns({**keys, "_tie": F.monotonically_increasing_id(), **{f"_amount_{k}": v for k, v in amounts.items()}})
+    dealt = rows.repartitionByRange(ranges, *keys, *order, "_tie").withColumn("_range", F.spark_partition_id())
+    inside = Window.partitionBy("_range", *keys).orderBy(*order, "_tie")
+    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+    local = {"_at": F.row_number().over(inside)}
+    local |= {f"_local_{k}": F.coalesce(F.sum(f"_amount_{k}").over(earlier), F.lit(0)) for k in amounts}
+    held = cut(dealt.withColumns(local))
+    totals = held.groupBy("_range", *keys).agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(f"_amount_{k}").alias(f"_total_{k}") for k in amounts])
+    above = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {"_rows": F.sum("_rows").over(above), **{f"_total_{k}": F.sum(f"_total_{k}").over(above) for k in amounts}}
+    offsets = totals.withColumns(sums).filter(F.col("_rows").isNotNull())  # fewer rows than ranges
+    joined = held.join(F.broadcast(offsets), ["_range", *keys], "left")
+    added = [(F.col("_at") + F.coalesce("_rows", F.lit(0))).cast("long").alias(number)] if number else []
+    added += [(F.col(f"_local_{k}") + F.coalesce(f"_total_{k}", F.lit(0))).alias(k) for k in amounts]
+    return joined.select(*df.columns, *added)
+
+
+def number_rows(df: DataFrame, group: str, order: list[str], name: str = "seq", floor: float = HEAVY_ROWS, span: int = HEAVY_ROWS) -> DataFrame:
+    """1-based position of each row in its group, by `order`, NULLs last.
+
+    Ordinary groups use one window; heavy ones are numbered in ranges, so that no task holds one.
     """
-    flat = [c for level in levels for c in level]
+    by = [F.asc_nulls_last(c) for c in order]
 
     def light(part: DataFrame) -> DataFrame:
-        order = [F.asc_nulls_last(c) for c in flat + within]
-        return part.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("long"))
+        return part.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*by)).cast("long"))
 
     def heavy(part: DataFrame) -> DataFrame:
-        added: dict[str, Column] = dict(_comparable(part, group))
-        of_group = list(added)
-        keys: list[list[str]] = []
-        for level in levels:
-            pairs = [p for c in level for p in _comparable(part, c)]
-            keys.append([n for n, _ in pairs])
-            added.update(dict(pairs))
-        rows = part.withColumns(added)
-        every = of_group + [k for level in keys for k in level]
-        sizes = rows.groupBy(*every).agg(F.count(F.lit(1)).alias("_size"))
-        start = None
-        for depth in range(len(keys)):
-            parent = of_group + [k for level in keys[:depth] for k in level]
-            node = parent + keys[depth]
-            before = Window.partitionBy(*parent).orderBy(*keys[depth]).rowsBetween(Window.unboundedPreceding, -1)
-            level = sizes.groupBy(*node).agg(F.sum("_size").alias("_size"))
-            level = level.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
-            if start is None:
-                start = level
-            else:
-                start = level.join(start.withColumnRenamed("_before", "_above"), parent).withColumn(
-                    "_before", F.col("_before") + F.col("_above")
-                ).drop("_above")
-        local = Window.partitionBy(*every).orderBy(*[F.asc_nulls_last(c) for c in within or every[-1:]])
-        numbered = rows.withColumn("_local", F.row_number().over(local)).join(start, every)
-        return numbered.withColumn(name, (F.col("_before") + F.col("_local")).cast("long")).select(*part.columns, name)
+        return running(part, [group], by, number=name, span=span)
 
     return by_weight(df, [group], light, heavy, floor)
 

@@ -106,7 +106,7 @@ def extract_by_rules(classified: DataFrame) -> DataFrame:
         "affair_id", F.concat("affair_id", F.lit("|AV|"), "id").alias("request_id"), F.lit("AV").alias("doc_class"), "id", "content"
     )
     rows = cut(rule_extract(cgcp.unionByName(av)))  # texts are read once, not per later step
-    rows = number_rows(rows, "request_id", [["id"]], ["line_no", "amount_no"], name="_at")
+    rows = number_rows(rows, "request_id", ["id", "line_no", "amount_no"], name="_at")
     return rectify(
         rows.withColumn("pos", F.col("_at").cast("int") - 1).drop("id", "line_no", "amount_no", "_at"),
         carried=["affair_id", "request_id", "doc_class", "pos"],

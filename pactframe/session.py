@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -59,3 +60,10 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def counted_cut(df: DataFrame) -> tuple[DataFrame, int]:
+    """`cut`, and the number of rows, counted by the job that writes them."""
+    seen = Observation()
+    held = cut(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return held, seen.get["rows"]

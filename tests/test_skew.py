@@ -7,9 +7,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from pactframe.operators import amend, consolidate, documents, pricing
+from pactframe.operators import amend, consolidate, documents, pricing, skew
 from pactframe.operators.skew import HEAVY_MAX, fits, heavy_keys, lag_in_group, number_rows
 from pactframe.plans import views
+from pactframe.session import cut
 
 
 def rows_of(df):
@@ -72,7 +73,43 @@ def test_heavy_list_is_bounded(spark):
 
 def test_null_keys_are_kept(spark):
     df = spark.createDataFrame([(None, i) for i in range(20)] + [("a", 1)], "k string, v long")
-    assert number_rows(df, "k", [["v"]], [], floor=5).count() == 21
+    assert number_rows(df, "k", ["v"], floor=5).count() == 21
+
+
+def test_running_sums_cross_ranges_and_no_range_grows_with_a_group(spark, monkeypatch):
+    """One group of most rows, some NULL groups and orders, ties: numbers and sums of a plain loop, ranges near `span`."""
+    rng = random.Random(3)
+    rows = [("hot", rng.choice([None, rng.randrange(400)]), rng.randrange(9)) for _ in range(1500)]
+    rows += [(rng.choice([None, "a", "b"]), rng.randrange(5), rng.randrange(9)) for _ in range(200)]
+    df = spark.createDataFrame(rows, "k string, o long, v long").repartition(4)
+    held = []
+    monkeypatch.setattr(skew, "cut", lambda t: held.append(cut(t)) or held[-1])
+    got = skew.running(df, ["k"], [F.asc_nulls_last("o"), F.col("v")], "n", {"upto": F.col("v")}, span=50).collect()
+    assert max(r["count"] for r in held[0].groupBy("_range").count().collect()) < 3 * 50
+    assert sorted((r.k, r.o, r.v) for r in got if r.k and r.o is not None) == sorted(r for r in rows if r[0] and r[1] is not None)
+    groups = {}
+    for r in sorted(got, key=lambda r: r.n):
+        groups.setdefault(r.k, []).append(r)
+    for own in groups.values():
+        assert [r.n for r in own] == list(range(1, len(own) + 1))
+        assert [(r.o is None, r.o or 0, r.v) for r in own] == sorted((r.o is None, r.o or 0, r.v) for r in own)
+        assert [r.upto for r in own] == [sum(x.v for x in own[:k]) for k in range(len(own))]
+
+
+def test_what_is_behind_a_group_plan_runs_once(spark):
+    """Also where there is a heavy key: rows pass the observed input a single time."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    for floor in (10, 10**6):
+        before = seen.value
+        df = spark.range(900).selectExpr("cast(id % 3 as string) AS k", "id AS v").mapInArrow(count, "k string, v long")
+        assert number_rows(df, "k", ["v"], floor=floor, span=100).filter("seq = 300").count() == 3
+        assert seen.value - before == 900
 
 
 def test_oversized_affair_is_split_whole(spark, sf):
