@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pactframe.llm import fill_middle, fingerprints, line_crf, mixing, near_dedup, packing, quality_rules, substring_dedup, suffix_tree, token_counts, warc, whitening
+from pactframe.llm import chat_format, fill_middle, fingerprints, line_crf, mixing, near_dedup, packing, quality_rules, substring_dedup, suffix_tree, token_counts, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.digests(chat_format.with_probe(table(spark, sf_dir, "conversations")))
+
+
 def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(table(spark, sf_dir, "documents"))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op9_tokens": op9_tokens,
     "op10_lm": op10_lm,
     "op11_whitening": op11_whitening,
+    "op12_chat": op12_chat,
     "op13_fim": op13_fim,
 }
-ORACLE: dict[str, str] = {"op4_mix": mixing.MIX_SQL, "op6_warc": warc.WARC_SQL, "op13_fim": fill_middle.FIM_SQL}
+ORACLE: dict[str, str] = {"op4_mix": mixing.MIX_SQL, "op6_warc": warc.WARC_SQL, "op12_chat": chat_format.CHAT_SQL, "op13_fim": fill_middle.FIM_SQL}
