@@ -425,7 +425,7 @@ def line_flags(spark, sf):
 
 @query
 def priced_lines(spark, sf):
-    return read.priced_lines(views.lines(spark, sf)).drop("line")
+    return read.priced_lines(views.lines(spark, sf)).drop("line", "is_period", "unit_only")
 
 
 @query
@@ -438,6 +438,7 @@ def rule_extract(spark, sf):
     return read.rule_extract(views.lines(spark, sf)).select(
         "affair_id", "id", "line_no", "amount_no", "product_name", "is_included", "one_shot_service", "is_volume_product",
         "price_unitaire", "loyer", "loyer_periodicity", "devise_de_facturation", "tax_basis",
+        "product_code", "quantity", "quantity_periodicity",
     )
 
 

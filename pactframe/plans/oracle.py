@@ -75,7 +75,7 @@ VIEWS = {
     # the lines each text was built from, one row per line, with what the rules must read in it
     "items_v": """
         SELECT CAST(l_orderkey AS VARCHAR) AS affair_id, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id,
-          p_name, l_linenumber AS ln, l_returnflag AS rf, l_extendedprice AS price, l_quantity AS units,
+          p_name, l_linenumber AS ln, l_returnflag AS rf, l_suppkey % 9 AS sheet, CAST(l_quantity AS INT) AS count, l_extendedprice AS price, l_quantity AS units,
           CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
           row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_returnflag) AS row_id
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
@@ -96,26 +96,46 @@ VIEWS = {
         UNION ALL
         SELECT affair_id, id, row_id, ln, 3, 'Option étendue' FROM money_v WHERE rf = 'N'
         UNION ALL
-        SELECT affair_id, id, row_id, ln, 4, money || ' € HT / mois' FROM money_v WHERE rf = 'N'""",
+        SELECT affair_id, id, row_id, ln, 4, money || ' € HT / mois' FROM money_v WHERE rf = 'N'
+        UNION ALL
+        SELECT affair_id, id, row_id, ln, 4 + k, CASE k WHEN 1 THEN '| Code | Libellé | Quantité mensuelle | Prix unitaire | Loyer mensuel HT |'
+          WHEN 2 THEN '| --- | --- | --- | --- | --- |' ELSE '| 04317 | ' || p_name || ' | ' || count || ' | ' || count || ',00 € | ' || money || ' € |' END
+        FROM money_v, (VALUES (1), (2), (3)) AS three(k) WHERE sheet = 0
+        UNION ALL
+        SELECT affair_id, id, row_id, ln, 7 + k, CASE k WHEN 1 THEN 'Pricing mensuel volumes'
+          WHEN 2 THEN '| Famille | Nombre de lignes par an | ' || (2015 + ln) || ' S1 | ' || (2015 + ln) || ' S2 |' WHEN 3 THEN '|---|---|---|---|'
+          ELSE '| ' || p_name || ' | ' || count || ' | ' || money || ' € | ' || count || ',00 € HT |' END
+        FROM money_v, (VALUES (1), (2), (3), (4)) AS four(k) WHERE sheet = 1
+        UNION ALL
+        SELECT affair_id, id, row_id, ln, 12, '| 04311 | ' || p_name || ' | ' || count || ' | ' || money || ' € HT |' FROM money_v WHERE sheet = 2 AND rf = 'R'""",
     "numbered_v": """
         SELECT *, CAST(row_number() OVER (PARTITION BY row_id ORDER BY part) - 1 AS INT) AS line_no FROM text_lines_v""",
     "amounts_v": """
         SELECT n.affair_id, n.id, n.line_no, n.part, n.ln, 0 AS amount_no, m.p_name AS label, m.cents / 100.0 AS amount, 'EUR' AS currency, 'HT' AS tax_basis,
-          CASE n.ln % 3 WHEN 0 THEN 'Mensuelle' WHEN 1 THEN 'Annuelle' ELSE 'unknown' END AS cadence, false AS is_recap
+          CASE n.ln % 3 WHEN 0 THEN 'Mensuelle' WHEN 1 THEN 'Annuelle' ELSE 'unknown' END AS cadence, false AS is_recap,
+          NULL::VARCHAR AS code, NULL::DOUBLE AS quantity, NULL::VARCHAR AS counted, NULL::DOUBLE AS unit, false AS period
         FROM numbered_v n JOIN money_v m USING (row_id) WHERE part = 0
         UNION ALL
         SELECT n.affair_id, n.id, n.line_no, n.part, n.ln, k, 'Licence', CASE k WHEN 0 THEN m.units ELSE m.cents / 100.0 END, 'EUR',
-          CASE k WHEN 1 THEN 'TTC' END, 'unknown', false
+          CASE k WHEN 1 THEN 'TTC' END, 'unknown', false, NULL, NULL, NULL, NULL, false
         FROM numbered_v n JOIN money_v m USING (row_id), (VALUES (0), (1)) AS two(k) WHERE part = 1
         UNION ALL
         SELECT n.affair_id, n.id, n.line_no, n.part, n.ln, 0, CASE n.ln WHEN 1 THEN 'Total' WHEN 3 THEN 'Total abonnement, montant forfaitaire mensuel total de'
             WHEN 4 THEN 'REMISE COMMERCIALE' ELSE 'Utilisateur supplémentaire' END,
           CASE n.ln WHEN 4 THEN -m.cents / 100.0 WHEN 5 THEN 10.0 ELSE m.cents / 100.0 END, 'EUR',
-          CASE WHEN n.ln IN (1, 4) THEN 'HT' END, CASE WHEN n.ln IN (3, 5) THEN 'Mensuelle' ELSE 'unknown' END, n.ln = 1
+          CASE WHEN n.ln IN (1, 4) THEN 'HT' END, CASE WHEN n.ln IN (3, 5) THEN 'Mensuelle' ELSE 'unknown' END, n.ln = 1, NULL, NULL, NULL, NULL, false
         FROM numbered_v n JOIN money_v m USING (row_id) WHERE part = 2 AND n.ln IN (1, 3, 4, 5)
         UNION ALL
-        SELECT n.affair_id, n.id, n.line_no, n.part, n.ln, 0, 'Option étendue', m.cents / 100.0, 'EUR', 'HT', 'Mensuelle', false
-        FROM numbered_v n JOIN money_v m USING (row_id) WHERE part = 4""",
+        SELECT n.affair_id, n.id, n.line_no, n.part, n.ln, 0, 'Option étendue', m.cents / 100.0, 'EUR', 'HT', 'Mensuelle', false, NULL, NULL, NULL, NULL, false
+        FROM numbered_v n JOIN money_v m USING (row_id) WHERE part = 4
+        UNION ALL
+        SELECT n.affair_id, n.id, n.line_no, n.part, n.ln, 0, m.p_name, m.cents / 100.0, 'EUR', 'HT', CASE part WHEN 7 THEN 'Mensuelle' ELSE 'unknown' END, false,
+          CASE part WHEN 7 THEN '04317' ELSE '04311' END, m.count, CASE part WHEN 7 THEN 'Mensuelle' END, CASE part WHEN 7 THEN m.count END, false
+        FROM numbered_v n JOIN money_v m USING (row_id) WHERE part IN (7, 12)
+        UNION ALL
+        SELECT n.affair_id, n.id, n.line_no, n.part, n.ln, k, 'Abonnement volume ' || m.p_name || ' — ' || (2015 + n.ln) || ' S' || (k + 1),
+          CASE k WHEN 0 THEN m.cents / 100.0 ELSE m.count END, 'EUR', CASE k WHEN 1 THEN 'HT' END, 'Mensuelle', false, NULL, m.count, 'Annuelle', NULL, true
+        FROM numbered_v n JOIN money_v m USING (row_id), (VALUES (0), (1)) AS two(k) WHERE part = 11""",
     "gate_v": """
         SELECT affair_id, bool_or(one_shot_service) AND NOT bool_and(one_shot_service)
           AND bool_or(is_volume_product) AND NOT bool_and(is_volume_product) AS open
@@ -452,19 +472,21 @@ SELECT l_orderkey, l_linenumber, l_extendedprice,
 FROM lineitem""")
 twin("line_flags", ["numbered_v"], """
 SELECT id, line_no, part = 1 OR (part = 2 AND ln = 7) AS is_one_time, part = 2 AND ln IN (2, 7) AS is_included,
-  part = 2 AND ln IN (5, 6) AS is_volume, part = 2 AND ln IN (5, 6) AS is_overconsumption
+  (part = 2 AND ln IN (5, 6)) OR part IN (8, 9) AS is_volume, (part = 2 AND ln IN (5, 6)) OR part = 9 AS is_overconsumption
 FROM numbered_v""")
 twin("priced_lines", ["amounts_v"], """
-SELECT affair_id, id, line_no, amount_no, label, CAST(amount AS DOUBLE) AS amount, currency, tax_basis, cadence, is_recap FROM amounts_v""")
+SELECT affair_id, id, line_no, amount_no, label, CAST(amount AS DOUBLE) AS amount, currency, tax_basis, cadence, is_recap,
+  code AS product_code, quantity, counted AS quantity_periodicity, unit AS unit_price FROM amounts_v""")
 twin("drop_recaps", ["numbered_v"], "SELECT affair_id, id, line_no, md5(line) AS line_md5 FROM numbered_v WHERE NOT (part = 2 AND ln = 1)")
 twin("rule_extract", ["amounts_v"], """
 , found AS (
   SELECT affair_id, id, line_no, amount_no, label, CAST(amount AS DOUBLE) AS amount, currency, tax_basis, cadence, false AS free,
-    part = 1 AS once, part = 2 AND ln = 5 AS volume FROM amounts_v WHERE NOT is_recap
+    part = 1 AS once, period OR (part = 2 AND ln = 5) AS volume, code, quantity, counted, unit FROM amounts_v WHERE NOT is_recap
   UNION ALL
-  SELECT affair_id, id, line_no, 0, line, NULL, NULL, NULL, 'unknown', true, false, false FROM numbered_v WHERE part = 2 AND ln IN (2, 7))
+  SELECT affair_id, id, line_no, 0, line, NULL, NULL, NULL, 'unknown', true, false, false, NULL, NULL, NULL, NULL FROM numbered_v WHERE part = 2 AND ln IN (2, 7))
 SELECT affair_id, id, line_no, amount_no, label AS product_name, free AS is_included, once AS one_shot_service, volume AS is_volume_product,
-  CASE WHEN once THEN amount END AS price_unitaire, CASE WHEN NOT once AND NOT free THEN amount END AS loyer,
+  code AS product_code, quantity, counted AS quantity_periodicity,
+  CASE WHEN once THEN amount ELSE unit END AS price_unitaire, CASE WHEN NOT once AND NOT free THEN amount END AS loyer,
   CASE WHEN NOT once AND NOT free THEN cadence END AS loyer_periodicity, currency AS devise_de_facturation, tax_basis
 FROM found""")
 twin("volume_period", [], """

@@ -182,17 +182,26 @@ def _money(cents: str) -> str:
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
-    """A text of one to five lines per order line: priced lines, recaps, service levels, discounts, a label above its price."""
+    """A text per order line: priced lines, recaps, service levels, discounts, a label above its price, and a table: one
+    with code, quantity, unit price and rent, one with semester cells, or a row without a header."""
     used = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"]
     rows = spread(table(spark, sf, "lineitem").select(*used))
     rows = rows.join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     rows = rows.withColumns(
         {"cents": F.expr("cast(round(l_extendedprice * 100) as bigint)"), "units": F.expr("cast(l_quantity as bigint) * 100")}
     )
-    money = _money("cents")
+    money, units = _money("cents"), _money("units")
+    count = "cast(l_quantity as int)"
+    tables = [
+        f"""if(l_suppkey % 9 = 0, concat('| Code | Libellé | Quantité mensuelle | Prix unitaire | Loyer mensuel HT |\n| --- | --- | --- | --- | --- |\n',
+              '| 04317 | ', p_name, ' | ', {count}, ' | ', {units}, ' € | ', {money}, ' € |'), null)""",
+        f"""if(l_suppkey % 9 = 1, concat('Pricing mensuel volumes\n| Famille | Nombre de lignes par an | ', 2015 + l_linenumber, ' S1 | ',
+              2015 + l_linenumber, ' S2 |\n|---|---|---|---|\n| ', p_name, ' | ', {count}, ' | ', {money}, ' € | ', {units}, ' € HT |'), null)""",
+        f"if(l_suppkey % 9 = 2 and l_returnflag = 'R', concat('| 04311 | ', p_name, ' | ', {count}, ' | ', {money}, ' € HT |'), null)",
+    ]
     parts = [
         f"concat(p_name, ' ', {money}, ' € HT', case l_linenumber % 3 when 0 then ' / mois' when 1 then ' par an' else '' end)",
-        f"if(l_returnflag = 'A', concat('Licence ', {_money('units')}, ' EUR ', {money}, ' EUR TTC'), null)",
+        f"if(l_returnflag = 'A', concat('Licence ', {units}, ' EUR ', {money}, ' EUR TTC'), null)",
         f"""case l_linenumber
               when 1 then concat('Total ', {money}, ' € HT')
               when 2 then 'SLA Standard Inclus'
@@ -203,6 +212,7 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
               when 7 then 'Hypercare Gratuit' end""",
         "if(l_returnflag = 'N', 'Option étendue', null)",
         f"if(l_returnflag = 'N', concat({money}, ' € HT / mois'), null)",
+        *tables,
     ]
     return rows.select(
         F.col("l_orderkey").cast("string").alias("affair_id"),
