@@ -12,6 +12,10 @@ from pactframe.operators.skew import HEAVY_ROWS, lag_in_group
 from pactframe.session import cut
 
 
+#: Longer words are only equal to themselves: what is left of a word grows with the square of its letters.
+MAX_FUZZY = 40
+
+
 def resolve_terms(cg: DataFrame, cp: DataFrame, columns: list[str], key: str = "affair_id") -> DataFrame:
     """Each term from the CP when it has one, else from the CG, with `<term>_source`."""
     right = cp.select(key, *[F.col(c).alias(f"_cp_{c}") for c in columns])
@@ -34,12 +38,60 @@ def words_of(desc: Column) -> Column:
     return F.when(desc.rlike("(?i)" + VOLUME_NAME), F.array().cast("array<string>")).otherwise(found)
 
 
+def edits_allowed(word: Column) -> Column:
+    """How many letters may differ: none in short words and in whatever holds a digit, one, or two from eight letters on."""
+    letters = F.length(word)
+    plain = ~word.rlike(r"\d") & (letters <= MAX_FUZZY)
+    return F.when(plain & (letters >= 8), F.lit(2)).when(plain & (letters >= 4), F.lit(1)).otherwise(F.lit(0))
+
+
+def shortened(word: Column) -> Column:
+    """The word and what is left of it when up to as many letters as may differ are taken out."""
+
+    def less_one(w: Column) -> Column:
+        at = F.sequence(F.lit(1), F.length(w))
+        return F.transform(at, lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
+
+    allowed, once = edits_allowed(word), less_one(word)
+    twice = F.flatten(F.transform(once, less_one))
+    return F.array_distinct(
+        F.when(allowed == 2, F.concat(F.array(word), once, twice)).when(allowed == 1, F.concat(F.array(word), once)).otherwise(F.array(word))
+    )
+
+
+def near_words(words: DataFrame, known: DataFrame) -> DataFrame:
+    """(word, near, edits): distinct words of `words` and those of `known` within the edits that the shorter one allows.
+
+    Two words that differ in k letters share what is left of both when the right k letters or fewer are taken out, so they
+    meet by equality on that; the distance is then measured.
+    """
+    left = words.select("word", F.explode(shortened(F.col("word"))).alias("rest"))
+    right = known.select(F.col("word").alias("near"), F.explode(shortened(F.col("word"))).alias("rest"))
+    met = left.join(right, "rest").select("word", "near").distinct()
+    edits = met.withColumn("edits", F.levenshtein("word", "near"))
+    return edits.filter(F.col("edits") <= F.least(edits_allowed(F.col("word")), edits_allowed(F.col("near"))))
+
+
+def respelled(words: DataFrame, known: DataFrame, desc: str) -> DataFrame:
+    """Words (affair_id, `desc`, word) with those that their affair's `known` words lack replaced by the nearest of these:
+    fewest edits, then first in order. A word without a near one stays."""
+    both = ["affair_id", "word"]
+    vocabulary = known.select(*both).distinct()
+    strange = cut(words.select(*both).distinct().join(vocabulary, both, "left_anti"))
+    near = near_words(strange.select("word").distinct(), vocabulary.select("word").distinct())
+    local = strange.join(near, "word").join(vocabulary.withColumnRenamed("word", "near"), ["affair_id", "near"])
+    best = local.groupBy(*both).agg(F.min(F.struct("edits", "near")).alias("best"))
+    spelled = words.join(best, both, "left").withColumn("word", F.coalesce("best.near", "word"))
+    return spelled.select("affair_id", desc, "word").distinct()
+
+
 def match_by_description(cp: DataFrame, av: DataFrame, min_share: float = 0.5) -> DataFrame:
     """For each amendment description of an affair, the likeliest CP description and its `likeness`.
 
     Equal descriptions have likeness 1. Others are as like as their sets of words: shared words over all words, which
-    has to reach `min_share`; ties go to the first in order. Names of volumes only equal themselves: another period is
-    another product.
+    has to reach `min_share`; ties go to the first in order. An amendment's word that the affair's CP descriptions lack
+    counts as the one of their words that is nearest in spelling, within one or two letters, so that plurals and typing
+    errors are shared words. Names of volumes only equal themselves: another period is another product.
 
     Descriptions meet on words, the rarest first: two sets that share enough share one of the first
     `size - ceil(min_share * size) + 1` words of either, so frequent words form no pairs.
@@ -54,7 +106,8 @@ def match_by_description(cp: DataFrame, av: DataFrame, min_share: float = 0.5) -
     settled = equal.select("affair_id", "av_desc", F.col("av_desc").alias("cp_desc"), F.lit(1.0).alias("likeness"))
     open_ = wanted.join(known.withColumnRenamed("cp_desc", "av_desc"), ["affair_id", "av_desc"], "left_anti")
 
-    cp_words = known.select("affair_id", "cp_desc", F.explode(words_of(F.col("cp_desc"))).alias("word"))
+    # words are read by several steps too
+    cp_words = cut(known.select("affair_id", "cp_desc", F.explode(words_of(F.col("cp_desc"))).alias("word")))
     often = cp_words.groupBy("affair_id", "word").agg(F.count(F.lit(1)).alias("n"))
 
     def rarest_first(words: DataFrame, name: str) -> DataFrame:
@@ -66,6 +119,7 @@ def match_by_description(cp: DataFrame, av: DataFrame, min_share: float = 0.5) -
         return one.withColumn("word", F.explode(head))
 
     av_words = open_.select("affair_id", "av_desc", F.explode(words_of(F.col("av_desc"))).alias("word"))
+    av_words = respelled(cut(av_words), cp_words, "av_desc")
     met = rarest_first(av_words, "av_desc").join(rarest_first(cp_words, "cp_desc"), ["affair_id", "word"])
     shared = F.size(F.array_intersect("av_desc_words", "cp_desc_words"))
     likeness = shared / (F.size("av_desc_words") + F.size("cp_desc_words") - shared)
@@ -75,7 +129,14 @@ def match_by_description(cp: DataFrame, av: DataFrame, min_share: float = 0.5) -
     return settled.unionByName(found)
 
 
-def amendment_delta(sequenced: DataFrame, floor: float = HEAVY_ROWS) -> DataFrame:
+#: What names, orders and prices a product row: all that matching and comparing amendments read.
+COMPARED = [
+    "affair_id", "request_id", "pos", "is_av", "avenant_number", "product_code", "product_name", "signature_date_cp", "signature_date_av",
+    "loyer", "loyer_periodicity", "price_unitaire",
+]
+
+
+def amendment_delta(sequenced: DataFrame, floor: float = HEAVY_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """Old cost, new cost and difference where an amendment restates a product of the affair.
 
     `product_key` names the product; rows are compared with the nearest earlier row of the
@@ -88,7 +149,7 @@ def amendment_delta(sequenced: DataFrame, floor: float = HEAVY_ROWS) -> DataFram
         "affair_id", "product_key", "seq", "is_av", "avenant_number",
         F.struct(annual.alias("rent"), F.col("price_unitaire").alias("price")).alias("_cost"),
     )
-    lagged = lag_in_group(rows, ["affair_id", "product_key"], "seq", "_cost", "_old", floor)
+    lagged = lag_in_group(rows, ["affair_id", "product_key"], "seq", "_cost", "_old", floor, sizes=sizes)
     rents = F.col("_old.rent").isNotNull() & F.col("_cost.rent").isNotNull()
     prices = F.col("_old.price").isNotNull() & F.col("_cost.price").isNotNull()
     costs = [F.when(rents, F.col(f"{side}.rent")).when(prices, F.col(f"{side}.price")) for side in ("_old", "_cost")]

@@ -22,21 +22,21 @@ def union_products(cpcg: DataFrame, av: DataFrame | None) -> DataFrame:
     return left.unionByName(av.withColumn("is_av", F.lit(True)), allowMissingColumns=True)
 
 
-def consolidate(cpcg: DataFrame, av: DataFrame | None, floor: float = HEAVY_ROWS) -> DataFrame:
+def consolidate(cpcg: DataFrame, av: DataFrame | None, floor: float = HEAVY_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """Union in signature order; `seq` is the position in the affair, unreadable dates last."""
-    return consolidate_flagged(union_products(cpcg, av), floor)
+    return consolidate_flagged(union_products(cpcg, av), floor, sizes)
 
 
-def consolidate_flagged(products: DataFrame, floor: float = HEAVY_ROWS) -> DataFrame:
-    """The same for one table that has both kinds of rows and `is_av`: it is read once."""
+def consolidate_flagged(products: DataFrame, floor: float = HEAVY_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+    """The same for one table that has both kinds of rows and `is_av`: it is read once. For `sizes` see `by_weight`."""
     rows = products.withColumn("signature_date", signature_date())
-    return number_rows(rows, "affair_id", ["signature_date", "is_av", "avenant_number", "request_id", "pos"], floor=floor)
+    return number_rows(rows, "affair_id", ["signature_date", "is_av", "avenant_number", "request_id", "pos"], floor=floor, sizes=sizes)
 
 
-def sequence_products(products: DataFrame, floor: float = HEAVY_ROWS) -> DataFrame:
+def sequence_products(products: DataFrame, floor: float = HEAVY_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """`seq` with the CP products first whatever their dates, then the amendments by date."""
     rows = products.withColumn("signature_date", signature_date())
-    return number_rows(rows, "affair_id", ["is_av", "signature_date", "avenant_number", "request_id", "pos"], floor=floor)
+    return number_rows(rows, "affair_id", ["is_av", "signature_date", "avenant_number", "request_id", "pos"], floor=floor, sizes=sizes)
 
 
 def sort_avenants(av: DataFrame) -> DataFrame:

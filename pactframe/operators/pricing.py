@@ -22,7 +22,7 @@ def _mixed(name: str) -> Column:
     return F.bool_or(name) & ~F.bool_and(name)
 
 
-def with_gate(products: DataFrame, floor: float = HEAVY_ROWS) -> DataFrame:
+def with_gate(products: DataFrame, floor: float = HEAVY_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """Adds `_open`: both flags take both values within the affair."""
     if not {"one_shot_service", "is_volume_product"} <= set(products.columns):
         return products.withColumn("_open", F.lit(False))
@@ -38,15 +38,15 @@ def with_gate(products: DataFrame, floor: float = HEAVY_ROWS) -> DataFrame:
         same = F.col("affair_id").eqNullSafe(F.col("_affair"))
         return part.join(F.broadcast(gate), same).drop("_affair")  # heavy keys are few
 
-    return by_weight(products, ["affair_id"], light, heavy, floor)
+    return by_weight(products, ["affair_id"], light, heavy, floor, sizes)
 
 
-def clean_rents(products: DataFrame, safe: bool = True, floor: float = HEAVY_ROWS) -> DataFrame:
+def clean_rents(products: DataFrame, safe: bool = True, floor: float = HEAVY_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """One-shot rows: a rent without a price becomes the price; recurring fields go unless it is a volume row.
 
     With `safe`, only in affairs whose flags are mixed. Adds `rent_moved`.
     """
-    gated = with_gate(products, floor) if safe else products.withColumn("_open", F.lit(True))
+    gated = with_gate(products, floor, sizes) if safe else products.withColumn("_open", F.lit(True))
     price = F.col("price_unitaire")
     number = price if isinstance(products.schema["price_unitaire"].dataType, T.NumericType) else parse_number(price)
     one_shot = F.col("_open") & flag(F.col("one_shot_service"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pactframe.session import counted_cut, cut
+from pactframe.session import cut
 
 HEAVY_MAX = 10_000
 HEAVY_ROWS = 1_000_000
@@ -47,14 +47,19 @@ def by_weight(
     light: Callable[[DataFrame], DataFrame],
     heavy: Callable[[DataFrame], DataFrame],
     floor: float = HEAVY_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """`light` on the ordinary groups, `heavy` on the heavy ones; the same rows come out either way.
 
-    The table is written once, and its rows are counted as they are written: what is behind it runs a single time. Only
-    a table of more rows than the floor can hold a heavy key, and only then are the keys, and nothing else, read back.
+    `sizes` is a cheaper table with some of the keys and at least as many rows of each, such as the written table that
+    `df` is made from: with it, what is behind `df` runs a single time, unless a key is heavy and `sizes` lacks others.
+    Only a table of more rows than the floor can hold a heavy key, so that a small one costs a look at row counts.
     """
-    df, rows = counted_cut(df)
-    found = heavy_keys(df, keys, floor=floor) if rows > floor else None
+    bound = df if sizes is None else sizes
+    known = [k for k in keys if k in bound.columns]
+    found = heavy_keys(bound.select(*known), known, floor=floor) if bound.select(*known).count() > floor else None
+    if found is not None and known != keys:
+        found = heavy_keys(df.select(*keys), keys, floor=floor)
     if found is None:
         return light(df)
     found = F.broadcast(found.drop("weight"))
@@ -106,7 +111,10 @@ def running(
     return joined.select(*df.columns, *added)
 
 
-def number_rows(df: DataFrame, group: str, order: list[str], name: str = "seq", floor: float = HEAVY_ROWS, span: int = HEAVY_ROWS) -> DataFrame:
+def number_rows(
+    df: DataFrame, group: str, order: list[str], name: str = "seq", floor: float = HEAVY_ROWS,
+    span: int = HEAVY_ROWS, sizes: DataFrame | None = None,
+) -> DataFrame:
     """1-based position of each row in its group, by `order`, NULLs last.
 
     Ordinary groups use one window; heavy ones are numbered in ranges, so that no task holds one.
@@ -119,11 +127,12 @@ def number_rows(df: DataFrame, group: str, order: list[str], name: str = "seq",
     def heavy(part: DataFrame) -> DataFrame:
         return running(part, [group], by, number=name, span=span)
 
-    return by_weight(df, [group], light, heavy, floor)
+    return by_weight(df, [group], light, heavy, floor, sizes)
 
 
 def lag_in_group(
-    df: DataFrame, group: list[str], seq: str, value: str, name: str, floor: float = HEAVY_ROWS, span: int = 100_000
+    df: DataFrame, group: list[str], seq: str, value: str, name: str, floor: float = HEAVY_ROWS, span: int = 100_000,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Value of the previous row in the group by `seq`, NULL for the first.
 
@@ -146,4 +155,4 @@ def lag_in_group(
         previous = F.when(F.col("_at") == 1, F.col("_carry.v")).otherwise(F.col("_lag"))
         return rows.withColumn(name, previous).select(*part.columns, name)
 
-    return by_weight(df, group, light, heavy, floor)
+    return by_weight(df, group, light, heavy, floor, sizes)

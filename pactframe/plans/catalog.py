@@ -13,6 +13,7 @@ from pactframe.operators import requests as ask
 from pactframe.operators import responses as answers
 from pactframe.operators import results, terms
 from pactframe.plans import views
+from pactframe.session import cut
 from pactframe.sources import files, store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -276,13 +277,13 @@ def _split_products(spark, sf):
 @query
 def consolidate(spark, sf):
     cpcg, av = _split_products(spark, sf)
-    rows = merge.consolidate(cpcg, av)
+    rows = merge.consolidate(cpcg, av, sizes=views.product_affairs(spark, sf))
     return rows.select("affair_id", "request_id", "pos", "is_av", _iso(F.col("signature_date")).alias("signature_date"), "seq")
 
 
 @query
 def sequence_products(spark, sf):
-    return merge.sequence_products(views.products(spark, sf)).select("affair_id", "request_id", "pos", "seq")
+    return merge.sequence_products(views.products(spark, sf), sizes=views.product_affairs(spark, sf)).select("affair_id", "request_id", "pos", "seq")
 
 
 @query
@@ -292,12 +293,14 @@ def avenant_coverage(spark, sf):
 
 @query
 def amendment_delta(spark, sf):
-    return amend.amendment_delta(amend.with_product_key(merge.sequence_products(views.products(spark, sf)), 0.3))
+    rows = cut(views.products(spark, sf).select(*amend.COMPARED))
+    sequenced = merge.sequence_products(rows, sizes=rows)
+    return amend.amendment_delta(amend.with_product_key(sequenced, 0.3), sizes=rows)
 
 
 @query
 def match_by_description(spark, sf):
-    rows = views.products(spark, sf)
+    rows = cut(views.products(spark, sf).select("affair_id", "is_av", "product_name"))
     return amend.match_by_description(rows.filter(~F.col("is_av")), rows.filter("is_av"), 0.3)
 
 
@@ -309,7 +312,7 @@ def resolve_terms(spark, sf):
 
 @query
 def pack_results(spark, sf):
-    packed = results.pack_results(merge.consolidate_flagged(views.products(spark, sf)))
+    packed = results.pack_results(merge.consolidate_flagged(views.products(spark, sf), sizes=views.product_affairs(spark, sf)))
     names = F.array_join(F.transform("rows", lambda r: r["product_name"]), "|")
     codes = F.array_join(F.transform("rows", lambda r: F.coalesce(r["product_code"], F.lit("null"))), "|")
     return packed.select("id", "part", "first_seq", F.size("rows").alias("n_rows"), names.alias("names"), codes.alias("codes"))
@@ -317,7 +320,7 @@ def pack_results(spark, sf):
 
 @query
 def unpack_results(spark, sf):
-    packed = results.pack_results(merge.consolidate_flagged(views.products(spark, sf)))
+    packed = results.pack_results(merge.consolidate_flagged(views.products(spark, sf), sizes=views.product_affairs(spark, sf)))
     return results.unpack_results(packed).select(
         "affair_id", "seq", "product_name", "product_code", F.round("loyer", 2).alias("loyer"), "avenant_number", "one_shot_service"
     )
@@ -327,10 +330,11 @@ def unpack_results(spark, sf):
 def upsert_results(spark, sf):
     """Affairs with amendments get new records; the others keep theirs. Which those are is known from the incoming rows."""
     rows = views.products(spark, sf)
-    before = results.pack_results(merge.consolidate_flagged(rows.filter(~F.col("is_av"))))
+    sizes = views.product_affairs(spark, sf)
+    before = results.pack_results(merge.consolidate_flagged(rows.filter(~F.col("is_av")), sizes=sizes))
     lines = views.table(spark, sf, "lineitem").filter("l_linenumber > 4")
     touched = lines.select(F.col("l_orderkey").cast("string").alias("id")).distinct()
-    again = merge.consolidate_flagged(rows.join(touched.withColumnRenamed("id", "affair_id"), "affair_id", "left_semi"))
+    again = merge.consolidate_flagged(rows.join(touched.withColumnRenamed("id", "affair_id"), "affair_id", "left_semi"), sizes=sizes)
     return results.upsert_results(before, results.pack_results(again), touched).select("id", "part", F.size("rows").alias("n_rows"))
 
 
@@ -342,7 +346,7 @@ RENTS = ["price_unitaire", "loyer", "billing_frequency", "loyer_periodicity"]
 
 @query
 def clean_rents(spark, sf):
-    return pricing.clean_rents(views.products(spark, sf)).select("affair_id", "request_id", "pos", *RENTS)
+    return pricing.clean_rents(views.products(spark, sf), sizes=views.product_affairs(spark, sf)).select("affair_id", "request_id", "pos", *RENTS)
 
 
 @query

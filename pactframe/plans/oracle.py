@@ -32,7 +32,8 @@ VIEWS = {
           CASE WHEN l_linenumber <= 4 THEN strftime(o_orderdate, '%Y-%m-%d') END AS signature_date_cp,
           CASE WHEN l_linenumber > 4 THEN strftime(l_shipdate, '%d/%m/%Y') END AS signature_date_av,
           CASE WHEN l_linenumber > 4 THEN l_linenumber - 4 END AS avenant_number,
-          CASE WHEN l_tax = 0 THEN NULL ELSE p_type END AS product_code, p_name AS product_name,
+          CASE WHEN l_tax = 0 THEN NULL ELSE p_type END AS product_code,
+          CASE l_linenumber WHEN 6 THEN p_name || 's' WHEN 7 THEN p_name[1:1] || p_name[3:] ELSE p_name END AS product_name,
           CASE WHEN l_partkey % 7 <> 0 THEN 12 * (1 + l_partkey % 5) END AS duree_mois,
           CASE WHEN l_partkey % 77 = 0 THEN '99999999999 mois' WHEN l_partkey % 7 <> 0 THEN (12 * (1 + l_partkey % 5)) || ' mois' END AS duree_de_service,
           CASE WHEN l_suppkey % 2 <> 0 THEN NULL ELSE '+ prorata de la période en cours' END AS duree_de_service_notes,
@@ -358,10 +359,17 @@ WORDS = r"list_distinct(list_filter(regexp_split_to_array({c}, '[^\p{{L}}\p{{N}}
 BEST = f"""
 , known AS (SELECT DISTINCT affair_id, lower(product_name) AS cp_desc FROM products_v WHERE NOT is_av),
 wanted AS (SELECT DISTINCT affair_id, lower(product_name) AS av_desc FROM products_v WHERE is_av@),
+known_words AS (SELECT DISTINCT affair_id, unnest({WORDS.format(c='cp_desc')}) AS word FROM known),
+wanted_words AS (SELECT affair_id, av_desc, unnest({WORDS.format(c='av_desc')}) AS word FROM wanted),
+spelled AS (SELECT w.affair_id, w.word, k.word AS near FROM (SELECT DISTINCT affair_id, word FROM wanted_words) w JOIN known_words k USING (affair_id)
+  WHERE levenshtein(w.word, k.word) <= CASE WHEN regexp_matches(w.word || k.word, '[0-9]') THEN 0
+    WHEN least(length(w.word), length(k.word)) >= 8 THEN 2 WHEN least(length(w.word), length(k.word)) >= 4 THEN 1 ELSE 0 END
+  QUALIFY row_number() OVER (PARTITION BY w.affair_id, w.word ORDER BY levenshtein(w.word, k.word), k.word) = 1),
+told AS (SELECT affair_id, av_desc, list_distinct(list(coalesce(near, word))) AS words
+  FROM wanted_words LEFT JOIN spelled USING (affair_id, word) GROUP BY affair_id, av_desc),
 near AS (SELECT affair_id, av_desc, cp_desc, CASE WHEN av_desc = cp_desc THEN 1.0::DOUBLE ELSE
-    len(list_intersect({WORDS.format(c='av_desc')}, {WORDS.format(c='cp_desc')}))
-    / len(list_distinct(list_concat({WORDS.format(c='av_desc')}, {WORDS.format(c='cp_desc')})))::DOUBLE END AS likeness
-  FROM known JOIN wanted USING (affair_id)),
+    len(list_intersect(words, {WORDS.format(c='cp_desc')})) / len(list_distinct(list_concat(words, {WORDS.format(c='cp_desc')})))::DOUBLE END AS likeness
+  FROM known JOIN wanted USING (affair_id) JOIN told USING (affair_id, av_desc)),
 best AS (SELECT * FROM near WHERE likeness >= 0.3::DOUBLE
   QUALIFY row_number() OVER (PARTITION BY affair_id, av_desc ORDER BY av_desc = cp_desc DESC, likeness DESC, cp_desc) = 1)"""
 

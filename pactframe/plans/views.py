@@ -68,7 +68,8 @@ PRODUCT_VALUES = {
     "signature_date_av": "if(l_linenumber > 4, date_format(l_shipdate, 'dd/MM/yyyy'), null)",
     "avenant_number": "if(l_linenumber > 4, l_linenumber - 4, null)",
     "product_code": "if(l_tax = 0, null, p_type)",
-    "product_name": "p_name",
+    # amendments write some names in the plural, and some with a letter left out
+    "product_name": "case when l_linenumber = 6 then concat(p_name, 's') when l_linenumber = 7 then concat(left(p_name, 1), substr(p_name, 3)) else p_name end",
     "duree_de_service": "case when l_partkey % 77 = 0 then '99999999999 mois' when l_partkey % 7 = 0 then null"
     " else concat(12 * (1 + l_partkey % 5), ' mois') end",
     "duree_de_service_notes": "if(l_suppkey % 2 = 0, '+ prorata de la période en cours', null)",
@@ -129,6 +130,11 @@ def products(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("affair_id", "request_id", "pos", "is_av", *[value(f.name, f.dataType) for f in PRODUCT.fields])
 
 
+def product_affairs(spark: SparkSession, sf: str) -> DataFrame:
+    """The affair of each row that `products` is made from: one column, read without joins."""
+    return table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("affair_id"))
+
+
 def cg_terms(spark: SparkSession, sf: str) -> DataFrame:
     """General terms by order, from its customer; every sixth order has none."""
     orders = table(spark, sf, "orders").filter("o_orderkey % 6 <> 0")
