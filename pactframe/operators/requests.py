@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pactframe.functions.text import strip
@@ -21,6 +23,10 @@ from pactframe.schemas import (
     SOUSCRIPTION_HEADER,
     TASK_LABEL,
 )
+from pactframe.session import checkpoint_dir
+
+#: Requests of one task between two writes of answers.
+PER_TASK = 16
 
 
 def messages(content: Column, question: str, prompt: str) -> Column:
@@ -83,6 +89,46 @@ def apply_extractor(
     return requests.select("request_id", "messages").repartition(parallelism).mapInPandas(run, RESPONSES)
 
 
+def is_error() -> Column:
+    """Whether an answer only says that the request failed."""
+    return F.startswith(F.coalesce("finish_reason", F.lit("")), F.lit("error: "))
+
+
+def logged_answers(spark: SparkSession, log: str) -> DataFrame:
+    """The answer of each request in a log: one row each, a real answer before an error. An absent log is empty."""
+    try:
+        rows = spark.read.schema(RESPONSES).parquet(log)
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], RESPONSES)
+    best = F.max_by(F.struct(*RESPONSES.fieldNames()), F.struct((~is_error()).alias("real"), "total_tokens", "arguments"))
+    return rows.groupBy("request_id").agg(best.alias("best")).select("best.*")
+
+
+def answer_requests(
+    requests: DataFrame, connect: Callable[[], Callable[[list[dict]], dict]], parallelism: int, log: str, per_task: int = PER_TASK
+) -> DataFrame:
+    """Answers to all requests, written to `log` as they come in: a run that was broken off goes on where it stopped.
+
+    Requests whose answer is in the log are not sent again; those that failed are. The others are sent in waves of
+    `per_task` requests for each of `parallelism` tasks, and each wave is added to the log before the next begins, so that
+    a lost task or driver costs the answers of one wave at most, whatever the number of requests.
+    """
+    spark = requests.sparkSession
+    known = logged_answers(spark, log).filter(~is_error()).select("request_id")
+    waiting = requests.select("request_id", "messages").join(known, "request_id", "left_anti")
+    waves = -(-waiting.select("request_id").count() // (parallelism * per_task))
+    if waves:
+        staged = f"{checkpoint_dir(spark).rstrip('/')}/requests-{uuid.uuid4().hex}"
+        wave = F.pmod(F.xxhash64("request_id"), F.lit(waves)).cast("int")
+        waiting.withColumn("wave", wave).write.partitionBy("wave").parquet(staged)
+        for k in range(waves):
+            asked = spark.read.parquet(staged).filter(F.col("wave") == k)
+            apply_extractor(asked, connect, parallelism).write.mode("append").parquet(log)
+    return logged_answers(spark, log).join(requests.select("request_id").distinct(), "request_id", "left_semi")
+
+
 def attach_responses(requests: DataFrame, responses: DataFrame) -> DataFrame:
     """Every request with its answer, if any."""
     return requests.join(responses, "request_id", "left")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -22,7 +23,7 @@ from pactframe.operators.documents import (
 from pactframe.operators.lines import rule_extract
 from pactframe.operators.pricing import apply_null_rules, clean_rents, contract_end, derive_rents
 from pactframe.operators.requests import (
-    apply_extractor,
+    answer_requests,
     attach_responses,
     avenant_requests,
     cgcp_requests,
@@ -33,7 +34,7 @@ from pactframe.operators.results import pack_results
 from pactframe.operators.skew import number_rows
 from pactframe.operators.terms import contract_terms
 from pactframe.schemas import PRODUCT_COLUMNS
-from pactframe.session import cut
+from pactframe.session import checkpoint_dir, cut
 from pactframe.sinks import export_products, write_documents_text
 from pactframe.sources.files import (
     apply_analyzer,
@@ -44,6 +45,7 @@ from pactframe.sources.files import (
     select_affairs,
 )
 from pactframe.sources.store import append_batch, latest_per_key
+from pactframe.streaming.ingest import TRIES
 
 
 @dataclass
@@ -83,9 +85,11 @@ class Extracted:
     unknown: DataFrame
 
 
-def extract(requests: DataFrame, connect: Callable, parallelism: int) -> Extracted:
-    """Requests to rectified product rows, answers checkpointed so that none is paid for twice."""
-    answers = cut(apply_extractor(requests, connect, parallelism))
+def extract(requests: DataFrame, connect: Callable, parallelism: int, log: str | None = None) -> Extracted:
+    """Requests to rectified product rows. Answers are written as they come: a run with the same `log` pays for none twice."""
+    requests = cut(requests)  # read by several steps, and made from all texts
+    log = log or f"{checkpoint_dir(requests.sparkSession).rstrip('/')}/answers-{uuid.uuid4().hex}"
+    answers = answer_requests(requests, connect, parallelism, log)
     keys = requests.select("request_id", "affair_id", "doc_class")
     known = attach_responses(keys, answers)
     products = parse_responses(known)
@@ -194,14 +198,18 @@ def run(
     avenant_question: str = "",
     prompt: str = "",
     include_avenants: bool = True,
-    parallelism: int = 64,
+    parallelism: int | None = None,
+    log: str | None = None,
     kinds: list[str] | None = None,
 ) -> Outcome:
     """Documents and affairs to the priced table and packed results of every affair.
 
-    Without `connect` the rows come from the line rules. Only affairs whose split
-    holds are extracted; the report names the others.
+    Without `connect` the rows come from the line rules. With it, `parallelism` says how many
+    requests the service takes at once, and `log` keeps the answers for a later run. Only affairs
+    whose split holds are extracted; the report names the others.
     """
+    if connect is not None and parallelism is None:
+        raise ValueError("parallelism: how many requests the service takes at once")
     classified = prepare(docs, affairs, kinds)
     report = split_report(classified)
     sound = classified.join(report.filter("ok").select("affair_id"), "affair_id", "left_semi")
@@ -212,7 +220,7 @@ def run(
         requests = cgcp_requests(sound, question, prompt)
         if include_avenants:
             requests = requests.unionByName(avenant_requests(sound, avenant_question, prompt))
-        extracted = extract(requests, connect, parallelism)
+        extracted = extract(requests, connect, parallelism, log)
         rows = extracted.products
     cpcg = rows.filter("doc_class = 'CGCP'").drop("doc_class")
     av = rows.filter("doc_class = 'AV'").drop("doc_class") if include_avenants else None
@@ -240,6 +248,7 @@ def saved_results(spark: SparkSession, results: str) -> DataFrame:
 def save_ingested(got: Ingested, store: str, batch: int, texts: str | None = None) -> None:
     """Upsert the documents as a batch of `store`, the quarantine beside it, and a text file per document."""
     append_batch(latest_per_key(got.documents, ["id"], ["file_path"]), store, batch)
-    append_batch(got.quarantine, f"{store.rstrip('/')}-quarantine", batch)
+    tried = F.when(F.col("error") == "short path", TRIES).otherwise(1).cast("int")  # a short path is not worth another try
+    append_batch(got.quarantine.withColumn("attempts", tried), f"{store.rstrip('/')}-quarantine", batch)
     if texts:
         write_documents_text(got.documents, texts)

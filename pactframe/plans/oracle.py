@@ -396,13 +396,15 @@ SELECT affair_id, product_key, seq, avenant_number, basis, old_cost, new_cost, n
 FROM costs""")
 
 twin("resolve_terms", [], """
-WITH general AS (SELECT o_orderkey AS gk, c_custkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 6 <> 0),
-lowest AS (SELECT o_orderkey AS pk, o_orderstatus AS st, o_orderpriority AS pr FROM orders WHERE o_orderkey % 7 <> 0),
+WITH general AS (SELECT CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN -o_orderkey ELSE o_orderkey END AS gk, c_custkey, c_mktsegment, o_orderpriority AS gp
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+special AS (SELECT o_orderkey AS pk, o_orderstatus AS st, o_orderpriority AS pr FROM orders),
 sides AS (SELECT coalesce(gk, pk) AS affair_id,
   CASE c_mktsegment WHEN 'BUILDING' THEN 'USD' WHEN 'MACHINERY' THEN NULL ELSE CASE WHEN c_custkey IS NOT NULL THEN 'EUR' END END AS g1,
-  c_mktsegment IN ('AUTOMOBILE', 'BUILDING') AS g2, CASE WHEN c_mktsegment = 'FURNITURE' THEN 'Annuelle' WHEN c_custkey IS NOT NULL THEN 'Mensuelle' END AS g3,
+  CASE WHEN gp <> '3-MEDIUM' THEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') END AS g2,
+  CASE WHEN c_mktsegment = 'FURNITURE' THEN 'Annuelle' WHEN c_custkey IS NOT NULL THEN 'Mensuelle' END AS g3,
   CASE WHEN st <> 'O' THEN 'GBP' END AS p1, CASE WHEN st <> 'O' THEN st = 'P' END AS p2, CASE WHEN pr <> '5-LOW' THEN 'Trimestrielle' END AS p3
-  FROM general FULL JOIN lowest ON gk = pk)
+  FROM general FULL JOIN special ON gk = pk)
 SELECT affair_id, coalesce(p1, g1) AS devise_de_facturation, CASE WHEN p1 IS NOT NULL THEN 'CP' WHEN g1 IS NOT NULL THEN 'CG' END AS devise_de_facturation_source,
   coalesce(p2, g2) AS reconduction_tacite, CASE WHEN p2 IS NOT NULL THEN 'CP' WHEN g2 IS NOT NULL THEN 'CG' END AS reconduction_tacite_source,
   coalesce(p3, g3) AS billing_frequency, CASE WHEN p3 IS NOT NULL THEN 'CP' WHEN g3 IS NOT NULL THEN 'CG' END AS billing_frequency_source

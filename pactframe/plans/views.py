@@ -136,19 +136,20 @@ def product_affairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cg_terms(spark: SparkSession, sf: str) -> DataFrame:
-    """General terms by order, from its customer; every sixth order has none."""
-    orders = table(spark, sf, "orders").filter("o_orderkey % 6 <> 0")
-    return orders.join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("o_orderkey").alias("affair_id"),
+    """General terms by order, from its customer. Those of household customers are filed under keys of their own, so that
+    either side has keys that the other lacks."""
+    orders = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return orders.select(
+        F.expr("if(c_mktsegment = 'HOUSEHOLD', -o_orderkey, o_orderkey)").alias("affair_id"),
         F.expr("case c_mktsegment when 'BUILDING' then 'USD' when 'MACHINERY' then null else 'EUR' end").alias("devise_de_facturation"),
-        F.expr("c_mktsegment in ('AUTOMOBILE', 'BUILDING')").alias("reconduction_tacite"),
+        F.expr("if(o_orderpriority = '3-MEDIUM', null, c_mktsegment in ('AUTOMOBILE', 'BUILDING'))").alias("reconduction_tacite"),
         F.expr("if(c_mktsegment = 'FURNITURE', 'Annuelle', 'Mensuelle')").alias("billing_frequency"),
     )
 
 
 def cp_terms(spark: SparkSession, sf: str) -> DataFrame:
-    """Specific terms by order; every seventh order has none."""
-    return table(spark, sf, "orders").filter("o_orderkey % 7 <> 0").select(
+    """Specific terms by order, some of them not stated."""
+    return table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("affair_id"),
         F.expr("if(o_orderstatus = 'O', null, 'GBP')").alias("devise_de_facturation"),
         F.expr("if(o_orderstatus = 'O', null, o_orderstatus = 'P')").alias("reconduction_tacite"),

@@ -40,10 +40,8 @@ def upsert_by_key(existing: DataFrame | None, incoming: DataFrame, keys: list[st
 
 
 def append_batch(df: DataFrame, root: str, batch: int) -> None:
-    """Write one batch; writing it again replaces it."""
-    df.withColumn("batch", F.lit(batch).cast("long")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("batch").parquet(root)
+    """Write one batch into a folder of its own; writing it again replaces it, also by nothing."""
+    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch={int(batch)}")
 
 
 def current(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:

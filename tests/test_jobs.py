@@ -2,6 +2,7 @@
 
 import json
 import os
+import uuid
 import sys
 
 import pytest
@@ -77,6 +78,78 @@ def test_stream_then_replay(spark, contracts, tmp_path):
     assert store.current(spark, str(tmp_path / "compacted"), ["id"]).count() == 5
 
 
+def test_a_file_that_fails_once_comes_through_and_one_that_always_fails_is_parked(spark, tmp_path):
+    """Each epoch brings one new file; failed ones are offered again, three times in all."""
+    root, calls = tmp_path / "blobs" / "M" / "acme" / "deal", tmp_path / "calls"
+    root.mkdir(parents=True)
+    calls.mkdir()
+
+    def shaky(path, content):
+        name = os.path.basename(path)
+        n = len([f for f in os.listdir(calls) if f.startswith(name)])
+        (calls / f"{name}-{n}").touch()
+        if "always" in name or ("once" in name and n == 0):
+            raise TimeoutError("slow")
+        return {"content": content.decode(), "languages": ["fr"], "page_count": 1}
+
+    where = str(tmp_path / "store")
+    for epoch, names in enumerate((["once.pdf", "always.pdf", "good.pdf"], ["b.pdf"], ["c.pdf"], ["d.pdf"], ["e.pdf"])):
+        for name in names:
+            (root / name).write_text(name)
+        query = stream_documents(spark, str(tmp_path / "blobs"), where, str(tmp_path / "cp"), shaky)
+        query.awaitTermination(120)
+        assert query.exception() is None
+        if epoch == 0:
+            assert {r.title for r in store.current(spark, where, ["id"]).collect()} == {"good.pdf"}
+    assert {r.title for r in store.current(spark, where, ["id"]).collect()} == {"once.pdf", "good.pdf", "b.pdf", "c.pdf", "d.pdf", "e.pdf"}
+    latest = {os.path.basename(r.path): (r.error, r.attempts) for r in store.current(spark, f"{where}-quarantine", ["path"]).collect()}
+    assert latest == {"once.pdf": (None, 2), "always.pdf": ("TimeoutError: slow", 3)}
+    assert sorted(f.rsplit("-", 1)[0] for f in os.listdir(calls)).count("always.pdf") == 3
+
+
+def test_an_empty_batch_replaces_too(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1)], "id string, v int")
+    store.append_batch(df, str(tmp_path / "s"), 1)
+    store.append_batch(df.withColumn("id", F.lit("b")), str(tmp_path / "s"), 2)
+    store.append_batch(df.limit(0), str(tmp_path / "s"), 1)
+    assert [(r.id, r.v) for r in store.current(spark, str(tmp_path / "s"), ["id"]).collect()] == [("b", 1)]
+
+
+def test_no_answer_is_paid_for_twice(spark, tmp_path):
+    """A task dies in the third wave: the next run sends only what the log lacks, and failed requests again."""
+    sent, log = tmp_path / "sent", str(tmp_path / "log")
+    sent.mkdir()
+
+    def connect(die_at, fail):
+        def start():
+            def reply(messages):
+                name = messages[0]["content"]
+                (sent / f"{name}-{uuid.uuid4().hex}").touch()
+                if len(os.listdir(sent)) == die_at:
+                    os._exit(1)
+                if fail and name == "r7":
+                    raise TimeoutError("slow")
+                return {"arguments": f'{{"products":["{name}"]}}', "finish_reason": "tool_calls", "prompt_tokens": 1, "completion_tokens": 1}
+
+            return reply
+
+        return start
+
+    ddl = "request_id string, messages array<struct<role:string,content:string>>"
+    asked = spark.createDataFrame([(f"r{k}", [("user", f"r{k}")]) for k in range(40)], ddl)
+    with pytest.raises(Exception, match="(?i)worker|python|abort"):
+        requests.answer_requests(asked, connect(21, False), 2, log, per_task=4).count()
+    kept = {r.request_id for r in requests.logged_answers(spark, log).collect()}
+    assert 0 < len(kept) < 40
+    first = requests.answer_requests(asked, connect(0, True), 2, log, per_task=4)
+    assert {r.request_id for r in first.filter(requests.is_error()).collect()} <= {"r7"}
+    again = requests.answer_requests(asked, connect(0, False), 2, log, per_task=4).collect()
+    assert sorted(r.request_id for r in again) == sorted(f"r{k}" for k in range(40))
+    assert all(r.finish_reason == "tool_calls" and r.request_id in r.arguments for r in again)
+    times = [f.split("-")[0] for f in os.listdir(sent)]
+    assert all(times.count(r) == 1 for r in kept)
+
+
 def test_upsert_twice_is_once(spark):
     old = spark.createDataFrame([("a", 1, "x"), ("b", 1, "x")], "id string, v int, t string")
     new = spark.createDataFrame([("b", 2, "y"), ("b", 3, "z"), ("c", 2, "n")], "id string, v int, t string")
