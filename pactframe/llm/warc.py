@@ -41,6 +41,8 @@ SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+#: More tasks than this are not worth their start; each then reads several bundles.
+MOST_TASKS = 100_000
 INDEX = "page_id long, bundle string, frame int, offset long, length long"
 RECORD = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
 
@@ -210,8 +212,15 @@ def to_batch(found: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)], names)
 
 
+def dealt_bundles(rows: DataFrame, index: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by `keys` to as many tasks as the index has bundles: names are few bytes, what they name is not, so that
+    the number of tasks must not follow the size of these rows."""
+    n = index.select("bundle").distinct().count()
+    return rows.repartition(max(1, min(n, MOST_TASKS)), *keys)
+
+
 def read_bundles(index: DataFrame, folder: str) -> DataFrame:
-    """Every record of every bundle named in the index: one task per bundle, one frame in memory at a time."""
+    """Every record of every bundle named in the index: about a task per bundle, one frame in memory at a time."""
     uri = as_uri(folder)
     bundles = index.select("bundle").distinct()
 
@@ -222,7 +231,7 @@ def read_bundles(index: DataFrame, folder: str) -> DataFrame:
                     if found := list(parse_records(data)):
                         yield to_batch(found)
 
-    return bundles.repartition("bundle").mapInArrow(read, RECORD)
+    return dealt_bundles(bundles, index, "bundle").mapInArrow(read, RECORD)
 
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
@@ -237,7 +246,7 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                     cut = b"".join(data[s["offset"] : s["offset"] + s["length"]] for s in spots)
                     yield to_batch(list(parse_records(cut)))
 
-    return frames.mapInArrow(read, RECORD)
+    return dealt_bundles(frames, index, "bundle", "frame").mapInArrow(read, RECORD)
 
 
 def archive_round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:

@@ -68,3 +68,15 @@ def test_damage_is_noticed():
 
 def test_empty(spark):
     assert warc.archive_round_trip(spark, pages_of(spark, [])).collect() == []
+
+
+def test_reading_is_dealt_to_as_many_tasks_as_there_are_bundles(spark, tmp_path):
+    """Names are few bytes: adaptive execution would put them all into one task."""
+    pages = spark.createDataFrame([(k, f"http://h/{k}", "x" * 900 + str(k)) for k in range(60)], "page_id long, url string, html string")
+    index = warc.write_bundles(pages.repartition(6), str(tmp_path), bundle_bytes=2_000)
+    n = index.select("bundle").distinct().count()
+    assert n >= 12
+    for read in (warc.read_bundles, warc.read_records):
+        found = read(index, str(tmp_path))
+        assert found.rdd.getNumPartitions() == n
+        assert sorted(r.page_id for r in found.select("page_id").collect()) == list(range(60))
