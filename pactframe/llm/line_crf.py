@@ -4,7 +4,7 @@ Each line has counts of what it is made of, next to those of the line before and
 bad; forward-backward gives each line's marginal, and a document's quality is the mean of its lines' marginals for good,
 weighted by their lengths. The label of a document teaches all its lines.
 
-The fit takes a bounded sample: at most `SAMPLE_DOCS` labelled documents of at most `SAMPLE_BYTES` bytes, those with the
+The fit takes a bounded sample: at most `SAMPLE_DOCS` labelled documents of at most `SAMPLE_BYTES` bytes and `SAMPLE_LINES` lines, those with the
 smallest hashes of their ids. Scoring covers every document and whole texts; the chain runs over all documents of a batch
 side by side, so memory follows the batch.
 
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from pactframe.llm.common import fold, rows
 
-SAMPLE_DOCS, SAMPLE_BYTES = 3_000, 100_000
+#: A line is 192 bytes of features: the sample that the driver gets has at most 230 MB.
+SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_LINES = 3_000, 100_000, 400
 STEPS, RATE, DECAY = 150, 0.15, 1e-3
 
 # Byte classes that are counted in a line.
@@ -167,7 +168,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     """Fit on labelled documents outside the held-out fold (crc32 of the id modulo 3 is 1)."""
     known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = known.filter(fold(F.col("doc_id"), 3) != 1).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    sample = docs.select("doc_id", "text").filter(F.octet_length(F.coalesce("text", F.lit(""))) <= SAMPLE_BYTES)
+    text = F.coalesce("text", F.lit(""))
+    breaks = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+    sample = docs.select("doc_id", "text").filter((F.octet_length(text) <= SAMPLE_BYTES) & (breaks < SAMPLE_LINES))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows(batches):
@@ -176,7 +179,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
 
     met = sample.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("quality").cast("int"))
     kind = met.schema["doc_id"].dataType.simpleString()
-    got = met.mapInArrow(describe, f"doc_id {kind}, quality int, x binary").limit(sample_docs).collect()
+    got = met.mapInArrow(describe, f"doc_id {kind}, quality int, x binary").orderBy("doc_id", "x").limit(sample_docs).collect()
     got.sort(key=lambda r: (r.doc_id, bytes(r.x)))
     x = [np.frombuffer(r.x, np.float32).reshape(-1, N_FEATURES) for r in got]
     lengths = np.array([len(v) for v in x], np.int64)
