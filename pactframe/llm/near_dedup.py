@@ -298,4 +298,5 @@ def near_groups(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """Documents with all their columns, of each group the one with the smallest id; rows with equal ids stay together."""
     kept = near_groups(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+    rows = docs.select(F.struct("*").alias("doc"))  # columns of any name cannot clash
+    return rows.join(kept, F.col("doc.doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi").select("doc.*")

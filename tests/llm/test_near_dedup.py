@@ -118,3 +118,11 @@ def test_a_pair_that_meets_only_in_a_crowded_bucket(spark, frame, monkeypatch):
     classes = spark.createDataFrame(rows, "node long, rep long, n long, sketch binary")
     links = nd.class_links(frame(list(enumerate(texts))), classes).collect()
     assert {tuple(r) for r in links} == {tuple(sorted(nodes[:2]))}
+
+
+def test_keep_first_with_a_column_of_its_own_names(frame):
+    text = "one two three four five six seven eight"
+    docs = frame([(1, text), (2, text), (3, "other words here only five")]).selectExpr("*", "'x' AS kept_id", "'y' AS doc", "'z' AS node")
+    kept = nd.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
