@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +19,8 @@ from pactframe.schemas import (
     EXCLUDED_KINDS,
 )
 
-LITERAL_AFFAIRS = 1_000
+#: Up to so many affairs are tested one by one in an expression, and up to so many by one automaton in each task.
+LITERAL_AFFAIRS, AUTOMATON_AFFAIRS = 1_000, 100_000
 SLUG_LIMIT = 200
 MAX_CHARS = 64_000_000
 
@@ -73,23 +77,43 @@ def classify_documents(docs: DataFrame) -> DataFrame:
 def match_affairs(docs: DataFrame, affairs: DataFrame) -> DataFrame:
     """Each document once per affair its id mentions, adding `affair_id`.
 
-    A short affair list becomes literals tested in place, with no join at all. A
-    long one is matched by equality: ids (at most 200 characters) are cut into
-    their substrings of the lengths that occur among the affairs.
+    A short affair list becomes literals tested in place, a longer one an automaton that reads each
+    id once, whatever their number; neither shuffles anything, and texts do not leave the JVM. A list
+    beyond that is matched by equality: ids (at most 200 characters) are cut into their substrings of
+    the lengths that occur among the affairs.
     """
     docs = with_id_lc(docs).filter(F.endswith("id", F.lit(".pdf")))
     wanted = affairs.select(F.col("affair").alias("affair_id")).filter("affair_id <> ''").distinct()
-    if fits(wanted, LITERAL_AFFAIRS):
-        names = [r[0] for r in wanted.collect()]  # at most LITERAL_AFFAIRS
+    if fits(wanted, AUTOMATON_AFFAIRS):
+        names = sorted(tuple(r) for r in wanted.select("affair_id", F.lower("affair_id")).collect())  # at most AUTOMATON_AFFAIRS
         if not names:
             return docs.withColumn("affair_id", F.lit(None).cast("string")).filter(F.lit(False))
-        literals = F.array(*[F.lit(n) for n in sorted(names)])
+        if len(names) > LITERAL_AFFAIRS:
+            return docs.withColumn("affair_id", F.explode(mentioned(names)("id_lc")))
+        literals = F.array(*[F.lit(n) for n, _ in names])
         hits = F.filter(literals, lambda a: F.contains(F.col("id_lc"), F.lower(a)))
         return docs.withColumn("affair_id", F.explode(hits))
     pairs = affair_pairs(docs.select("id", "id_lc"), wanted)
     return docs.join(pairs, "id")
 
 
+def mentioned(names: list[tuple[str, str]]):
+    """A function of ids: the names, given with their lower-case forms, that an id in lower case holds, in order."""
+
+    @F.pandas_udf("array<string>")
+    def find(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick  # on executors only
+
+        machine = ahocorasick.Automaton()
+        for name, low in names:
+            machine.add_word(low, [*machine.get(low, []), name])
+        machine.make_automaton()
+        for ids in parts:
+            yield ids.map(lambda x: sorted({n for _, found in machine.iter(x or "") for n in found}))
+
+    return find
+
+
 def affair_pairs(ids: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, affair_id) by equality on substrings of the lengths that occur."""
     wanted = wanted.withColumn("piece", F.lower("affair_id"))
@@ -187,5 +211,5 @@ def avenant_texts(classified: DataFrame) -> DataFrame:
 
 __all__ = [
     "affair_pairs", "assert_split", "avenant_texts", "chars", "classify", "classify_documents",
-    "concat_contents", "docs_for_affair", "exclude_kinds", "match_affairs", "split_report", "with_parts",
+    "concat_contents", "docs_for_affair", "exclude_kinds", "match_affairs", "mentioned", "split_report", "with_parts",
 ]

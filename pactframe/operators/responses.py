@@ -17,6 +17,7 @@ from pactframe.schemas import (
     PRODUCT_COLUMNS,
     PRODUCT_KEYS,
 )
+from pactframe.session import cut
 
 BROKEN = "_broken"
 DERIVED_RENTS = ["loyer_facturation", "loyer_annuele"]
@@ -67,6 +68,39 @@ def parse_responses(responses: DataFrame, schema: T.StructType = PRODUCT) -> Dat
     )
 
 
+def nested_fields(responses: DataFrame) -> DataFrame:
+    """request_id, pos, name, value: every field of every product of the answers that parse, objects flattened to dotted
+    names, whatever keys they have. Lists and empty objects are kept as JSON text; a JSON null is a NULL value.
+
+    Objects are opened level by level; each level is written once, and as many are as the deepest answer has.
+    """
+    tvf = responses.sparkSession.tvf
+    parsed = responses.select("request_id", F.try_parse_json("arguments").alias("_answer"))
+    products = F.try_variant_get("_answer", "$.products", "variant")
+    rows = parsed.select("request_id", products.alias("_products")).lateralJoin(tvf.variant_explode(F.col("_products").outer()))
+    level = rows.select("request_id", "pos", F.lit(None).cast("string").alias("name"), F.col("value").alias("_value"))
+    found = []
+    while True:
+        opened = level.lateralJoin(tvf.variant_explode(F.col("_value").outer()).select(F.col("key"), F.col("value").alias("_inner")))
+        kind = F.schema_of_variant("_inner")
+        opened = opened.select(
+            "request_id", "pos", F.concat_ws(".", "name", "key").alias("name"), F.col("_inner").alias("_value"),
+            (F.startswith(kind, F.lit("OBJECT<")) & (kind != "OBJECT<>")).alias("_open"),
+            F.startswith(kind, F.lit("ARRAY")).alias("_list"),
+        )
+        held = cut(opened)
+        text = F.when(F.col("_list"), F.to_json("_value")).otherwise(F.coalesce(F.try_variant_get("_value", "$", "string"), F.nullif(F.to_json("_value"), F.lit("null"))))
+        found.append(held.filter(~F.col("_open")).select("request_id", F.col("pos").cast("int").alias("pos"), "name", text.alias("value")))
+        level = held.filter("_open").select("request_id", "pos", "name", "_value")
+        if level.limit(1).count() == 0:
+            return reduce(DataFrame.unionByName, found)
+
+
+def nested_schema(fields: DataFrame) -> DataFrame:
+    """The columns a table of these answers would have: name, products that have it, products where it is not NULL."""
+    return fields.groupBy("name").agg(F.count(F.lit(1)).alias("n_products"), F.count("value").alias("n_values"))
+
+
 def _objects(responses: DataFrame, schema: T.StructType) -> DataFrame:
     """request_id, pos, `_typed` and `_given` (the same product as a map of texts) of the usable answers."""
     loose = F.from_json("arguments", "products ARRAY<MAP<STRING, STRING>>")["products"]

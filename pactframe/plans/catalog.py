@@ -208,6 +208,16 @@ def parse_responses(spark, sf):
     )
 
 
+@query
+def nested_fields(spark, sf):
+    return answers.nested_fields(views.nested_answers(spark, sf))
+
+
+@query
+def nested_schema(spark, sf):
+    return answers.nested_schema(answers.nested_fields(views.nested_answers(spark, sf)))
+
+
 @query
 def unknown_keys(spark, sf):
     return answers.unknown_keys(views.responses(spark, sf))
@@ -562,6 +572,13 @@ def total_alignment(spark, sf):
     return found.select("affair_id", "n_recaps", F.col("lines_total").cast("double").alias("lines_total"), F.col("gap").cast("double").alias("gap"), "aligned")
 
 
+@query
+def section_totals(spark, sf):
+    found = audit.section_totals(read.priced_lines(views.lines(spark, sf)))
+    money = [F.col(c).cast("double").alias(c) for c in ("printed", "expected", "gap")]
+    return found.select("affair_id", "id", "line_no", "amount_no", "level", *money, "aligned")
+
+
 @query
 def value_conflicts(spark, sf):
     return audit.value_conflicts(views.products(spark, sf))

@@ -296,6 +296,22 @@ SELECT request_id, affair_id, CAST(0 AS INT) AS pos, event_type AS product_name,
   CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS DOUBLE) AS quantity, CAST(NULL AS DOUBLE) AS loyer
 FROM answers_v WHERE status = 'ok'""")
 
+NESTED = """
+WITH said AS (SELECT CAST(event_id AS VARCHAR) AS request_id, * FROM events WHERE event_type <> 'error' AND event_id % 97 <> 0),
+fields AS (
+  SELECT request_id, CAST(0 AS INT) AS pos, 'product_name' AS name, event_type AS value FROM said
+  UNION ALL SELECT request_id, 0, 'price.unit', CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) FROM said
+  UNION ALL SELECT request_id, 0, 'price.per.period', 'Mensuelle' FROM said
+  UNION ALL SELECT request_id, 0, 'price.per.count', NULL FROM said
+  UNION ALL SELECT request_id, 0, 'meta.k', regexp_extract(props, '"k": *([0-9]+)', 1) FROM said
+  UNION ALL SELECT request_id, 0, 'tags', '["a",{"b":1}]' FROM said
+  UNION ALL SELECT request_id, 0, 'none', '{}' FROM said
+  UNION ALL SELECT request_id, 0, 'remise.rate', '0.5' FROM said WHERE event_id % 89 = 0
+  UNION ALL SELECT request_id, 1, 'product_name', 'second' FROM said)
+"""
+twin("nested_fields", [], NESTED + "SELECT request_id, pos, name, value FROM fields")
+twin("nested_schema", [], NESTED + "SELECT name, count(*) AS n_products, count(value) AS n_values FROM fields GROUP BY name")
+
 twin("unknown_keys", ["answers_v"], "SELECT request_id, CAST(0 AS INT) AS pos, 'remise' AS key FROM answers_v WHERE event_id % 89 = 0 AND status = 'ok'")
 
 twin("coercion_losses", ["answers_v"], """
@@ -573,6 +589,13 @@ twin("total_alignment", ["amounts_v"], """
 s AS (SELECT affair_id, coalesce(sum(c) FILTER (NOT is_recap), 0) AS total, count(*) FILTER (is_recap) AS n_recaps FROM a GROUP BY affair_id)
 SELECT affair_id, n_recaps, CAST(total AS DOUBLE) / 100 AS lines_total, CAST(min(abs(c - total)) AS DOUBLE) / 100 AS gap, min(abs(c - total)) <= 1 AS aligned
 FROM s JOIN a USING (affair_id) WHERE a.is_recap GROUP BY affair_id, n_recaps, total""")
+twin("section_totals", ["amounts_v"], """
+, o AS (SELECT *, CAST(round(amount * 100) AS BIGINT) AS c FROM amounts_v),
+u AS (SELECT *, sum(CASE WHEN is_recap THEN 0 ELSE c END) OVER w AS upto, row_number() OVER w AS place FROM o
+  WINDOW w AS (PARTITION BY affair_id ORDER BY id, line_no, amount_no, is_recap, c ROWS UNBOUNDED PRECEDING)),
+r AS (SELECT *, CAST(upto - coalesce(lag(upto) OVER (PARTITION BY affair_id ORDER BY place), 0) AS BIGINT) AS want FROM u WHERE is_recap)
+SELECT affair_id, id, line_no, amount_no, 'total' AS level, CAST(c AS DOUBLE) / 100 AS printed, CAST(want AS DOUBLE) / 100 AS expected,
+  CAST(abs(c - want) AS DOUBLE) / 100 AS gap, abs(c - want) <= 1 AS aligned FROM r""")
 twin("value_conflicts", ["products_v"], """
 SELECT affair_id, request_id, product_code, count(DISTINCT price_unitaire) AS n_values, min(price_unitaire) AS low, max(price_unitaire) AS high
 FROM products_v WHERE product_code IS NOT NULL GROUP BY affair_id, request_id, product_code HAVING count(DISTINCT price_unitaire) > 1""")

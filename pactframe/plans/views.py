@@ -180,6 +180,20 @@ def responses(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def nested_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """One answer per event with objects in objects, lists, nulls and keys that only some products have; some are cut off."""
+    text = (
+        "concat('{\"products\":[', if(event_type = 'error', '', concat('{\"product_name\":\"', event_type, '\",\"price\":{\"unit\":', floor(value),"
+        " ',\"per\":{\"period\":\"Mensuelle\",\"count\":null}},\"meta\":', props, ',\"tags\":[\"a\",{\"b\":1}],\"none\":{}',"
+        " if(event_id % 89 = 0, ',\"remise\":{\"rate\":0.5}', ''), '},{\"product_name\":\"second\"}')), ']}')"
+    )
+    whole = F.expr(text)
+    return spread(table(spark, sf, "events").drop("ts")).select(
+        F.col("event_id").cast("string").alias("request_id"),
+        F.when(F.expr("event_id % 97 = 0"), F.left(whole, F.length(whole) - 5)).otherwise(whole).alias("arguments"),
+    )
+
+
 def _money(cents: str) -> str:
     whole = f"({cents} div 100)"
     return (
