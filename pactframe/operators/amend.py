@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pactframe.functions.contract import VOLUME_NAME
 from pactframe.functions.text import squeeze
 from pactframe.functions.values import months_of
+from pactframe.operators.consolidate import sequence_products
 from pactframe.operators.skew import HEAVY_ROWS, lag_in_group
 from pactframe.session import cut
 
@@ -181,3 +182,16 @@ def with_product_key(products: DataFrame, min_share: float = 0.5) -> DataFrame:
     named = uncoded.withColumns({"_desc": desc, "_av": F.col("is_av")})
     keyed = named.join(by_av.unionByName(by_cp), ["affair_id", "_desc", "_av"], "left")
     return coded.unionByName(keyed.withColumn("product_key", F.coalesce("_key", "_desc")).select(*products.columns, "product_key"))
+
+
+def with_amendment_evidence(products: DataFrame, min_share: float = 0.5) -> DataFrame:
+    """`evidence_avenant` of amendment rows that restate a product, where none is given: old cost, new cost, difference."""
+    rows = cut(products.select(*COMPARED))
+    sequenced = sequence_products(rows, sizes=rows)
+    money = lambda name: F.col(name).cast("decimal(18,2)").cast("string")
+    sign = F.when(F.col("delta") >= 0, F.lit("+")).otherwise(F.lit(""))
+    text = F.concat(F.lit("ancien "), money("old_cost"), F.lit(", nouveau "), money("new_cost"), F.lit(", écart "), sign, money("delta"))
+    delta = amendment_delta(with_product_key(sequenced, min_share), sizes=rows).select("affair_id", "seq", text.alias("_change"))
+    told = delta.join(sequenced.select("affair_id", "seq", "request_id", "pos"), ["affair_id", "seq"]).drop("seq")
+    keyed = products.join(told, ["affair_id", "request_id", "pos"], "left")
+    return keyed.withColumn("evidence_avenant", F.coalesce("evidence_avenant", "_change")).select(*products.columns)

@@ -584,6 +584,13 @@ def value_conflicts(spark, sf):
     return audit.value_conflicts(views.products(spark, sf))
 
 
+@query
+def price_confidence(spark, sf):
+    found = audit.price_confidence(read.priced_lines(views.lines(spark, sf)))
+    signals = [c for c in audit.SIGNALS if c in found.columns]
+    return found.select("affair_id", "id", "line_no", "amount_no", "label", *signals, "confidence")
+
+
 @query
 def confidence_score(spark, sf):
     signals = views.table(spark, sf, "lineitem").selectExpr(

@@ -9,9 +9,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactframe.functions.contract import overconsumption
-from pactframe.operators.amend import resolve_terms
-from pactframe.operators.audit import confidence
+from pactframe.functions.contract import overconsumption, service_start
+from pactframe.functions.values import flag
+from pactframe.operators.amend import resolve_terms, with_amendment_evidence
+from pactframe.operators.audit import confidence, text_signals
 from pactframe.operators.consolidate import consolidate
 from pactframe.operators.documents import (
     avenant_texts,
@@ -21,7 +22,7 @@ from pactframe.operators.documents import (
     split_report,
 )
 from pactframe.operators.lines import rule_extract
-from pactframe.operators.pricing import apply_null_rules, clean_rents, contract_end, derive_rents
+from pactframe.operators.pricing import apply_null_rules, clean_rents, contract_end, derive_rents, volume_unit_price
 from pactframe.operators.requests import (
     answer_requests,
     attach_responses,
@@ -147,9 +148,9 @@ def affair_terms(classified: DataFrame) -> DataFrame:
 def enrich(rows: DataFrame, classified: DataFrame) -> DataFrame:
     """Rule rows with what follows from their contracts and from each other, in the same shape.
 
-    Contract terms and signature dates where the line has none, rents per invoice and year,
-    excess prices of volume lines, contract ends, rules on what a line must not carry, and a
-    confidence for printed prices.
+    Contract terms, signature and start dates where the line has none, rents per invoice and year,
+    unit and excess prices of volume lines, contract ends, rules on what a line must not carry, and a
+    confidence for printed prices from six signals of their lines.
     """
     carried = [c for c in rows.columns if c not in PRODUCT_COLUMNS]
     given = [*TERMS, "signature_date_cg", "signature_date_cp"]
@@ -171,12 +172,22 @@ def enrich(rows: DataFrame, classified: DataFrame) -> DataFrame:
             "overconsumption_term_mode": F.coalesce("overconsumption_term_mode", "_excess.term_mode"),
         }
     )
+    started = service_start(F.col("debut_facturation"), F.col("signature_date_av"), F.col("signature_date_cp"))
+    known = volume_unit_price(known).withColumns(
+        {
+            "price_unitaire": F.coalesce("price_unitaire", "volume_unit_price"),
+            "service_start_date": F.coalesce("service_start_date", F.date_format(started, "yyyy-MM-dd")),
+        }
+    )
     ended = contract_end(apply_null_rules(derive_rents(known)))
     end = F.coalesce("date_end_of_contract", F.date_format("date_end_calc", "yyyy-MM-dd"))
-    scored = confidence(
-        ended.withColumns({"date_end_of_contract": end, "has_evidence": F.col("evidence_price").isNotNull()}),
-        "price_unitaire", "evidence_price", "confidence_price",
+    printed = ended.withColumns({"date_end_of_contract": end, "_printed": F.coalesce("loyer", "price_unitaire")})
+    # one payment needs no cadence; a row of a table is told by its pipe
+    due = F.when(flag(F.col("one_shot_service")), F.lit("once")).otherwise(F.coalesce("loyer_periodicity", F.lit("unknown")))
+    told = text_signals(
+        printed.withColumn("_due", due), ["request_id"], "product_name", "_printed", "evidence_price", "_due", F.startswith("evidence_price", F.lit("|"))
     )
+    scored = confidence(told, "price_unitaire", "evidence_price", "confidence_price")
     return rectify(scored.select(*carried, *PRODUCT_COLUMNS), carried=carried)
 
 
@@ -225,6 +236,8 @@ def run(
     cpcg = rows.filter("doc_class = 'CGCP'").drop("doc_class")
     av = rows.filter("doc_class = 'AV'").drop("doc_class") if include_avenants else None
     products = clean_rents(consolidate(cpcg, av)).drop("rent_moved")
+    if av is not None:
+        products = with_amendment_evidence(cut(products))  # read by several steps
     return Outcome(products, pack_results(products), report, extracted, cpcg, av)
 
 

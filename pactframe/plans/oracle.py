@@ -596,6 +596,16 @@ u AS (SELECT *, sum(CASE WHEN is_recap THEN 0 ELSE c END) OVER w AS upto, row_nu
 r AS (SELECT *, CAST(upto - coalesce(lag(upto) OVER (PARTITION BY affair_id ORDER BY place), 0) AS BIGINT) AS want FROM u WHERE is_recap)
 SELECT affair_id, id, line_no, amount_no, 'total' AS level, CAST(c AS DOUBLE) / 100 AS printed, CAST(want AS DOUBLE) / 100 AS expected,
   CAST(abs(c - want) AS DOUBLE) / 100 AS gap, abs(c - want) <= 1 AS aligned FROM r""")
+twin("price_confidence", ["amounts_v"], """
+, c AS (SELECT *, CAST(round(amount * 100) AS BIGINT) AS cents FROM amounts_v),
+t AS (SELECT affair_id, coalesce(sum(cents) FILTER (NOT is_recap), 0) AS total FROM c GROUP BY affair_id),
+fits AS (SELECT affair_id, bool_or(abs(cents - total) <= 1) AS aligned FROM t JOIN c USING (affair_id) WHERE is_recap GROUP BY affair_id),
+told AS (SELECT c.*, part <> 4 AS near, coalesce(aligned, false) AS aligned, cadence = 'unknown' AS missing,
+    min(cents) OVER (PARTITION BY affair_id, id, label) <> max(cents) OVER (PARTITION BY affair_id, id, label) AS differs
+  FROM c LEFT JOIN fits USING (affair_id) WHERE NOT is_recap)
+SELECT affair_id, id, line_no, amount_no, label, true AS has_evidence, true AS is_labelled, near AS is_nearby, aligned AS is_aligned,
+  differs AS has_conflict, NOT near AS is_distant, missing AS is_missing_data,
+  least(9, 8 + CASE WHEN near THEN 1 ELSE -2 END + 2 * aligned::INT - 3 * differs::INT - missing::INT) / 10.0::DOUBLE AS confidence FROM told""")
 twin("value_conflicts", ["products_v"], """
 SELECT affair_id, request_id, product_code, count(DISTINCT price_unitaire) AS n_values, min(price_unitaire) AS low, max(price_unitaire) AS high
 FROM products_v WHERE product_code IS NOT NULL GROUP BY affair_id, request_id, product_code HAVING count(DISTINCT price_unitaire) > 1""")

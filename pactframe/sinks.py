@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Observation, Row
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pactframe.functions.values import render_missing
 
 FORMATS = ("parquet", "csv", "json", "markdown")
+#: Folders of an export.
+FOLDERS = 256
 
 
 def write_documents_text(docs: DataFrame, out_dir: str) -> None:
@@ -42,25 +44,43 @@ def markdown_line(cells: list[str]) -> Column:
     return F.concat(F.lit("| "), F.concat_ws(" | ", *safe), F.lit(" |"))
 
 
-def export_products(products: DataFrame, path: str, tag: str, format: str = "parquet", max_records: int = 1_000_000) -> str:
-    """Write `<path>/<tag>` with one folder per affair; long affairs take several files. Returns the folder."""
+def folder_of(affair: Column, folders: int) -> Column:
+    """Number of the folder an affair's rows are exported to."""
+    return F.pmod(F.xxhash64(affair), F.lit(folders)).cast("int")
+
+
+def export_products(
+    products: DataFrame, path: str, tag: str, format: str = "parquet", max_records: int = 1_000_000, folders: int = FOLDERS
+) -> str:
+    """Write `<path>/<tag>` in at most `folders` folders, whatever the number of affairs. Returns the folder above them.
+
+    An affair's rows are in one folder, which `folder_of` names, and carry `affair_id`; a large affair takes several files.
+    Files appear when the whole job has succeeded.
+    """
     if format not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}")
     target = f"{path.rstrip('/')}/{tag}"
-    products = products.hint("rebalance", "affair_id")  # few files per affair; a long affair is split
+    placed = products.withColumn("folder", folder_of(F.col("affair_id"), folders)).hint("rebalance", "folder")
     if format == "markdown":
-        cells = [c for c in products.columns if c != "affair_id"]
-        out = render_missing(products, keep=["affair_id"]).select("affair_id", markdown_line(cells).alias("value"))
+        cells = ["affair_id", *[c for c in products.columns if c != "affair_id"]]
+        out = render_missing(placed, keep=["folder"]).select("folder", markdown_line(cells).alias("value"))
         writer = out.write.mode("overwrite").format("text")
     else:
-        rendered = products if format == "parquet" else render_missing(products, keep=["affair_id"])
+        rendered = placed if format == "parquet" else render_missing(placed, keep=["folder"])
         writer = rendered.write.mode("overwrite").format(format)
         if format == "csv":
             writer = writer.option("header", "true")
-    writer.option("maxRecordsPerFile", max_records).partitionBy("affair_id").save(target)
+    writer.option("maxRecordsPerFile", max_records).partitionBy("folder").save(target)
     return target
 
 
+def exported(spark: SparkSession, target: str, affair: str, folders: int = FOLDERS) -> DataFrame:
+    """The rows of one affair from a Parquet export: one folder is read."""
+    number = spark.range(1).select(folder_of(F.lit(affair), folders)).first()[0]
+    rows = spark.read.parquet(target)
+    return rows.filter((F.col("folder") == number) & (F.col("affair_id") == affair)).drop("folder")
+
+
 def observe(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Row count and total text length, gathered while the table is used, without a job of their own."""
     seen = Observation(name)

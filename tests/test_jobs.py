@@ -150,6 +150,30 @@ def test_no_answer_is_paid_for_twice(spark, tmp_path):
     assert all(times.count(r) == 1 for r in kept)
 
 
+def test_a_bucketed_store_rewrites_only_what_is_touched(spark, tmp_path):
+    root, ddl = str(tmp_path / "store"), "id string, v int, at int"
+    frame = lambda rows: spark.createDataFrame(rows, ddl)
+    schema = frame([]).schema
+    assert store.bucketed(spark, root, schema).count() == 0 and store.upsert_buckets(frame([]), root, ["id"], ["at"], 8) == []
+    first = [(f"k{k}", k, 0) for k in range(200)]
+    assert store.upsert_buckets(frame(first), root, ["id"], ["at"], 8) == list(range(8))
+    second = [("k5", 50, 1), ("k5", 51, 2)]
+    touched = store.upsert_buckets(frame(second), root, ["id"], ["at"], 99)  # the store keeps its own number of buckets
+    assert len(touched) == 1
+    written = os.listdir(f"{root}/data/version=2")
+    assert [d for d in written if d.startswith("bucket=")] == [f"bucket={touched[0]}"]
+    want = {f"k{k}": k for k in range(200)} | {"k5": 51}
+    assert {r.id: r.v for r in store.bucketed(spark, root, schema).collect()} == want
+    assert [r.v for r in store.bucket_of_key(spark, root, schema, {"id": "k5"}).collect()] == [51]
+    # a run that dies before its manifest is there changes nothing, and the next one takes its place
+    frame([("k6", 0, 9)]).withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{root}/data/version=3")
+    assert {r.id: r.v for r in store.bucketed(spark, root, schema).collect()} == want
+    store.upsert_buckets(frame([("new", 1, 1), (None, 0, 1)]), root, ["id"], ["at"])
+    store.upsert_buckets(frame([(None, 2, 2)]), root, ["id"], ["at"])
+    got = {r.id: r.v for r in store.bucketed(spark, root, schema).collect()}
+    assert got == want | {"new": 1, None: 2}
+
+
 def test_upsert_twice_is_once(spark):
     old = spark.createDataFrame([("a", 1, "x"), ("b", 1, "x")], "id string, v int, t string")
     new = spark.createDataFrame([("b", 2, "y"), ("b", 3, "z"), ("c", 2, "n")], "id string, v int, t string")
@@ -217,9 +241,9 @@ def test_whole_job_by_rules(spark, tmp_path):
     root = tmp_path / "blobs" / "M" / "acme" / "deal"
     root.mkdir(parents=True)
     texts = {
-        "CADRE-1.pdf": "Devise de facturation : USD\nDate de signature : 01/02/2019\nLe contrat est renouvelé par reconduction tacite.",
+        "CADRE-1.pdf": "Devise de facturation : USD\nDébut de facturation : à la signature\nDate de signature : 01/02/2019\nLe contrat est renouvelé par reconduction tacite.",
         "CP-2.pdf": "Devise de facturation : EUR\nDate de signature : 15/03/2019\nAbonnement WMS\n1 200 € HT / trimestre\nLicence 500 € HT",
-        "AVENANT-3.pdf": "Date de signature : 20/04/2020\nAbonnement WMS 1 500 € HT / trimestre",
+        "AVENANT-3.pdf": "Date de signature : 20/04/2020\nAbonnements WMS 1 500 € HT / trimestre\nPricing mensuel volumes\n| Famille | Nombre de lignes par an | 2021 S1 |\n| --- | --- | --- |\n| Bons | 12 000 | 500 € |",
     }
     for name, body in texts.items():
         (root / name).write_text(body, encoding="utf-8")
@@ -230,7 +254,11 @@ def test_whole_job_by_rules(spark, tmp_path):
     assert docs.count() == 3 and len(list((tmp_path / "texts").glob("*.md"))) == 3
     out = flow.run(docs, spark.createDataFrame([("deal",)], "affair string"))
     rows = {(r.is_av, r.product_name): r for r in out.products.collect()}
-    wms, amended = rows[False, "Abonnement WMS"], rows[True, "Abonnement WMS"]
+    wms, amended = rows[False, "Abonnement WMS"], rows[True, "Abonnements WMS"]
+    volume = rows[True, "Abonnement volume Bons — 2021 S1"]
+    assert (volume.loyer, volume.quantity, volume.price_unitaire, volume.is_volume_product, volume.evidence_avenant) == (500.0, 12000.0, 0.5, True, None)
+    assert amended.evidence_avenant == "ancien 4800.00, nouveau 6000.00, écart +1200.00" and wms.evidence_avenant is None
+    assert (wms.service_start_date, amended.service_start_date) == ("2019-03-15", "2020-04-20")
     assert (wms.loyer, wms.loyer_periodicity, wms.loyer_annuele, wms.reconduction_tacite) == (1200.0, "Trimestrielle", 4800.0, True)
     assert (wms.signature_date_cg, wms.signature_date_cp, wms.date_end_of_contract) == ("2019-02-01", "2019-03-15", "2099-12-31")
     assert (amended.signature_date_av, amended.signature_date_cp, amended.loyer_annuele) == ("2020-04-20", None, 6000.0)
@@ -239,8 +267,8 @@ def test_whole_job_by_rules(spark, tmp_path):
     for batch in (1, 1, 2):
         folders = flow.save(out, str(tmp_path / "exports"), results_at, batch)
     assert set(folders) == {"cgcp", "avenants", "products"}
-    assert spark.read.parquet(folders["products"]).count() == 3 and spark.read.parquet(folders["avenants"]).count() == 1
-    assert [(r.id, len(r.rows)) for r in flow.saved_results(spark, results_at).collect()] == [("deal", 3)]
+    assert spark.read.parquet(folders["products"]).count() == 4 and spark.read.parquet(folders["avenants"]).count() == 2
+    assert [(r.id, len(r.rows)) for r in flow.saved_results(spark, results_at).collect()] == [("deal", 4)]
 
 
 def test_failing_extractor_is_isolated(spark, sf):
@@ -259,14 +287,28 @@ def test_exports(spark, tmp_path):
     df = spark.createDataFrame([("a", "x|y\nz", None), ("b", "q", 1.5)], "affair_id string, product_name string, loyer double")
     for kind in sinks.FORMATS:
         target = sinks.export_products(df, str(tmp_path), f"t_{kind}", kind)
-        assert sorted(d for d in os.listdir(target) if d.startswith("affair_id")) == ["affair_id=a", "affair_id=b"]
-    assert spark.read.text(str(tmp_path / "t_markdown" / "affair_id=a")).first()[0] == "| x\\|y z | null |"
-    assert spark.read.option("header", True).csv(str(tmp_path / "t_csv" / "affair_id=a"), multiLine=True).first().loyer == "null"
+        assert len([d for d in os.listdir(target) if d.startswith("folder=")]) == 2
+    assert {r[0] for r in spark.read.text(str(tmp_path / "t_markdown")).collect()} == {"| a | x\\|y z | null |", "| b | q | 1.5 |"}
+    read = spark.read.option("header", True).csv(str(tmp_path / "t_csv"), multiLine=True)
+    assert {(r.affair_id, r.loyer) for r in read.collect()} == {("a", "null"), ("b", "1.5")}
+    assert [tuple(r) for r in sinks.exported(spark, str(tmp_path / "t_parquet"), "b").collect()] == [("b", "q", 1.5)]
     seen, metrics = sinks.observe(df, "seen")
     seen.collect()
     assert metrics.get["n_rows"] == 2
 
 
+def test_an_export_of_many_affairs_has_few_folders_and_a_failed_one_shows_nothing(spark, tmp_path):
+    many = spark.range(20_000).selectExpr("cast(id as string) AS affair_id", "id AS seq")
+    target = sinks.export_products(many, str(tmp_path), "many", folders=16)
+    assert len([d for d in os.listdir(target) if d.startswith("folder=")]) == 16
+    assert sinks.exported(spark, target, "777", 16).first().seq == 777 and spark.read.parquet(target).count() == 20_000
+    broken = many.selectExpr("affair_id", "if(seq = 19999, cast(raise_error('no') as bigint), seq) AS seq")
+    with pytest.raises(Exception, match="no"):
+        sinks.export_products(broken, str(tmp_path), "broken", folders=16)
+    left = tmp_path / "broken"
+    assert not left.exists() or not [f for f in left.rglob("*.parquet") if "_temporary" not in str(f)]
+
+
 def test_results_are_replaced_per_affair(spark):
     ddl = "affair_id string, seq long, product_name string"
     old = results.pack_results(spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "x")], ddl), max_rows=1)
