@@ -2,6 +2,12 @@
 
 Quality classifier, near-duplicates, repeated passages, mixing, packing. Repeats that the mix asks for are repeated rows;
 a text that loses a passage has a new n_chars.
+
+Defined results: a null or empty text is judged as one empty line, is like no other, loses nothing, and is left out by
+the mix, as it has no words; a null id is kept as it is, and so is a null source, which is a source of its own; repeated
+rows stay together in the stage of near duplicates, which keeps or drops an id, and in the mix; ties go to the smaller
+id; a very long text is one row up to the packing, which cuts it; an empty table gives no rows; columns beyond the five
+of documents end with the first stage.
 """
 
 from __future__ import annotations
