@@ -76,3 +76,25 @@ def test_registered_once_each():
     names = __spark_entry__.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+def test_odd_rows_and_further_columns(spark, sf, tmp_path):
+    """Nulls in every column, empty, repeated and very long texts, clashing names: nothing crashes, nothing foreign comes out."""
+    prose = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").limit(3).collect()]
+    long = " ".join(f"{w}{k}" for k, w in enumerate((prose[0] + " " + prose[1]).split() * 40))
+    rows = [(1, prose[0], "en", "s", 5), (1, prose[0], "en", "s", 5), (2, None, None, None, None), (3, "", "en", "s", 0), (None, prose[1], "en", None, 7),
+            (4, "short", "en", "t", 5), (5, long, "fr", "t", 9), (6, prose[2], None, "s", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr(
+        "*", "'x' AS kept_id", "'y' AS doc", "1 AS size", "'z' AS label", "2 AS score"
+    )
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{sf}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    out = pipe.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in out} <= {1, None, 4, 5, 6}
+    assert all(0 < r.length <= 1024 and 0 <= r.offset <= 1024 - r.length for r in out)
+
+
+def test_an_empty_table_goes_through(spark, sf, tmp_path):
+    spark.read.parquet(f"{sf}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{sf}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    assert pipe.run(spark, str(tmp_path)).collect() == []
