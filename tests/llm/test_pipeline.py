@@ -75,7 +75,7 @@ def test_registered_once_each():
 
     names = __spark_entry__.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_odd_rows_and_further_columns(spark, sf, tmp_path):
