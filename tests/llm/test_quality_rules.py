@@ -87,3 +87,16 @@ def test_no_python_in_the_plans(spark, frame):
     df = qr.base_columns(frame([(1, "a")]), "doc_id")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_every_trusted_label_counts(spark):
+    labels = spark.range(30_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    assert qr.trusted_ids(labels).count() == 30_000
+
+
+def test_quantile_over_ranges(spark):
+    values = spark.range(1_000).selectExpr("double((id * 7919) % 1000 div 3) AS ratio")
+    ordered = sorted(r.ratio for r in values.collect())
+    for share in (0.0005, 0.005, 0.5):
+        assert qr.quantile(values, "ratio", share, span=90).first().limit == ordered[max(1, math.ceil(share * 1_000)) - 1]
+    assert qr.quantile(values.filter("ratio < 0"), "ratio", 0.5).first().limit is None
