@@ -18,11 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactframe.llm.common import WORD_BREAK, stage
-from pactframe.operators.skew import HEAVY_ROWS, running
+from pactframe.operators.skew import HEAVY_ROWS, fits, running
 
 BUCKETS = 10_000
 SMOOTHING = 1.0
 MISSED = 0.005
+#: So many trusted ids, 8 bytes each, are sent to the tasks; of more, texts are shuffled to them. The rows are the same.
+SENT_IDS = 1_000_000
 # The counted symbols, the white space of the word rule, and the two limits of the base rules.
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -117,9 +119,10 @@ def mean_ratio(buckets: int = BUCKETS) -> Column:
     """)
 
 
-def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, missed: float = MISSED) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, missed: float = MISSED, sent: int = SENT_IDS) -> DataFrame:
     """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, ratio."""
     trusted = trusted_ids(labels).withColumn("trusted", F.lit(True))
+    trusted = F.broadcast(trusted) if fits(trusted, sent) else trusted
     marked = docs.select("doc_id", "text").join(trusted, "doc_id", "left")
     table = stage(weights(marked, buckets), "ratio-weights")
     columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

@@ -100,3 +100,10 @@ def test_quantile_over_ranges(spark):
     for share in (0.0005, 0.005, 0.5):
         assert qr.quantile(values, "ratio", share, span=90).first().limit == ordered[max(1, math.ceil(share * 1_000)) - 1]
     assert qr.quantile(values.filter("ratio < 0"), "ratio", 0.5).first().limit is None
+
+
+def test_sent_or_shuffled_ids_give_the_same(spark):
+    docs = spark.range(60).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 60), x -> concat('w', x * (id % 7 + 1) % 53))) AS text")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) AS quality", "0 AS toxic")
+    few, many = (sorted(tuple(r) for r in qr.judge(docs, labels, sent=n).collect()) for n in (10, 100))
+    assert few == many and len(few) == 60
