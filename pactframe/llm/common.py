@@ -51,21 +51,6 @@ def words_of(text: str | None, lower: bool = False) -> list[bytes]:
     return (raw.lower() if lower else raw).split()
 
 
-class WordHashes(dict):
-    """Word to 64-bit hash, kept across texts up to a bounded number of words."""
-
-    LIMIT = 400_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def array(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64 on a uint64 array."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -73,6 +58,73 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+FACTOR = 0x9E3779B97F4A7C15
+INVERSE = pow(FACTOR, -1, 1 << 64)
+
+
+class Powers:
+    """Powers of a number modulo 2^64, as many as needed so far."""
+
+    def __init__(self, base: int):
+        self.base, self.values = base, np.ones(1, np.uint64)
+
+    def first(self, n: int) -> np.ndarray:
+        while len(self.values) < n:
+            step = np.uint64(pow(self.base, len(self.values), 1 << 64))
+            self.values = np.concatenate([self.values, self.values * step])
+        return self.values[:n]
+
+
+up, down = Powers(FACTOR), Powers(INVERSE)
+#: Bytes hashed at a time; a longer word than `LONG` is hashed alone.
+BLOCK, LONG = 1 << 17, 64
+BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: A random number for each byte, and the same with A-Z as a-z.
+EXACT = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(FACTOR))
+FOLDED = EXACT.copy()
+FOLDED[65:91] = EXACT[97:123]
+
+
+def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, one behind the other, and the number of words of each text.
+
+    They are read off the bytes: running sums of a number per byte times a power per place give the hash of every word,
+    so that no object and no dictionary entry is made per word. `lower` folds A-Z only."""
+    texts = texts if texts.null_count == 0 else texts.fill_null(b"" if pa.types.is_binary(texts.type) else "")
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+    _, offsets, data = texts.buffers()
+    if not len(texts) or data is None:
+        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+    offsets = np.frombuffer(offsets, np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    # a blank before and behind each text, so that no word goes on in the next one
+    inside = ~BLANK[raw]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    full = offsets[1:] > offsets[:-1]
+    heads, tails = offsets[:-1][full], offsets[1:][full] - 1
+    first[heads], last[tails] = inside[heads], inside[tails]
+    starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
+    table, out = FOLDED if lower else EXACT, np.empty(len(starts), np.uint64)
+    cuts = np.searchsorted(starts, np.arange(0, len(raw) + BLOCK, BLOCK))
+    for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+        if a == b:
+            continue
+        low = k * BLOCK
+        part = raw[low : low + BLOCK + LONG]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(table[part] * up.first(len(part)), out=sums[1:])
+        at, end = starts[a:b] - low, np.minimum(stops[a:b] - low, len(part))
+        out[a:b] = (sums[end] - sums[at]) * down.first(len(part))[at]
+    out = mix(out)
+    for k in np.flatnonzero(stops - starts > LONG).tolist():
+        word = raw[starts[k] : stops[k]].tobytes()
+        out[k] = xxhash.xxh3_64_intdigest(word.lower() if lower else word)
+    return out, np.diff(np.searchsorted(starts, offsets))
+
+
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of every run of n words, in order; empty if there are fewer."""
     count = len(words) - n + 1
@@ -84,9 +136,9 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that one holds at most about 8 MB, or one row."""
+def rows(batches: Iterator[pa.RecordBatch], size: float = 8e6) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that one holds at most about `size` bytes, or one row."""
     for batch in batches:
-        step = max(1, int(batch.num_rows * 8e6 / max(batch.nbytes, 1)))
+        step = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pactframe.llm.common import WordHashes, gram_hashes, mix, rows, stage, words_of
+from pactframe.llm.common import gram_hashes, mix, rows, stage, word_hashes
 from pactframe.llm.components import connected_components
 
 SHINGLE, REGISTERS, ROWS = 5, 128, 4
@@ -48,13 +48,17 @@ CROWD = 512
 #: Members of an open bucket compared in one task; likeliest partners in other components tried first.
 PART, BEST = 4096, 3
 
-_words = WordHashes()
+
+def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
+    """Of each text the sorted distinct hashes of its five-word runs."""
+    words, lengths = word_hashes(texts, lower=True)
+    for w in np.split(words, np.cumsum(lengths)[:-1]) if len(lengths) else ():
+        yield np.unique(gram_hashes(w, min(SHINGLE, len(w)))) if len(w) else w
 
 
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct hashes of the five-word runs of a text."""
-    w = _words.array(words_of(text, lower=True))
-    return np.unique(gram_hashes(w, min(SHINGLE, len(w)))) if len(w) else w
+    return next(shingle_sets(pa.array([(text or "").encode("utf-8", "surrogatepass")], pa.binary())))
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
@@ -97,8 +101,7 @@ def read_sets(docs: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows(batches):
             n, node, sketches = [], [], []
-            for text in batch.column(1).to_pylist():
-                s = shingle_set(text)
+            for s in shingle_sets(batch.column(1)):
                 n.append(len(s))
                 node.append(node_of(s) if len(s) else None)
                 sketches.append(sketch(s).tobytes() if len(s) else None)
@@ -159,8 +162,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows(batches):
-            found = [(k, s) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                     if len(s := shingle_set(t)) and node_of(s) == k]
+            found = [(k, s) for k, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1)), strict=True)
+                     if len(s) and node_of(s) == k]
             columns = [pa.array([k for k, _ in found], pa.int64()), pa.array([s.tobytes() for _, s in found], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["node", "members"])
 

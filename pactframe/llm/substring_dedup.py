@@ -26,42 +26,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pactframe.llm.common import WordHashes, mix, rows, stage, words_of
+from pactframe.llm.common import down, mix, rows, stage, up, word_hashes, words_of
 
 WINDOW, RUN = 20, 10
 #: Reference words of one shard, and streamed words of one of its tasks, about.
 SHARD_WORDS, TASK_WORDS = 50_000, 200_000
+#: Bytes of texts that are handled as one array.
+BATCH = 2e6
 #: Stands for a null id: below all others.
 NO_ID = -(1 << 63)
 
-FACTOR = 0x9E3779B97F4A7C15
-INVERSE = np.uint64(pow(FACTOR, -1, 1 << 64))
-_words = WordHashes()
-
-
-class Powers:
-    """Powers of a number modulo 2^64, as many as needed so far."""
-
-    def __init__(self, base: int):
-        self.base, self.values = base, np.ones(1, np.uint64)
-
-    def first(self, n: int) -> np.ndarray:
-        while len(self.values) < n:
-            step = np.uint64(pow(self.base, len(self.values), 1 << 64))
-            self.values = np.concatenate([self.values, self.values * step])
-        return self.values[:n]
-
-
-_up, _down = Powers(FACTOR), Powers(int(INVERSE))
-
-
 def run_hashes(w: np.ndarray, n: int) -> np.ndarray:
     """Hash of every run of n words from running sums: the same for equal runs, wherever they stand."""
     count = len(w) - n + 1
     if count <= 0:
         return np.empty(0, np.uint64)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w * _up.first(len(w)), dtype=np.uint64)])
-    return mix((sums[n:] - sums[:-n]) * _down.first(count))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w * up.first(len(w)), dtype=np.uint64)])
+    return mix((sums[n:] - sums[:-n]) * down.first(count))
 
 
 def sliding_least(v: np.ndarray, n: int) -> np.ndarray:
@@ -90,15 +71,13 @@ def anchor_rows(docs: DataFrame, window: int) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = min(RUN, window)
-        for batch in rows(batches):
-            split = [words_of(t) for t in batch.column(1).to_pylist()]
-            lengths = np.fromiter(map(len, split), np.int64, len(split))
-            if lengths.sum() < window:
+        for batch in rows(batches, BATCH):
+            words, lengths = word_hashes(batch.column(1))
+            if len(words) < window:
                 continue
-            words = _words.array([w for text in split for w in text])
             runs = run_hashes(words, run)
             anchors = sliding_least(runs, window - run + 1)
-            text = np.repeat(np.arange(len(split)), lengths)
+            text = np.repeat(np.arange(len(lengths)), lengths)
             whole = text[: len(anchors)] == text[window - 1 :]  # windows that lie in one text
             anchors, text = anchors[whole], text[: len(whole)][whole]
             if not len(anchors):
@@ -130,26 +109,36 @@ def anchor_rows(docs: DataFrame, window: int) -> DataFrame:
 
 
 def window_rows(docs: DataFrame, window: int) -> DataFrame:
-    """wh (window hash), doc_id, pos (first place in this text), n (1 or 2), of windows whose anchors are in `anchors`."""
+    """wh (window hash), doc_id, pos (first place in this text), n (1 or 2), of windows whose anchors are in `anchors`.
+
+    The texts of a batch are handled as one array, and so are their anchors: one that two texts have is among those of both."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows(batches):
-            found, ids, places, n = [], [], [], []
-            shared = batch.column(2)
-            for k, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                w = _words.array(words_of(text))
-                if len(w) < window:
-                    continue
-                anchors, _ = anchors_of(w, window)
-                at = np.flatnonzero(np.isin(anchors, shared[k].values.to_numpy().view(np.uint64)))
-                hashes, first, count = np.unique(run_hashes(w, window)[at], return_index=True, return_counts=True)
-                found.append(hashes)
-                places.append(at[first].astype(np.int32))
-                n.append(np.minimum(count, 2).astype(np.int8))
-                ids.append(np.full(len(hashes), doc_id, np.int64))
-            if found:
-                columns = [np.concatenate(found).view(np.int64), *(np.concatenate(c) for c in (ids, places, n))]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["wh", "doc_id", "pos", "n"])
+        for batch in rows(batches, BATCH):
+            words, lengths = word_hashes(batch.column(1))
+            if len(words) < window:
+                continue
+            anchors, _ = anchors_of(words, window)
+            starts = np.cumsum(lengths) - lengths
+            text = np.repeat(np.arange(len(lengths)), lengths)
+            change = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
+            known = np.isin(anchors[change], batch.column(2).flatten().to_numpy().view(np.uint64))
+            wanted = np.repeat(known, np.diff(change, append=len(anchors)))
+            at = np.flatnonzero(wanted & (text[: len(anchors)] == text[window - 1 :]))  # windows that lie in one text
+            if not len(at):
+                continue
+            hashes, text, n = run_hashes(words, window)[at], text[at], np.ones(len(at), np.int8)
+            # of a window that a text has more often, the first place stays
+            least = np.sort(hashes)
+            again = np.flatnonzero(np.isin(hashes, least[1:][least[1:] == least[:-1]]))
+            order = again[np.lexsort((again, hashes[again], text[again]))]
+            same = (hashes[order[1:]] == hashes[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
+            n[order[:-1][same]] = 2
+            kept = np.ones(len(at), bool)
+            kept[order[1:][same]] = False
+            ids = batch.column(0).to_numpy(zero_copy_only=False)[text[kept]]
+            columns = [hashes[kept].view(np.int64), ids, (at - starts[text])[kept].astype(np.int32), n[kept]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["wh", "doc_id", "pos", "n"])
 
     return docs.select("doc_id", "text", "anchors").mapInArrow(read, "wh long, doc_id long, pos int, n byte")
 
@@ -163,8 +152,10 @@ def piece_rows(docs: DataFrame, window: int) -> DataFrame:
     `hits` of a document: structs of wh, first_doc, first_pos, shard."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows(batches):
+        for batch in rows(batches, BATCH):
             out: list[tuple] = []
+            every, lengths = word_hashes(batch.column(1))
+            behind = np.cumsum(lengths)
             for k, (doc_id, text, key) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True)):
                 words = words_of(text)
                 if len(words) < window:
@@ -172,7 +163,7 @@ def piece_rows(docs: DataFrame, window: int) -> DataFrame:
                 hits = batch.column(3)[k].values
                 wh, first_doc, first_pos, shard = (hits.field(c).to_numpy(zero_copy_only=False) for c in range(4))
                 order = np.argsort(wh)
-                hashes = run_hashes(_words.array(words), window).view(np.int64)
+                hashes = run_hashes(every[behind[k] - lengths[k] : behind[k]], window).view(np.int64)
                 spot = order[np.minimum(np.searchsorted(wh, hashes, sorter=order), len(wh) - 1)]
                 at = np.flatnonzero(wh[spot] == hashes)
                 spot = spot[at]
