@@ -7,15 +7,14 @@ one. Bands of `ROWS` registers are hashed; texts that share a band are candidate
 1. Documents with equal sets are one class; only classes are compared, so copies cost one row each.
 2. In each band bucket one member leads and is compared with all others: estimate first (corrected for registers that
    are equal by chance), then full sets. No pairs are formed among the rest.
-3. Members of buckets of more than `CROWD` meet again in buckets of two such bands: texts that have one passage in common
-   seldom share eight registers, while similar ones share them many times over.
-4. A bucket is settled when all members that have not led lie in one component: links inside a component change nothing.
+3. A bucket is settled when all members that have not led lie in one component: links inside a component change nothing.
    In open buckets, sketches of members of different components are compared inside the task, in parts of at most `PART`
-   members: first each member of a smaller component gives its `BEST` likeliest partners, then, after these have joined
-   what they can, all. Only pairs with a sufficient estimate leave the task, each from the first bucket that both share,
-   to be checked on full sets.
-5. At last the same is done for the buckets of more than `CROWD` that are still open, so a pair whose only common band is
-   a crowded one is compared too.
+   members: first each member of a smaller component gives its `BEST` likeliest partners; then, after these have joined
+   what they can, all. That last round brings full sets to the bucket, at most `SET_PART` hashes a part, and checks its
+   pairs where they are, each in the first bucket that both share: pairs stay in the task, and only links that join
+   components leave it, fewer than it has members.
+4. At last the same is done for the buckets of more than `CROWD` that are still open, so a pair whose only common bands
+   are crowded ones is compared too.
 
 A pair at the limit of 0.75 shares no band with probability 5e-6; an estimate 4 standard deviations under the limit
 (`LEAST`) is not checked on full sets, which at 0.75 leaves out 7.5e-5 more.
@@ -31,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pactframe.llm.common import gram_hashes, mix, rows, stage, word_hashes
@@ -43,10 +42,12 @@ MANTISSA = 10
 PERCENT = 75
 LEAST = 0.6
 FACTORS = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) | np.uint64(1)
-#: Buckets of more members are compared last, after those of two bands.
+#: Buckets of more members are compared last: by then many are settled.
 CROWD = 512
 #: Members of an open bucket compared in one task; likeliest partners in other components tried first.
 PART, BEST = 4096, 3
+#: Hashes of full sets of one part, where pairs of a bucket are checked.
+SET_PART = 4_000_000
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -197,63 +198,122 @@ def ordered_pairs(df: DataFrame, one: str, other: str) -> DataFrame:
 
 def buckets(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Band buckets of two or more (band, number, node, leader, n), the leader being the smallest member; and the members
-    (band, number, node) that are compared where a bucket stays open, number being -1 for buckets of two bands: first
-    those of other buckets, then those of crowded ones."""
+    (band, mask, node) that are compared where a bucket stays open, `mask` being the bit of the band's number: first those
+    of other buckets, then those of crowded ones."""
     member = stage(bands(classes), "bands")
     sizes = member.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).filter("n > 1")
     shared = stage(member.join(sizes, "band").select("band", "number", "node", "leader", "n"), "shared-bands")
-    crowded = shared.filter(F.col("n") > CROWD).groupBy("node").agg(F.sort_array(F.collect_set("band")).alias("own"))
-    # a class has at most one band of each of the 32 numbers
-    two = F.expr("flatten(transform(own, (x, i) -> transform(slice(own, i + 2, size(own)), y -> xxhash64(x, y))))")
-    # a class makes up to 496 rows, so classes are dealt out one by one
-    dealt = crowded.repartition(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    crossed = stage(dealt.select(F.explode(two).alias("band"), "node"), "crossed-bands")
-    again = crossed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = crossed.join(again, "band").select("band", F.lit(-1).alias("number"), "node")
-    member = shared.filter((F.col("n") > 2) & (F.col("node") != F.col("leader"))).select("n", "band", "number", "node")
-    few, many = member.filter(F.col("n") <= CROWD).drop("n"), member.filter(F.col("n") > CROWD).drop("n")
-    return shared, stage(met.union(few), "buckets"), many
-
-
-def partners(members: DataFrame, classes: DataFrame, best: int | None) -> DataFrame:
-    """Pairs (a, b) of one bucket, of different components, with sizes and estimates that allow a link."""
-    single = F.when(F.col("number") >= 0, F.expr("shiftleft(1L, number)")).otherwise(F.lit(0))
-    places = members.groupBy("node").agg(F.bit_or(single).alias("places"))  # its open buckets of one band, as bits
+    member = shared.filter((F.col("n") > 2) & (F.col("node") != F.col("leader")))
+    member = member.select("n", "band", F.expr("shiftleft(1L, number)").alias("mask"), "node")
+    return shared, member.filter(F.col("n") <= CROWD).drop("n"), member.filter(F.col("n") > CROWD).drop("n")
+
+
+def dealt(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of open buckets with size and sketch, once for every `task` of their bucket: each two of its parts meet."""
+    places = members.groupBy("node").agg(F.bit_or("mask").alias("places"))  # its open buckets, as bits
     sketched = members.join(classes.select("node", F.col("n").alias("size"), "sketch"), "node").join(places, "node")
-    parts = F.ceil(F.col("n") / PART).cast("int")
-    dealt = sketched.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    meets = F.expr("transform(sequence(0, parts - 1), k -> struct(least(part, k) as i, greatest(part, k) as j))")
-    spread = dealt.select("band", "number", "node", "label", "size", "sketch", "places", "part", F.explode(meets).alias("task"))
+    parts = F.ceil(F.col("n") / PART)
+    return met(sketched.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")), parts, "part", "task")
+
+
+def met(rows: DataFrame, parts: Column, part: str, task: str) -> DataFrame:
+    """Rows with `task`, which two of the `parts` meet in it: once for every part."""
+    ends = lambda k: F.struct(F.least(part, k).alias("i"), F.greatest(part, k).alias("j"))
+    return rows.withColumn(task, F.explode(F.transform(F.sequence(F.lit(0), parts.cast("int") - 1), ends)))
+
+
+def likely(group: pa.Table, best: int | None, last: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(place, places of its partners, number of each row's component) of the members that have partners in one task of a
+    bucket: of another component, with sizes and estimates that allow a link, and in no bucket that comes first.
+
+    `last`: pairs that share another bucket than those that are open now were compared in it before."""
+    node, label, size, part, places = (group.column(c).to_numpy() for c in ("node", "label", "size", "part", "places"))
+    mask = group.column("mask")[0].as_py()
+    _, kind, crowd = np.unique(label, return_inverse=True, return_counts=True)
+    weight = crowd[kind]
+    registers = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    mixed = part.min() != part.max()  # two parts meet here: pairs inside one part meet elsewhere
+    for k in range(len(node)):
+        # the member of the smaller component gives the pair
+        fit = (weight > weight[k]) | ((weight == weight[k]) & (label > label[k]))
+        fit &= 100 * np.minimum(size, size[k]) >= PERCENT * np.maximum(size, size[k])
+        at = np.flatnonzero(fit & (part != part[k]) if mixed else fit)
+        if not len(at):
+            continue
+        like = estimate(registers[at], registers[k][None], size[at], size[k : k + 1])
+        at, like = at[like >= LEAST], like[like >= LEAST]
+        if best:
+            at = at[np.argsort(-like, kind="stable")[:best]]
+        if len(at):
+            alike = (registers[at] == registers[k]).reshape(len(at), -1, ROWS).all(2)
+            bits = (alike * (1 << np.arange(alike.shape[1], dtype=np.int64))).sum(1)
+            both = bits & places[at] & places[k]
+            first = (both & -both) == mask  # this is the first bucket that both share
+            at = at[first & (both == bits) if last else first]
+        if len(at):
+            yield k, at, kind
+
+
+def partners(members: DataFrame, classes: DataFrame, best: int, last: bool = False) -> DataFrame:
+    """Pairs (a, b) of one bucket: of each member the `best` likeliest of other components."""
 
     def meet(group: pa.Table) -> pa.Table:
-        node, label, size, part, places = (group.column(c).to_numpy() for c in ("node", "label", "size", "part", "places"))
-        number = group.column("number")[0].as_py()
-        here = 0 if number < 0 else 1 << number
-        _, kind, crowd = np.unique(label, return_inverse=True, return_counts=True)
-        weight = crowd[kind]
-        registers = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-        mixed = part.min() != part.max()  # two parts meet here: pairs inside one part meet elsewhere
-        found: list[tuple[int, int]] = []
-        for k in range(len(node)):
-            # the member of the smaller component gives the pair
-            fit = (weight > weight[k]) | ((weight == weight[k]) & (label > label[k]))
-            fit &= 100 * np.minimum(size, size[k]) >= PERCENT * np.maximum(size, size[k])
-            at = np.flatnonzero(fit & (part != part[k]) if mixed else fit)
+        node = group.column("node").to_numpy()
+        found = [(min(int(node[k]), int(x)), max(int(node[k]), int(x))) for k, at, _ in likely(group, best, last) for x in node[at]]
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt(members, classes).groupBy("band", "task").applyInArrow(meet, "a long, b long").distinct()
+
+
+def bridges(members: DataFrame, classes: DataFrame, sets: DataFrame, last: bool = False) -> DataFrame:
+    """Links (a, b) that join what the open buckets hold of different components, checked on full sets inside the task.
+
+    First the members that have a likely partner are told, then their sets are brought to their bucket. Pairs stay in the
+    task: it gives a link only where that joins two components, so fewer than it has members."""
+    names = ["band", "mask", "node", "label", "size", "sketch", "places", "part", "task"]
+    spread = dealt(members, classes).select(*names)
+
+    def hold(group: pa.Table) -> pa.Table:
+        use = np.zeros(group.num_rows, bool)
+        for k, at, _ in likely(group, None, last):
+            use[k] = use[at] = True
+        return group.filter(pa.array(use)).select(names)
+
+    held = stage(spread.groupBy("band", "task").applyInArrow(hold, spread.schema), "held-members")
+    # sets of one task are bounded too: what is more is cut into further parts, each two of which meet
+    sums = held.groupBy("band", "task").agg(F.ceil(F.sum("size") / SET_PART).cast("int").alias("cuts"))
+    cut = held.join(sums, ["band", "task"]).withColumn("piece", F.pmod(F.xxhash64("node", F.lit(1)), F.col("cuts")).cast("int"))
+    ready = met(cut, F.col("cuts"), "piece", "pieces").select(*names, "piece", "pieces").join(sets, "node")
+
+    def check(group: pa.Table) -> pa.Table:
+        node, piece = group.column("node").to_numpy(), group.column("piece").to_numpy()
+        members = [np.frombuffer(x, np.uint64) for x in group.column("members").to_pylist()]
+        size, mixed = np.array([len(x) for x in members], np.int64), piece.min() != piece.max()
+        root, found = None, []
+        for k, at, kind in likely(group, None, last):
+            root = np.arange(kind.max() + 1) if root is None else root
+            at = at[(root[kind[at]] != root[kind[k]]) & ((piece[at] != piece[k]) | (not mixed))]
             if not len(at):
                 continue
-            like = estimate(registers[at], registers[k][None], size[at], size[k : k + 1])
-            at, like = at[like >= LEAST], like[like >= LEAST]
-            if best:
-                at = at[np.argsort(-like, kind="stable")[:best]]
-            if len(at):
-                alike = (registers[at] == registers[k]).reshape(len(at), -1, ROWS).all(2)
-                bits = (alike * (1 << np.arange(alike.shape[1], dtype=np.int64))).sum(1) & places[at] & places[k]
-                at = at[(bits & -bits) == here]  # this is the first bucket that both share
-            found += [(min(int(node[k]), int(x)), max(int(node[k]), int(x))) for x in node[at]]
+            own, other = members[k], np.concatenate([members[x] for x in at])
+            same = own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other
+            inter = np.add.reduceat(same, np.cumsum(size[at]) - size[at], dtype=np.int64)
+            for x in at[linked(inter, size[at], size[k])]:
+                if root[kind[x]] != root[kind[k]]:
+                    root[root == root[kind[x]]] = root[kind[k]]
+                    found.append(sorted((int(node[k]), int(node[x]))))
         a, b = zip(*found, strict=True) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return spread.groupBy("band", "task").applyInArrow(meet, "a long, b long").distinct()
+    return ready.groupBy("band", "task", "pieces").applyInArrow(check, "a long, b long")
+
+
+def still_open(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members (band, mask, node) of buckets that hold more than one component, with its label and the bucket's size n."""
+    now = members.join(connected_components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    split = now.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
+    return stage(now.join(split.filter("low < high").select("band", "n"), "band"), "open-buckets")
 
 
 def class_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -265,16 +325,13 @@ def class_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     wanted = shared.filter("n > 2").select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
     sets = stage(full_sets(docs, wanted.join(classes.select("node", "rep"), "node")), "sets")
     links = stage(compared(pairs, sets).filter("linked").select("a", "b"), "links")
-    for members in (rest, crowded):
-        for best in (BEST, None):
-            labels = connected_components(links)
-            now = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            split = now.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
-            still = stage(now.join(split.filter("low < high").select("band", "n"), "band"), "open-buckets")
-            fresh = stage(partners(still, classes, best).join(tried, ["a", "b"], "left_anti"), "more-pairs")
-            tried = tried.union(fresh)
-            links = stage(links.union(compared(fresh, sets).filter("linked").select("a", "b")), "links")
-            members = still.select("band", "number", "node")
+    for members, last in ((rest, False), (crowded, True)):
+        still = still_open(members, links)
+        fresh = stage(partners(still, classes, BEST, last).join(tried, ["a", "b"], "left_anti"), "more-pairs")
+        tried = tried.union(fresh)
+        links = stage(links.union(compared(fresh, sets).filter("linked").select("a", "b")), "links")
+        still = still_open(still.select("band", "mask", "node"), links)
+        links = stage(links.union(bridges(still, classes, sets, last)), "links")
     return links
 
 

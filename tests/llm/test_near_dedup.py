@@ -126,3 +126,35 @@ def test_keep_first_with_a_column_of_its_own_names(frame):
     kept = nd.keep_first(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
+def test_pairs_of_an_open_bucket_stay_in_the_task(frame, monkeypatch):
+    """Many texts that are just less alike than a link needs: what is checked outside the tasks does not grow with their square."""
+    dice = random.Random(5)
+    base = [f"b{i}" for i in range(400)]
+    docs = []
+    for k in range(240):
+        w = list(base)
+        for i in dice.sample(range(400), 8):
+            w[i] = f"d{k}x{i}"
+        docs.append((k, " ".join(w)))
+    checked = []
+    real = nd.compared
+
+    def counted(pairs, sets):
+        checked.append(pairs.count())
+        return real(pairs, sets)
+
+    monkeypatch.setattr(nd, "compared", counted)
+    got = sorted(tuple(r) for r in nd.near_groups(frame(docs)).collect())
+    assert got == brute(docs)
+    assert sum(checked) < 240 * (32 + nd.BEST)  # 240 * 239 / 2 pairs of other components share a bucket
+
+
+@pytest.mark.parametrize("size", [64, 500])
+def test_sets_of_an_open_bucket_are_cut_into_parts(frame, size, monkeypatch):
+    monkeypatch.setattr(nd, "SET_PART", size)
+    monkeypatch.setattr(nd, "CROWD", 4)
+    docs = corpus(7, 150)
+    got = sorted(tuple(r) for r in nd.near_groups(frame(docs)).collect())
+    assert got == brute(docs)
