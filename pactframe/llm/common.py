@@ -36,6 +36,18 @@ def stage(df: DataFrame, name: str, large_rows: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_dealt(df: DataFrame, name: str, key: str, large_rows: bool = False) -> DataFrame:
+    """Like `stage`, but dealt into buckets by `key`: where rows meet others of their key, only the others are shuffled.
+    A table of the session's catalog over the folder tells Spark of the buckets."""
+    spark = df.sparkSession
+    path = staged_path(spark, name)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    table = f"{name}_{uuid.uuid4().hex}"
+    options = (LARGE_ROWS if large_rows else {}) | {"path": path}
+    df.write.format("parquet").options(**options).bucketBy(buckets, key).saveAsTable(table)
+    return spark.table(table)
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo `modulus`; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % modulus

@@ -11,10 +11,10 @@ next words times `PENALTY`. Its distribution is smoothed towards that of its lon
 next words found less than `LEAST` times count as what is left. These limits are counts, not shares: the tree grows with
 the corpus, and no part of it is broadcast.
 
-Its contexts and next words are kept by 64-bit hashes, as words are. Depth by depth, each block asks for the counts of the
-runs of words in its own texts (a run with a shorter run inside that is found once is not asked for), and for the sums of
-its own contexts, which it has added up over the runs that it is the first to hold. Requests are packed by ranges of the
-hash, added up there over all blocks, and answered to each block. A frequent run or context is one entry a block.
+Its contexts and next words are kept by 64-bit hashes, as words are. Words first and then depth by depth, each block asks
+for the counts of the runs of words in its own texts (a run with a word or a shorter run inside that is found once is not
+asked for: it is itself found once), and for the sums of its own contexts, which it has added up over the runs that it is the first to hold. Requests are packed by ranges of the
+hash, added up there over all blocks, and answered to each block; the blocks lie in buckets and are not shuffled for it. A frequent run or context is one entry a block.
 
 Defined results: a null or empty text is its end token alone; a null id counts as the empty text in the fold and is held
 out; without training documents the base is uniform over one unknown word; repeated rows count each; an empty table
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import gc
 import math
+import time
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -38,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactframe.llm.common import mix, rows, stage, words_of
+from pactframe.llm.common import mix, rows, stage, stage_dealt, words_of
 
 FOLDS = 10
 #: Least counts as shares of the training tokens: none, so the tree keeps what it finds however large the corpus is.
@@ -132,6 +133,18 @@ def extended(runs: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mix(runs * np.uint64(0x9E3779B97F4A7C15) + words)
 
 
+def different(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different values in order, a place where each stands, and the number of each place's value; `np.unique` sorts stably
+    for the first place, which takes longer and is not needed."""
+    order = np.argsort(values)
+    ordered = values[order]
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    which = np.empty(len(ordered), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], which
+
+
 class Block:
     """One block with the replies it has got so far: what it can ask next, and at the end the probability of each token."""
 
@@ -157,32 +170,30 @@ class Block:
 
     def walk(self) -> None:
         ids, place = self.ids, self.place
-        if WORD_KIND in self.replies:
-            n, _ = self.counts_of(WORD_KIND)
-            self.known = np.empty(len(n), np.int64)
-            self.known[self.order] = n
-            self.base = (self.known[ids] + SMOOTHING) / (self.total + SMOOTHING * (self.distinct + 1))
-            everything = self.total + SMOOTHING * (self.distinct + CLASSES)
-            self.p = self.base * (self.total + SMOOTHING * (self.distinct + 1)) / everything
-            use = n >= LEAST
-            keys, totals = self.words[self.order][use], n[use]
-            rank = np.full(len(n), -1, np.int64)
-            rank[self.order[use]] = np.arange(len(keys))
-            ends = rank[ids]  # the context, if any, that ends with each token
-        else:
+        if WORD_KIND not in self.replies:
             self.asked.append((WORD_KIND, self.words[self.order], [self.n_words[self.order]]))
-            ends = None
+            return
+        n, _ = self.counts_of(WORD_KIND)
+        self.known = np.empty(len(n), np.int64)
+        self.known[self.order] = n
+        self.base = (self.known[ids] + SMOOTHING) / (self.total + SMOOTHING * (self.distinct + 1))
+        everything = self.total + SMOOTHING * (self.distinct + CLASSES)
+        self.p = self.base * (self.total + SMOOTHING * (self.distinct + 1)) / everything
+        use = n >= LEAST
+        keys, totals = self.words[self.order][use], n[use]
+        rank = np.full(len(n), -1, np.int64)
+        rank[self.order[use]] = np.arange(len(keys))
+        ends = rank[ids]  # the context, if any, that ends with each token
         gram = mix(self.words)[ids]
         for k in range(1, self.depth + 1):
             longer = np.zeros(len(ids), np.uint64)
             longer[1:] = extended(gram[:-1], self.words[ids[1:]])
             gram = longer
             context = np.full(len(ids), -1, np.int64)
-            if ends is not None:
-                context[1:] = np.where(place[1:] >= k, ends[:-1], -1)
+            context[1:] = np.where(place[1:] >= k, ends[:-1], -1)
             # a run of words whose beginning or end is found once is itself found once, so it is not asked for
-            at = np.flatnonzero(place >= 1 if k == 1 else (context >= 0) & (ends >= 0))
-            runs, one, which = np.unique(gram[at], return_index=True, return_inverse=True)
+            at = np.flatnonzero((context >= 0) & (ends >= 0))
+            runs, one, which = different(gram[at])
             if COUNT_KIND + k not in self.replies:
                 self.asked.append((COUNT_KIND + k, runs, [np.bincount(which, self.train[at], len(runs)).astype(np.int32)]))
                 return
@@ -194,8 +205,7 @@ class Block:
                 kept = many >= LEAST
                 sums = [np.ones(len(many)), many * kept, np.where(kept, many * np.log(np.maximum(many, 1) / below), 0), below * kept]
                 sums = [np.bincount(where, v, len(keys)) for v in sums]
-                if k > 1:
-                    sums[0] += np.bincount(context[self.train & (context >= 0) & (ends < 0)], minlength=len(keys))
+                sums[0] += np.bincount(context[self.train & (context >= 0) & (ends < 0)], minlength=len(keys))
                 self.asked.append((CONTEXT_KIND + k, keys, [totals, *(v.astype(np.int64) for v in sums[:2]), *sums[2:]]))
                 self.p = None
             elif self.p is not None:
@@ -304,9 +314,12 @@ class Learnt:
 
 
 def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of tables that are staged by now, which wait for the driver's garbage collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let go of the shuffle files of tables that are staged by now, which wait for the driver's garbage collection. What one
+    collection frees may hold the plan of the last cogroup, so there is a second one a moment later."""
+    for pause in (1, 0):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(pause)
 
 
 class Tree:
@@ -375,7 +388,7 @@ def lookup(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 def build(spark: SparkSession, docs: DataFrame, depth: int = DEPTH) -> tuple[Learnt, Tree]:
     """Coded blocks of all documents with all that they need of the tree, and the tree itself."""
-    blocks = stage(code_blocks(docs), "blocks", large_rows=True)
+    blocks = stage_dealt(code_blocks(docs), "blocks", "block", large_rows=True)
     shards = shard_count(blocks.count())
     learnt = Learnt(blocks, None, depth)
 
@@ -384,13 +397,13 @@ def build(spark: SparkSession, docs: DataFrame, depth: int = DEPTH) -> tuple[Lea
             for data in (r for k in range(batch.num_rows) for r in batch.slice(k, 1).to_pylist()):
                 yield from requests(Block(data, {}, depth, 0, 0), shards)
 
-    for k in range(depth + 1):
+    for k in range(depth + 2):
         asked = learnt.each(lambda b: requests(b, shards), REQUEST) if k else blocks.mapInArrow(first, REQUEST)
         got = stage(asked.groupBy("kind", "shard").applyInArrow(answer, REPLY), "replies")
         if not k:
             learnt.total, learnt.distinct = got.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("different"), F.lit(0))).first()
         learnt.replies = got if learnt.replies is None else learnt.replies.union(got)
-        learnt.rounds.append(([CONTEXT_KIND + k] if k else [WORD_KIND]) + ([COUNT_KIND + k + 1] if k < depth else []))
+        learnt.rounds.append([WORD_KIND] if not k else ([CONTEXT_KIND + k - 1] if k > 1 else []) + ([COUNT_KIND + k] if k <= depth else []))
         del asked
         release(spark)
     return learnt, Tree(learnt)
