@@ -13,8 +13,9 @@ the corpus, and no part of it is broadcast.
 
 Its contexts and next words are kept by 64-bit hashes, as words are. Words first and then depth by depth, each block asks
 for the counts of the runs of words in its own texts (a run with a word or a shorter run inside that is found once is not
-asked for: it is itself found once), and for the sums of its own contexts, which it has added up over the runs that it is the first to hold. Requests are packed by ranges of the
-hash, added up there over all blocks, and answered to each block; the blocks lie in buckets and are not shuffled for it. A frequent run or context is one entry a block.
+asked for: it is itself found once), and for the sums of its own contexts, which it has added up over the runs that it is the first to hold. Requests are packed by ranges of the hash, added up there
+over all blocks, and answered to each block; the blocks lie in buckets and are not shuffled for it. A frequent run or
+context is one entry a block.
 
 Defined results: a null or empty text is its end token alone; a null id counts as the empty text in the fold and is held
 out; without training documents the base is uniform over one unknown word; repeated rows count each; an empty table
@@ -33,13 +34,12 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pactframe.llm.common import mix, rows, stage, stage_dealt, words_of
+from pactframe.llm.common import mix, rows, stage, stage_dealt, word_hashes
 
 FOLDS = 10
 #: Least counts as shares of the training tokens: none, so the tree keeps what it finds however large the corpus is.
@@ -48,7 +48,8 @@ SYMBOL_SHARE = CONTEXT_SHARE = ENTRY_SHARE = math.inf
 LEAST = 2
 CLASSES, DEPTH, PENALTY = 64, 3, 2.0
 SMOOTHING = 0.1
-END = b""
+#: Hash of the end of a text.
+END_HASH = np.uint64(0x2D06800538D394C2)
 #: A block is closed at so many different words or tokens.
 BLOCK_WORDS, BLOCK_TOKENS = 150_000, 1_500_000
 
@@ -75,14 +76,6 @@ def unpack(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
-class Places(dict):
-    """Word to its place in the block, given out at first sight."""
-
-    def __missing__(self, word: bytes) -> int:
-        place = self[word] = len(self)
-        return place
-
-
 def is_held(doc_id: int | None) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % FOLDS == 0
 
@@ -90,36 +83,47 @@ def is_held(doc_id: int | None) -> bool:
 def code_blocks(docs: DataFrame) -> DataFrame:
     """Rows of `BLOCK`; ids may be null, so they are kept as text."""
 
+    def close(number: int, doc_ids: list[int | None], hashes: np.ndarray, lengths: np.ndarray) -> pa.RecordBatch:
+        held = np.array([is_held(x) for x in doc_ids], bool)
+        words, _, places = different(hashes)
+        often = np.argsort(-np.bincount(places), kind="stable")  # frequent words get small numbers, which take less space
+        rank = np.empty(len(often), np.int32)
+        rank[often] = np.arange(len(often))
+        ids = rank[places]
+        n = np.bincount(ids[~np.repeat(held, lengths)], minlength=len(words)).astype(np.int32)
+        known = ",".join("" if x is None else str(x) for x in doc_ids).encode()
+        packed = (known, held.astype(np.uint8), lengths.astype(np.int32), ids, words[often], n)
+        data = [pa.array([zstandard.ZstdCompressor(level=1).compress(v) if isinstance(v, bytes) else pack(v)], pa.binary()) for v in packed]
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *data], [x.split()[0] for x in BLOCK.split(", ")])
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
-        places, doc_ids, held, lengths, ids = Places(), [], [], [], []
-        size = 0
-
-        def close() -> pa.RecordBatch:
-            words = list(places)
-            n = np.zeros(len(words), np.int32)
-            for numbers, out in zip(ids, held, strict=True):
-                if not out:
-                    np.add.at(n, numbers, 1)
-            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-            packed = (",".join(doc_ids).encode(), np.array(held, np.uint8), np.array(lengths, np.int32), np.concatenate(ids), hashes, n)
-            data = [pa.array([zstandard.ZstdCompressor(level=1).compress(v) if isinstance(v, bytes) else pack(v)], pa.binary()) for v in packed]
-            return pa.RecordBatch.from_arrays([pa.array([part << 24 | made], pa.int64()), *data], [x.split()[0] for x in BLOCK.split(", ")])
-
-        for batch in rows(batches):
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = words_of(text, lower=True)
-                found.append(END)
-                ids.append(np.fromiter(map(places.__getitem__, found), np.int32, len(found)))
-                doc_ids.append("" if doc_id is None else str(doc_id))
-                held.append(is_held(doc_id))
-                lengths.append(len(found))
-                size += len(found)
-                if len(places) >= BLOCK_WORDS or size >= BLOCK_TOKENS:
-                    yield close()
-                    places, doc_ids, held, lengths, ids, size, made = Places(), [], [], [], [], 0, made + 1
-        if ids:
-            yield close()
+        doc_ids, hashes, lengths, vocabulary, size = [], [], [], np.empty(0, np.uint64), 0
+        for batch in rows(batches, 4e6):
+            found, counts = word_hashes(batch.column(1), lower=True)
+            found = np.insert(found, np.cumsum(counts), END_HASH)
+            counts, of = counts + 1, batch.column(0).to_pylist()
+            while len(of):
+                # the document that fills the block, by tokens or by words that are new to it
+                words, _, which = different(found)
+                first = np.full(len(words), len(found))
+                np.minimum.at(first, which, np.arange(len(found)))
+                ends = np.cumsum(counts)
+                new = np.sort(first[lookup(vocabulary, words) < 0])
+                full = (len(vocabulary) + np.searchsorted(new, ends) >= BLOCK_WORDS) | (size + ends >= BLOCK_TOKENS)
+                many = int(full.argmax()) + 1 if full.any() else len(of)
+                end = int(ends[many - 1])
+                doc_ids, size = doc_ids + of[:many], size + end
+                hashes.append(found[:end])
+                lengths.append(counts[:many])
+                if not full.any():
+                    vocabulary = np.union1d(vocabulary, words)
+                    break
+                yield close(part << 24 | made, doc_ids, np.concatenate(hashes), np.concatenate(lengths))
+                doc_ids, hashes, lengths, vocabulary, size, made = [], [], [], np.empty(0, np.uint64), 0, made + 1
+                found, counts, of = found[end:], counts[many:], of[many:]
+        if doc_ids:
+            yield close(part << 24 | made, doc_ids, np.concatenate(hashes), np.concatenate(lengths))
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(read, BLOCK)
 
@@ -198,18 +202,24 @@ class Block:
                 self.asked.append((COUNT_KIND + k, runs, [np.bincount(which, self.train[at], len(runs)).astype(np.int32)]))
                 return
             n, own = self.counts_of(COUNT_KIND + k)
+            if self.p is not None:
+                # a context is kept only for next words found `LEAST` times: one that has none here, and too few occurrences
+                # besides those before words found once with it here, is not asked for
+                state = context[at[one]]
+                once = np.bincount(state[own & (n == 1)], minlength=len(keys))
+                once += np.bincount(context[self.train & (context >= 0) & (ends < 0)], minlength=len(keys))
+                ask = np.bincount(state[n >= LEAST], minlength=len(keys)) > 0
+                ask |= (totals - once >= LEAST) & (np.bincount(context[context >= 0], minlength=len(keys)) > 0)
             if self.p is not None and CONTEXT_KIND + k not in self.replies:
-                mine = own & (context[at[one]] >= 0)
-                where, many = context[at[one]][mine], n[mine]
-                below = self.p[at[one]][mine]
-                kept = many >= LEAST
-                sums = [np.ones(len(many)), many * kept, np.where(kept, many * np.log(np.maximum(many, 1) / below), 0), below * kept]
-                sums = [np.bincount(where, v, len(keys)) for v in sums]
-                sums[0] += np.bincount(context[self.train & (context >= 0) & (ends < 0)], minlength=len(keys))
-                self.asked.append((CONTEXT_KIND + k, keys, [totals, *(v.astype(np.int64) for v in sums[:2]), *sums[2:]]))
+                mine = own & (n >= LEAST)
+                where, many, below = state[mine], n[mine], self.p[at[one]][mine]
+                sums = [np.bincount(where, v, len(keys)) for v in (np.ones(len(many)), many, many * np.log(many / below), below)]
+                sums[0] += once
+                self.asked.append((CONTEXT_KIND + k, keys[ask], [totals[ask], *(v[ask].astype(np.int64) for v in sums[:2]), *(v[ask] for v in sums[2:])]))
                 self.p = None
             elif self.p is not None:
-                kept, back = self.replies[CONTEXT_KIND + k].reshape(-1, 2).T
+                kept, back = np.zeros((2, len(keys)), np.int64)
+                kept[ask], back[ask] = self.replies[CONTEXT_KIND + k].reshape(-1, 2).T
                 seen = np.zeros(len(ids), np.int64)
                 seen[at] = np.where(n >= LEAST, n, 0)[which]
                 use = np.flatnonzero((context >= 0) & (back[context] > 0)) if len(back) else np.empty(0, np.int64)

@@ -150,3 +150,23 @@ def test_the_tree_grows_with_the_corpus(spark, frame):
     # by chance a word is one of 24,000; after its left word, found twice, the right one is likely
     assert got.base_score < -20
     assert got.score - got.base_score > 3 * 3
+
+
+def test_blocks_are_not_shuffled_to_meet_their_replies(spark, frame):
+    learnt, _ = st.build(spark, frame(corpus(60)))
+    plan = st.scored(learnt)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(block") == 1  # the replies
+
+
+def test_only_what_can_count_is_asked_for(spark, frame):
+    ids = [k for k in range(1, 500) if not held(k)][:40]
+    # "a b" is found often; every other word once, so that no pair or context with one can count
+    docs = [(i, f"x{i} a b y{i} z{i}") for i in ids]
+    learnt, tree = st.build(spark, frame(docs).coalesce(1))
+    same(st.score(spark, frame(docs)).collect(), brute(docs))
+    assert len(tree.tables[st.COUNT_KIND + 1][0]) == 1
+    asked = {k: 0 for k in learnt.answered}
+    for r in learnt.replies.collect():
+        asked[r.kind] += len(st.unpack(r.data, np.int64)) // (2 if r.kind > st.CONTEXT_KIND else 1)
+    # pairs: "a b"; contexts: "a", as nothing but words found once stands behind the others
+    assert (asked[st.COUNT_KIND + 1], asked[st.CONTEXT_KIND + 1], asked[st.CONTEXT_KIND + 2]) == (1, 1, 0)
