@@ -98,6 +98,30 @@ def test_pages_of_long_conversations_lose_nothing(spark, max_turns, max_chars):
         assert all(pages[conv, p].count("</turn>\n") <= max_turns for p in own)
 
 
+@pytest.mark.parametrize(("max_turns", "max_chars"), [(3, 1000), (100, 9), (1, 1)])
+def test_examples_of_long_conversations_hold_all_turns_before_them(spark, max_turns, max_chars):
+    rows = corpus() + [(7000, k, "user" if k % 2 else "assistant", "x" * (k % 13)) for k in range(40)]
+    talk, want = frame(spark, rows), conversations(rows)
+    got = [tuple(r) for part in chat.whole_examples(talk, max_turns, max_chars) for r in part.collect()]
+    made = {}
+    for conv, turns in want.items():
+        for k, (role, text) in enumerate(turns):
+            if role == "assistant" or k == len(turns) - 1:
+                chars = len(esc(text)) if role == "assistant" else None
+                made[conv, k] = (k == len(turns) - 1, "".join(write(*t) for t in turns[: k + 1]), chars)
+    assert len(got) == len(made) and {(c, at): (whole, text, chars) for c, _, at, whole, text, _, chars in got} == made
+    assert all(text[start : start + chars] + "</turn>\n" == text[start:] for *_, text, start, chars in got if chars is not None)
+    assert {r.conv_id: tuple(r)[1:] for r in chat.digests(talk, max_turns, max_chars).collect()} == {c: want_digest(t) for c, t in want.items()}
+
+
+def test_a_conversation_beyond_one_task_is_expanded_whole(spark):
+    rows = [(1, k, "user" if k % 2 else "assistant", "x" * (k % 13)) for k in range(chat.MAX_TURNS + 44)]
+    turns = conversations(rows)[1]
+    assert [tuple(r)[1:] for r in chat.digests(frame(spark, rows)).collect()] == [want_digest(turns)]
+    last = chat.prefix_targets(frame(spark, rows)).filter("whole").collect()
+    assert [(r.at, r.formatted) for r in last] == [(len(turns) - 1, "".join(write(*t) for t in turns))]
+
+
 def test_reading_inverts_writing(spark):
     rows = [(k, 0, "".join(a), "".join(b)) for k, (a, b) in enumerate((PIECES[i : i + 3], PIECES[j : j + 4]) for i in range(13) for j in range(12))]
     made = chat.prefix_targets(frame(spark, rows)).select("conv_id", F.inline(chat.read_turns(F.col("formatted"))))
