@@ -95,17 +95,20 @@ def match_by_description(cp: DataFrame, av: DataFrame, min_share: float = 0.5) -
     errors are shared words. Names of volumes only equal themselves: another period is another product.
 
     Descriptions meet on words, the rarest first: two sets that share enough share one of the first
-    `size - ceil(min_share * size) + 1` words of either, so frequent words form no pairs.
+    `size - ceil(min_share * size) + 1` words of either, so frequent words form no pairs. CP descriptions of
+    affairs without amendments go no further than being told apart.
     """
     def descriptions(products: DataFrame, name: str) -> DataFrame:
         named = products.select("affair_id", normal_description(F.col("product_name")).alias(name))
-        # read by several steps below: written once, so that the products behind it are not
-        return cut(named.filter(F.col(name) != "").distinct())
+        return named.filter(F.col(name) != "").distinct()
 
-    known, wanted = descriptions(cp, "cp_desc"), descriptions(av, "av_desc")
-    equal = wanted.join(known.withColumnRenamed("cp_desc", "av_desc"), ["affair_id", "av_desc"], "left_semi")
-    settled = equal.select("affair_id", "av_desc", F.col("av_desc").alias("cp_desc"), F.lit(1.0).alias("likeness"))
-    open_ = wanted.join(known.withColumnRenamed("cp_desc", "av_desc"), ["affair_id", "av_desc"], "left_anti")
+    # read by several steps below: written once, so that the products behind them are not
+    wanted = cut(descriptions(av, "av_desc"))
+    known = cut(descriptions(cp, "cp_desc").join(wanted.select("affair_id").distinct(), "affair_id", "left_semi"))
+    same = known.select("affair_id", F.col("cp_desc").alias("av_desc"), F.lit(True).alias("_same"))
+    met = cut(wanted.join(same, ["affair_id", "av_desc"], "left"))
+    settled = met.filter("_same").select("affair_id", "av_desc", F.col("av_desc").alias("cp_desc"), F.lit(1.0).alias("likeness"))
+    open_ = met.filter("_same IS NULL").drop("_same")
 
     # words are read by several steps too
     cp_words = cut(known.select("affair_id", "cp_desc", F.explode(words_of(F.col("cp_desc"))).alias("word")))
@@ -143,7 +146,7 @@ def amendment_delta(sequenced: DataFrame, floor: float = HEAVY_ROWS, sizes: Data
     `product_key` names the product; rows are compared with the nearest earlier row of the
     same key by `seq`. Like is compared with like: rents on an annual `basis` where both rows
     have one, else unit prices where both have one; otherwise the costs are NULL and `reason`
-    says what is missing.
+    says what is missing. Rows that had their key before their `seq` stay dealt by affair.
     """
     annual = F.col("loyer") * 12 / months_of(F.col("loyer_periodicity"))
     rows = sequenced.filter(F.col("product_key").isNotNull()).select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pactframe.operators import amend, consolidate, documents, pricing, skew
 from pactframe.operators.skew import HEAVY_MAX, fits, heavy_keys, lag_in_group, number_rows
-from pactframe.plans import views
+from pactframe.plans import catalog, views
 from pactframe.session import cut
 
 
@@ -248,3 +248,22 @@ def test_uncoded_amendment_meets_a_coded_row_and_unlike_costs_are_not_subtracted
     seq = consolidate.sequence_products(spark.createDataFrame(rows, ddl))
     got = {r.affair_id: (r.product_key, r.basis, r.delta, r.reason) for r in amend.amendment_delta(amend.with_product_key(seq)).collect()}
     assert got == {"a": ("W1", "annual_rent", 300.0, None), "b": ("X", None, None, "unlike costs")}
+
+
+def test_amendments_are_compared_on_rows_dealt_once(spark, sf):
+    plan = catalog.QUERIES["amendment_delta"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "- Window " in line]
+    assert sum("row_number()" in line for line in windows) == 1 and sum("lag(" in line for line in windows) == 1
+    behind = plan[plan.index("lag(") :]
+    assert "Exchange" not in behind[: behind.index("row_number()")]
+
+
+def test_descriptions_of_affairs_without_amendments_are_not_written(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(amend, "cut", lambda df: written.append(df) or df)
+    ddl = "affair_id string, product_name string"
+    cp = spark.createDataFrame([("a", "Abonnement WMS"), ("a", "abonnement  wms"), ("b", "Licence"), (None, "Licence")], ddl)
+    av = spark.createDataFrame([("a", "Abonnements WMS"), (None, "Licence")], ddl)
+    got = [tuple(r) for r in amend.match_by_description(cp, av).collect()]
+    assert got == [("a", "abonnements wms", "abonnement wms", 1.0)]
+    assert not any("b" in {r.affair_id for r in df.collect()} for df in written if "affair_id" in df.columns)
