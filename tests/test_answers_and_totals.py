@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pactframe.operators import audit, documents, responses
+from pactframe.operators import audit, documents, lines, responses
+from pactframe.session import cut
 
 
 def test_nested_fields_of_odd_answers(spark):
@@ -72,3 +73,18 @@ def test_every_way_of_matching_affairs_agrees(spark, monkeypatch, limit):
     monkeypatch.setattr(documents, "LITERAL_AFFAIRS", 2)
     monkeypatch.setattr(documents, "AUTOMATON_AFFAIRS", limit or 10)
     assert sorted(map(tuple, documents.match_affairs(df, wanted).select("id", "affair_id").collect())) == plain and len(plain) == 5
+
+
+def test_price_confidence_writes_no_more_than_it_returns(spark, monkeypatch):
+    docs = spark.createDataFrame([("a", "d", "Licence 10 € HT / mois\nTotal 10 € HT"), (None, "e", "Licence 5 € HT\nLicence 7 € HT")], "affair_id string, id string, content string")
+    rows, written = lines.priced_lines(docs), []
+    every = audit.price_confidence(rows)
+    monkeypatch.setattr(audit, "cut", lambda df: written.append(df.columns) or cut(df))
+    shown = ["affair_id", "id", "line_no", "amount_no"]
+    few = audit.price_confidence(rows, shown)
+    assert not {"line", "currency", "cadence", "quantity"} & {c for columns in written for c in columns}
+    assert set(rows.columns) < set(every.columns) and few.columns[:4] == shown
+    assert sorted(few.collect(), key=str) == sorted(every.select(*few.columns).collect(), key=str)
+    assert {(r.id, r.line_no, r.has_conflict, r.is_aligned, r.confidence) for r in few.collect()} == {
+        ("d", 0, False, True, 0.9), ("e", 0, True, False, 0.5), ("e", 1, True, False, 0.5),
+    }
