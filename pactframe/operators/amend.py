@@ -174,13 +174,13 @@ def with_product_key(products: DataFrame, min_share: float = 0.5) -> DataFrame:
     uncoded = products.filter(F.col("product_code").isNull())
     keys = cut(
         cp.withColumn("cp_desc", desc).filter("cp_desc <> ''").groupBy("affair_id", "cp_desc").agg(
-            F.coalesce(F.min("product_code"), F.col("cp_desc")).alias("cp_key")
+            F.coalesce(F.min("product_code"), F.col("cp_desc")).alias("cp_key"), F.bool_or(F.col("product_code").isNull()).alias("_asked")
         )
     )
     # a row per distinct description, read by every later pass: written once
     matched = match_by_description(cp, uncoded.filter("is_av"), min_share).join(keys, ["affair_id", "cp_desc"])
     by_av = cut(matched.select("affair_id", F.col("av_desc").alias("_desc"), F.lit(True).alias("_av"), F.col("cp_key").alias("_key")))
-    by_cp = keys.select("affair_id", F.col("cp_desc").alias("_desc"), F.lit(False).alias("_av"), F.col("cp_key").alias("_key"))
+    by_cp = keys.filter("_asked").select("affair_id", F.col("cp_desc").alias("_desc"), F.lit(False).alias("_av"), F.col("cp_key").alias("_key"))
     coded = products.filter(F.col("product_code").isNotNull()).withColumn("product_key", F.col("product_code"))
     named = uncoded.withColumns({"_desc": desc, "_av": F.col("is_av")})
     keyed = named.join(by_av.unionByName(by_cp), ["affair_id", "_desc", "_av"], "left")
